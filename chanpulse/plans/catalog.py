@@ -3,7 +3,7 @@ registry)."""
 
 from __future__ import annotations
 
-from . import registered_analytics  # noqa: F401
+from . import registered_analytics, registered_tables  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
