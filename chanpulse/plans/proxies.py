@@ -81,3 +81,48 @@ def channel_batch(orders: DataFrame) -> DataFrame:
         (subs * 16).alias("total_views"),
         (F.col("o_orderkey") % 100).cast("int").alias("video_count"),
         F.col("o_orderkey").alias("seq"))
+
+
+# ------------------------------------------------------------------ replies
+def channel_replies(channels: DataFrame) -> DataFrame:
+    """Landed channel replies (request context + reply text) from channel
+    rows; the video counter is absent when it is 0."""
+    stats = F.struct(F.col("subscribers").cast("string").alias("subscriberCount"),
+                     F.col("total_views").cast("string").alias("viewCount"),
+                     F.when(F.col("video_count") != 0, F.col("video_count").cast("string"))
+                     .alias("videoCount"))
+    item = F.struct(F.col("channel_id").cast("string").alias("id"),
+                    F.struct(F.col("channel_title").alias("title")).alias("snippet"),
+                    stats.alias("statistics"))
+    return channels.select(
+        F.col("channel_id").cast("string").alias("channel_id"),
+        F.date_format("captured_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("captured_at"),
+        F.to_json(F.struct(F.array(item).alias("items"))).alias("response"))
+
+
+def video_replies(events: DataFrame) -> DataFrame:
+    """One reply per event: no item for errors (video not found), no comment
+    counter for purchases (absent -> 0), publish time in UTC with ``Z``."""
+    raw = raw_videos_from_events(events)
+    et = F.split(F.col("title"), "-").getItem(0)
+    stats = F.struct(F.col("views").cast("string").alias("viewCount"),
+                     F.col("likes").cast("string").alias("likeCount"),
+                     F.when(et != "purchase", F.col("comments").cast("string"))
+                     .alias("commentCount"))
+    item = F.struct(F.col("video_id").cast("string").alias("id"),
+                    F.struct("title", F.date_format("publish_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+                             .alias("publishedAt")).alias("snippet"),
+                    stats.alias("statistics"))
+    items = F.filter(F.array(item), lambda _: et != "error")
+    return raw.select(F.col("video_id").cast("string").alias("video_id"),
+                      F.to_json(F.struct(items.alias("items"))).alias("response"))
+
+
+def search_replies(events: DataFrame, page_size: int = 50) -> DataFrame:
+    """Search pages of ``page_size`` ids (by event_id), ids in page order."""
+    ids = events.select(F.floor(F.col("event_id") / page_size).alias("page"),
+                        F.col("event_id").alias("vid"))
+    pages = ids.groupBy("page").agg(F.sort_array(F.collect_list("vid")).alias("vids"))
+    items = F.transform("vids", lambda x: F.struct(
+        F.struct(x.cast("string").alias("videoId")).alias("id")))
+    return pages.select("page", F.to_json(F.struct(items.alias("items"))).alias("response"))

@@ -1,0 +1,82 @@
+"""Versioned Parquet tables (the warehouse) and their views.
+
+A table is a folder of immutable versions ``v=00000001``, ``v=00000002``...
+A version counts only once Spark's job commit has written its ``_SUCCESS``
+marker, so a reader sees the previous version or the new one, never a half
+written one, and a failed or killed load leaves the table as it was (the
+all-or-nothing load of a transaction).  A version folder is never written
+twice (``errorifexists``), so two writers cannot both commit the same number.
+Nothing is overwritten in place while it may be read.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from . import fs
+
+_VERSION = re.compile(r"^v=(\d{8})$")
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, schema: StructType,
+                 keys: list[str] | None = None, partition_by: list[str] | None = None):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+        self.keys = keys or []
+        self.partition_by = partition_by or []
+
+    # -- versions ---------------------------------------------------------
+    def versions(self) -> list[int]:
+        """Committed version numbers, oldest first."""
+        out = []
+        for e in fs.list_dir(self.spark, self.root):
+            m = _VERSION.match(e.name)
+            if m and e.is_dir and fs.exists(self.spark, f"{e.path}/_SUCCESS"):
+                out.append(int(m.group(1)))
+        return sorted(out)
+
+    def version_path(self, n: int) -> str:
+        return f"{self.root}/v={n:08d}"
+
+    def current_version(self) -> int | None:
+        v = self.versions()
+        return v[-1] if v else None
+
+    # -- DDL ----------------------------------------------------------------
+    def create_if_not_exists(self) -> "VersionedTable":
+        """Idempotent: an empty typed version 0 when the table has none."""
+        if self.current_version() is None:
+            empty = self.spark.createDataFrame([], self.schema)
+            self._write(empty, self.version_path(0))
+        return self
+
+    # -- read / write ---------------------------------------------------------
+    def read(self, version: int | None = None) -> DataFrame:
+        n = self.current_version() if version is None else version
+        if n is None:
+            raise FileNotFoundError(f"table {self.root} has no committed version")
+        return self.spark.read.schema(self.schema).parquet(self.version_path(n))
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        w = df.select(*self.schema.fieldNames()).write.mode("errorifexists")
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
+        w.parquet(path)
+
+    def commit(self, df: DataFrame) -> int:
+        """Write ``df`` as the next version; returns its number."""
+        cur = self.current_version()
+        n = 0 if cur is None else cur + 1
+        self._write(df, self.version_path(n))
+        return n
+
+    def register(self, name: str) -> DataFrame:
+        """Temp view of the current version (re-register after a commit)."""
+        df = self.read()
+        df.createOrReplaceTempView(name)
+        return df
