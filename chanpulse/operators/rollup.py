@@ -55,6 +55,10 @@ _OPTIONAL_INPUT = {"lpv_sum": "likes_per_view", "lpv_n": "likes_per_view",
                    "cpv_sum": "comments_per_view", "cpv_n": "comments_per_view"}
 
 
+_FOUR = ["n", "views_sum", "views_n", "er_sum", "er_n"]
+_ALL_VIEW = _FOUR + ["views_max", "likes_sum", "comments_sum"]
+
+
 @dataclass(frozen=True)
 class BaseRollup:
     """Partials at :data:`GRAIN`; build once, derive every grouped analytic."""
@@ -69,30 +73,39 @@ class BaseRollup:
 Source = DataFrame | BaseRollup
 
 
-def _measures(columns: list[str]) -> list[str]:
-    return [m for m, col in _OPTIONAL_INPUT.items() if col not in columns]
-
+def partials(videos: DataFrame, keys: list[str], only: list[str] | None = None) -> DataFrame:
+    """Partial measures of ``videos`` grouped by ``keys`` (no keys: one row);
+    all of them, or ``only`` those named."""
+    cols = set(videos.columns)
+    skip = {m for m, c in _OPTIONAL_INPUT.items() if c not in cols}
+    names = [n for n in (only or _PARTIALS) if n not in skip]
+    return videos.groupBy(*keys).agg(*[_PARTIALS[n][0]() for n in names])
 
-def partials(videos: DataFrame, keys: list[str]) -> DataFrame:
-    """All partial measures of ``videos`` grouped by ``keys`` (no keys: one row)."""
-    skip = set(_measures(videos.columns))
-    aggs = [raw() for name, (raw, _) in _PARTIALS.items() if name not in skip]
-    return videos.groupBy(*keys).agg(*aggs)
 
+def coarsen(rollup: DataFrame, keys: list[str], only: list[str] | None = None) -> DataFrame:
+    cols = set(rollup.columns)
+    names = [n for n in (only or _PARTIALS) if n in cols]
+    return rollup.groupBy(*keys).agg(*[_PARTIALS[n][1]() for n in names])
 
-def coarsen(rollup: DataFrame, keys: list[str]) -> DataFrame:
-    aggs = [merge() for name, (_, merge) in _PARTIALS.items() if name in rollup.columns]
-    return rollup.groupBy(*keys).agg(*aggs)
 
-
-def grouped(src: Source, keys: list[str], where: Column | None = None) -> DataFrame:
+def grouped(src: Source, keys: list[str], where: Column | None = None,
+            only: list[str] | None = None) -> DataFrame:
     """Partials at ``keys`` from either a video frame or a base roll-up.
     ``where`` may only reference grain columns (it is applied before grouping)."""
     if isinstance(src, BaseRollup):
         base = src.df if where is None else src.df.filter(where)
-        return coarsen(base, keys)
+        return coarsen(base, keys, only)
     base = src if where is None else src.filter(where)
-    return partials(base, keys)
+    return partials(base, keys, only)
+
+
+def calendar_sorted(df: DataFrame, *order) -> DataFrame:
+    """Order a result whose row count is bounded by the calendar (7 weekdays,
+    24 hours, 168 heatmap cells, one row per day or month): one shuffle of
+    the finished rows into a single partition and a local sort.  The final
+    aggregation above stays parallel; only the bounded result meets in one
+    task, and the range partitioner's sampling pass over it is skipped."""
+    return df.repartition(1).sortWithinPartitions(*order)
 
 
 def _avg(s: str, n: str) -> Column:
@@ -120,30 +133,34 @@ def day_performance(src: Source) -> DataFrame:
     """(publish_day, publish_day_of_week) -> count, avg views, avg engagement,
     total views; ordered by day of week."""
     keys = ["publish_day", "publish_day_of_week"]
-    return (grouped(src, keys)
-            .select(*keys, _video_count(), _avg_views(), _avg_er(), _total_views())
-            .orderBy("publish_day_of_week"))
+    return calendar_sorted(
+        grouped(src, keys, only=_FOUR).select(*keys, _video_count(), _avg_views(), _avg_er(),
+                                              _total_views()),
+        "publish_day_of_week")
 
 
 def hour_performance(src: Source) -> DataFrame:
-    return (grouped(src, ["publish_hour"])
-            .select("publish_hour", _video_count(), _avg_views(), _avg_er(), _total_views())
-            .orderBy("publish_hour"))
+    return calendar_sorted(
+        grouped(src, ["publish_hour"], only=_FOUR)
+        .select("publish_hour", _video_count(), _avg_views(), _avg_er(), _total_views()),
+        "publish_hour")
 
 
 def monthly_trends(src: Source) -> DataFrame:
     """Processed-output form: month -> count, avg views, avg engagement,
     total views, total likes, total comments."""
-    return (grouped(src, ["publish_month"])
-            .select("publish_month", _video_count(), _avg_views(), _avg_er(), _total_views(),
-                    F.col("likes_sum").alias("total_likes"),
-                    F.col("comments_sum").alias("total_comments"))
-            .orderBy("publish_month"))
+    return calendar_sorted(
+        grouped(src, ["publish_month"], only=_FOUR + ["likes_sum", "comments_sum"])
+        .select("publish_month", _video_count(), _avg_views(), _avg_er(), _total_views(),
+                F.col("likes_sum").alias("total_likes"),
+                F.col("comments_sum").alias("total_comments")),
+        "publish_month")
 
 
 def engagement_stats(src: Source) -> DataFrame:
     """One row: avg/max/min engagement, avg likes and comments per view."""
-    g = grouped(src, [])
+    g = grouped(src, [], only=["er_sum", "er_n", "er_max", "er_min", "lpv_sum", "lpv_n",
+                               "cpv_sum", "cpv_n"])
     return g.select(
         _avg_er("avg_engagement"),
         F.col("er_max").alias("max_engagement"),
@@ -157,7 +174,7 @@ def run_summary(src: Source, channels: DataFrame) -> DataFrame:
 
     The two one-row aggregates are stacked and folded by a global ``max``
     (no cross join)."""
-    v = grouped(src, []).select(
+    v = grouped(src, [], only=_FOUR).select(
         F.lit(None).cast("long").alias("channel_records"),
         F.col("n").alias("video_records"),
         _avg_er("avg_engagement"), _avg_views())
@@ -170,33 +187,36 @@ def run_summary(src: Source, channels: DataFrame) -> DataFrame:
 def daily_performance(src: Source) -> DataFrame:
     """Table view: publish_date -> count, total/avg/max views, total likes,
     total comments, avg engagement; newest first."""
-    return (grouped(src, ["publish_date"])
-            .select("publish_date", _video_count(), _total_views(), _avg_views(),
-                    F.col("views_max").alias("max_views"),
-                    F.col("likes_sum").alias("total_likes"),
-                    F.col("comments_sum").alias("total_comments"), _avg_er())
-            .orderBy(F.col("publish_date").desc()))
+    return calendar_sorted(
+        grouped(src, ["publish_date"], only=_ALL_VIEW)
+        .select("publish_date", _video_count(), _total_views(), _avg_views(),
+                F.col("views_max").alias("max_views"),
+                F.col("likes_sum").alias("total_likes"),
+                F.col("comments_sum").alias("total_comments"), _avg_er()),
+        F.col("publish_date").desc())
 
 
 def hourly_heatmap(src: Source) -> DataFrame:
     keys = ["publish_day_of_week", "publish_hour"]
-    return (grouped(src, keys)
-            .select(*keys, _video_count(), _avg_views(), _avg_er(), _total_views())
-            .orderBy(*keys))
+    return calendar_sorted(
+        grouped(src, keys, only=_FOUR).select(*keys, _video_count(), _avg_views(), _avg_er(),
+                                              _total_views()),
+        *keys)
 
 
 def monthly_trends_view(src: Source) -> DataFrame:
     """Table view form of the monthly trends (column order of the view)."""
-    return (grouped(src, ["publish_month"])
-            .select("publish_month", _video_count(), _total_views(), _avg_views(),
-                    F.col("likes_sum").alias("total_likes"),
-                    F.col("comments_sum").alias("total_comments"), _avg_er())
-            .orderBy("publish_month"))
+    return calendar_sorted(
+        grouped(src, ["publish_month"], only=_FOUR + ["likes_sum", "comments_sum"])
+        .select("publish_month", _video_count(), _total_views(), _avg_views(),
+                F.col("likes_sum").alias("total_likes"),
+                F.col("comments_sum").alias("total_comments"), _avg_er()),
+        "publish_month")
 
 
 def video_summary(src: Source) -> DataFrame:
     """One row: total videos, total/avg/max views, avg engagement."""
-    return grouped(src, []).select(
+    return grouped(src, [], only=_FOUR + ["views_max"]).select(
         F.col("n").alias("total_videos"), _total_views(), _avg_views(),
         F.col("views_max").alias("max_views"), _avg_er())
 
@@ -206,27 +226,30 @@ def engagement_trend(src: Source, as_of: Column, days: int = 30) -> DataFrame:
     compared with a timestamp, so the boundary day counts only at midnight),
     publish_date -> avg engagement, oldest first."""
     since = F.col("publish_date") >= minus_days(as_of, days)
-    return (grouped(src, ["publish_date"], where=since)
-            .select(F.col("publish_date").alias("time"), _avg_er())
-            .orderBy("time"))
+    return calendar_sorted(
+        grouped(src, ["publish_date"], where=since, only=["er_sum", "er_n"])
+        .select(F.col("publish_date").alias("time"), _avg_er()),
+        "time")
 
 
 def heatmap_panel(src: Source) -> DataFrame:
     keys = ["publish_day_of_week", "publish_hour"]
-    return (grouped(src, keys)
-            .select(F.col("publish_day_of_week").alias("Day of Week"),
-                    F.col("publish_hour").alias("Hour of Day"), _avg_views())
-            .orderBy("Day of Week", "Hour of Day"))
+    return calendar_sorted(
+        grouped(src, keys, only=["views_sum", "views_n"]).select(
+            F.col("publish_day_of_week").alias("Day of Week"),
+                                  F.col("publish_hour").alias("Hour of Day"), _avg_views()),
+        "Day of Week", "Hour of Day")
 
 
 def monthly_panel(src: Source) -> DataFrame:
     """month -> count, total views; the ``yyyy-MM`` key is kept as ``time``
     and its first day is added as a DATE (``month_start``)."""
-    return (grouped(src, ["publish_month"])
-            .select(F.col("publish_month").alias("time"),
-                    month_start("publish_month").alias("month_start"),
-                    _video_count(), _total_views())
-            .orderBy("time"))
+    return calendar_sorted(
+        grouped(src, ["publish_month"], only=["n", "views_sum"]).select(
+            F.col("publish_month").alias("time"),
+            month_start("publish_month").alias("month_start"),
+            _video_count(), _total_views()),
+        "time")
 
 
 ANALYTICS = {

@@ -32,24 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_videos_from_events(events: DataFrame) -> DataFrame:
     """Rows as the ingest step lands them: id, title, time, three counters."""
-    return events.select(
-        F.col("event_id").alias("video_id"),
-        F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("title"),
-        F.col("ts").cast("timestamp").alias("publish_time"),
-        F.floor(F.col("value") * 10).cast("bigint").alias("views"),
-        (F.col("user_id") % 40).alias("likes"),
-        (F.col("event_id") % 7).alias("comments"))
+    return events.selectExpr(
+        "event_id AS video_id",
+        "concat(event_type, '-', CAST(user_id AS STRING)) AS title",
+        "CAST(ts AS TIMESTAMP) AS publish_time",
+        "CAST(floor(value * 10) AS BIGINT) AS views",
+        "user_id % 40 AS likes",
+        "event_id % 7 AS comments")
 
 
 def raw_videos_from_lineitem(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_orderkey").alias("video_id"),
-        F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit("-"),
-                 F.col("l_partkey").cast("string")).alias("title"),
-        F.col("l_shipdate").cast("timestamp").alias("publish_time"),
-        F.floor(F.col("l_extendedprice")).cast("bigint").alias("views"),
-        (F.col("l_partkey") % 40).alias("likes"),
-        (F.col("l_suppkey") % 7).alias("comments"))
+    return lineitem.selectExpr(
+        "l_orderkey AS video_id",
+        "concat(l_returnflag, l_linestatus, '-', CAST(l_partkey AS STRING)) AS title",
+        "CAST(l_shipdate AS TIMESTAMP) AS publish_time",
+        "CAST(floor(l_extendedprice) AS BIGINT) AS views",
+        "l_partkey % 40 AS likes",
+        "l_suppkey % 7 AS comments")
 
 
 def ingested(raw: DataFrame) -> DataFrame:
@@ -72,15 +71,14 @@ def videos_lineitem(spark: SparkSession, sf_dir: str, as_of: Column) -> DataFram
 
 def channel_batch(orders: DataFrame) -> DataFrame:
     """Channel snapshot rows plus their batch order column ``seq``."""
-    subs = F.floor(F.col("o_totalprice")).cast("bigint")
-    return orders.select(
-        F.col("o_orderdate").cast("timestamp").alias("captured_at"),
-        F.col("o_custkey").alias("channel_id"),
-        F.concat(F.lit("channel-"), F.col("o_custkey").cast("string")).alias("channel_title"),
-        subs.alias("subscribers"),
-        (subs * 16).alias("total_views"),
-        (F.col("o_orderkey") % 100).cast("int").alias("video_count"),
-        F.col("o_orderkey").alias("seq"))
+    return orders.selectExpr(
+        "CAST(o_orderdate AS TIMESTAMP) AS captured_at",
+        "o_custkey AS channel_id",
+        "concat('channel-', CAST(o_custkey AS STRING)) AS channel_title",
+        "CAST(floor(o_totalprice) AS BIGINT) AS subscribers",
+        "CAST(floor(o_totalprice) AS BIGINT) * 16 AS total_views",
+        "CAST(o_orderkey % 100 AS INT) AS video_count",
+        "o_orderkey AS seq")
 
 
 # ------------------------------------------------------------------ replies
