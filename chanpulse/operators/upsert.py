@@ -137,7 +137,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
 
     non_key = [c for c in carried if c not in keys]
     s = src.select(*keys, *[F.col(c).alias(_p(c)) for c in non_key], F.lit(True).alias(_HIT))
-    s_side = F.broadcast(s) if use_bc else s
+    # above the bound both sides are hash-partitioned and sort-merged (spills,
+    # never holds a side in memory); the hint keeps Catalyst from guessing
+    s_side = F.broadcast(s) if use_bc else s.hint("merge")
     joined = target.join(s_side, keys, "left")
     hit = F.col(_HIT).isNotNull()
 
@@ -159,7 +161,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
                    .join(F.broadcast(src.select(*keys)), keys, "left_semi"))
         inserts = src.join(F.broadcast(matched), keys, "left_anti")
     else:
-        inserts = src.join(target.select(*keys), keys, "left_anti")
+        inserts = src.hint("merge").join(target.select(*keys), keys, "left_anti")
 
     types = {f.name: f.dataType for f in target.schema.fields}
 
