@@ -71,8 +71,8 @@ def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
         log.warning("No channel stats data to upsert")
         return None
     b = _typed(batch, S.CHANNEL_TABLE)
-    b = _check(b, rules.channel_rules(), None if on_duplicate == "last" else S.CHANNEL_KEYS,
-               mode, "channel_stats", result)
+    # key repeats are detected by the upsert, in the same job as its size check
+    b = _check(b, rules.channel_rules(), None, mode, "channel_stats", result)
     merged = upsert(wh.channels.read(), b, S.CHANNEL_KEYS, S.CHANNEL_UPDATE, as_of,
                     created="created_at", refresh_created=True, id_col="id",
                     on_duplicate=on_duplicate, order_by=order_by)
@@ -92,7 +92,7 @@ def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mo
     update = S.VIDEO_UPDATE_FULL if loader == "full" else S.VIDEO_UPDATE_NARROW
     b = with_defaults(narrow_to_table_types(batch), S.VIDEO_DEFAULTS, S.VIDEO_TABLE)
     b = _typed(b, S.VIDEO_TABLE)
-    b = _check(b, rules.video_rules(), S.VIDEO_KEYS, mode, "videos", result)
+    b = _check(b, rules.video_rules(), None, mode, "videos", result)
     merged = upsert(wh.videos.read(), b, S.VIDEO_KEYS, update, as_of,
                     created="created_at", updated="updated_at", id_col="id")
     n = wh.videos.commit(merged)
@@ -124,3 +124,21 @@ def load(spark: SparkSession, processed_dir: str, warehouse_dir: str, as_of=None
         load_videos(wh, v, now, loader, mode, result=result)
     result.summary = summary(wh)
     return result
+
+
+def register_views(wh: Warehouse) -> dict[str, DataFrame]:
+    """Temp views over the current table versions: the two tables and the
+    four table views (top 100, daily performance, hourly heatmap, monthly
+    trends).  Views are plans, not copies; re-register after a commit."""
+    channels, videos = wh.channels.read(), wh.videos.read()
+    views = {
+        "channel_stats": channels,
+        "videos": videos,
+        "top_videos": topk.top_videos_view(videos),
+        "daily_performance": rollup.daily_performance(videos),
+        "hourly_heatmap": rollup.hourly_heatmap(videos),
+        "monthly_trends": rollup.monthly_trends_view(videos),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return views
