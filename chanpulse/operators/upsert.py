@@ -105,11 +105,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
            as_of: Column, *, created: str | None = "created_at", refresh_created: bool = False,
            updated: str | None = None, id_col: str | None = None,
            on_duplicate: str = "error", order_by: str | None = None,
-           strategy: str = "auto") -> DataFrame:
+           strategy: str = "auto", id_start: int | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` by ``keys``; returns the new table
     frame with ``target``'s columns.  ``strategy``: ``auto`` (size check),
     ``broadcast`` or ``shuffle``.  ``on_duplicate``: ``error`` or ``last``
-    (needs ``order_by``)."""
+    (needs ``order_by``).  ``id_start``: the table's largest id when
+    ``target`` holds only part of the table (else it is computed)."""
     spark = target.sparkSession
     tcols = target.columns
     stamps = {c for c in (created, updated, id_col) if c}
@@ -174,7 +175,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
 
     new_rows = inserts.select(*[insert_col(c) for c in tcols])
     if id_col:
-        start = target.agg(F.max(id_col)).first()[0] or 0
+        start = id_start if id_start is not None else (target.agg(F.max(id_col)).first()[0] or 0)
         new_rows = assign_ids(new_rows, id_col, int(start)).select(*tcols)
     return existing.unionByName(new_rows)
 

@@ -32,13 +32,21 @@ class Warehouse:
     videos: VersionedTable
 
 
-def warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """Idempotent table creation (the DDL step)."""
+def warehouse(spark: SparkSession, root: str, video_buckets: int = 16) -> Warehouse:
+    """Idempotent table creation (the DDL step).
+
+    Channel snapshots are partitioned by capture month (a daily load touches
+    one partition); videos by ``pmod(xxhash64(video_id), video_buckets)``
+    (size it so one bucket is around a gigabyte: 16 for tests, thousands for
+    a large table).  Both partitions are functions of the key."""
     r = root.rstrip("/")
     return Warehouse(
-        VersionedTable(spark, f"{r}/channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS)
+        VersionedTable(spark, f"{r}/channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS,
+                       partition=F.trunc(F.to_date("captured_at"), "month"), id_col="id")
         .create_if_not_exists(),
-        VersionedTable(spark, f"{r}/videos", S.VIDEO_TABLE, S.VIDEO_KEYS)
+        VersionedTable(spark, f"{r}/videos", S.VIDEO_TABLE, S.VIDEO_KEYS,
+                       partition=F.pmod(F.xxhash64("video_id"), F.lit(video_buckets)),
+                       id_col="id")
         .create_if_not_exists())
 
 
@@ -55,6 +63,16 @@ def _typed(df: DataFrame, schema) -> DataFrame:
                        for c in df.columns])
 
 
+def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of, **kw) -> int:
+    """Upsert ``batch`` into the partitions it touches and commit them as the
+    next version; untouched partitions are not read or written."""
+    touched = table.partition_values(batch)
+    target = table.read_partitions(touched)
+    merged = upsert(target, batch, table.keys, update, as_of, id_col=table.id_col,
+                    id_start=table.manifest().max_id, **kw)
+    return table.commit(merged, touched)
+
+
 def _check(batch: DataFrame, rule_list, keys, mode: str, name: str, result: LoadResult):
     rs = rules.applicable(batch, rule_list)
     if mode == "quarantine":
@@ -73,10 +91,8 @@ def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
     b = _typed(batch, S.CHANNEL_TABLE)
     # key repeats are detected by the upsert, in the same job as its size check
     b = _check(b, rules.channel_rules(), None, mode, "channel_stats", result)
-    merged = upsert(wh.channels.read(), b, S.CHANNEL_KEYS, S.CHANNEL_UPDATE, as_of,
-                    created="created_at", refresh_created=True, id_col="id",
-                    on_duplicate=on_duplicate, order_by=order_by)
-    n = wh.channels.commit(merged)
+    n = merge_into(wh.channels, b, S.CHANNEL_UPDATE, as_of, created="created_at",
+                   refresh_created=True, on_duplicate=on_duplicate, order_by=order_by)
     result.versions["channel_stats"] = n
     return n
 
@@ -93,9 +109,7 @@ def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mo
     b = with_defaults(narrow_to_table_types(batch), S.VIDEO_DEFAULTS, S.VIDEO_TABLE)
     b = _typed(b, S.VIDEO_TABLE)
     b = _check(b, rules.video_rules(), None, mode, "videos", result)
-    merged = upsert(wh.videos.read(), b, S.VIDEO_KEYS, update, as_of,
-                    created="created_at", updated="updated_at", id_col="id")
-    n = wh.videos.commit(merged)
+    n = merge_into(wh.videos, b, update, as_of, created="created_at", updated="updated_at")
     result.versions["videos"] = n
     return n
 

@@ -59,3 +59,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs_, p = _fs(spark, path)
+    stream = fs_.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -1,78 +1,167 @@
-"""Versioned Parquet tables (the warehouse) and their views.
-
-A table is a folder of immutable versions ``v=00000001``, ``v=00000002``...
-A version counts only once Spark's job commit has written its ``_SUCCESS``
-marker, so a reader sees the previous version or the new one, never a half
-written one, and a failed or killed load leaves the table as it was (the
-all-or-nothing load of a transaction).  A version folder is never written
-twice (``errorifexists``), so two writers cannot both commit the same number.
-Nothing is overwritten in place while it may be read.
+"""Versioned Parquet tables (the warehouse), copy-on-write per partition.
+
+Layout of a table folder::
+
+    v=00000003/_part=2024-01-30/part-*.parquet   data written by version 3
+    v=00000003/_SUCCESS                          Spark's job commit marker
+    _manifests/00000003.json                     the commit point of version 3
+
+Every row belongs to a partition given by a function of its key (capture
+date of a channel snapshot, a hash bucket of the video id), so a key never
+moves between partitions.  A version writes only the partitions its batch
+touches; its manifest lists, for every partition of the table, the version
+folder that holds the current copy, so untouched partitions are carried over
+by reference and a load costs what it touches, not the table size.
+
+The manifest is created only after the data job committed, with a create
+that fails if the file exists: readers see the previous version or the new
+one, never a half-written one; a killed load leaves the table as it was (the
+all-or-nothing load of a transaction); two writers cannot both commit the
+same version number.  Nothing is overwritten in place.  The manifest also
+keeps the largest surrogate id, so inserts need not scan the table for it.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import re
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import fs
 
-_VERSION = re.compile(r"^v=(\d{8})$")
+PART = "_part"
+_MANIFEST = re.compile(r"^(\d{8})\.json$")
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass
+class Manifest:
+    version: int
+    partitions: dict[str, int] = field(default_factory=dict)  # dir name -> version
+    max_id: int = 0
+
+    def to_json(self) -> str:
+        return json.dumps({"version": self.version, "partitions": self.partitions,
+                           "max_id": self.max_id}, sort_keys=True)
+
+    @staticmethod
+    def from_json(text: str) -> "Manifest":
+        d = json.loads(text)
+        return Manifest(int(d["version"]), {k: int(v) for k, v in d["partitions"].items()},
+                        int(d.get("max_id") or 0))
+
+
+def part_dir(value) -> str:
+    """Folder name Spark writes for a partition value (ints and dates)."""
+    if value is None:
+        return f"{PART}={NULL_PART}"
+    if isinstance(value, (dt.date, dt.datetime)):
+        return f"{PART}={value.isoformat()}"
+    return f"{PART}={value}"
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType,
-                 keys: list[str] | None = None, partition_by: list[str] | None = None):
+                 keys: list[str] | None = None, partition: Column | None = None,
+                 id_col: str | None = None):
+        """``partition``: a column expression over the key columns (int or
+        date valued); None puts every row into one partition."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.keys = keys or []
-        self.partition_by = partition_by or []
+        self.partition = partition if partition is not None else F.lit(0)
+        self.id_col = id_col
 
     # -- versions ---------------------------------------------------------
+    def _manifest_dir(self) -> str:
+        return f"{self.root}/_manifests"
+
     def versions(self) -> list[int]:
         """Committed version numbers, oldest first."""
         out = []
-        for e in fs.list_dir(self.spark, self.root):
-            m = _VERSION.match(e.name)
-            if m and e.is_dir and fs.exists(self.spark, f"{e.path}/_SUCCESS"):
+        for e in fs.list_dir(self.spark, self._manifest_dir()):
+            m = _MANIFEST.match(e.name)
+            if m:
                 out.append(int(m.group(1)))
         return sorted(out)
 
-    def version_path(self, n: int) -> str:
-        return f"{self.root}/v={n:08d}"
-
     def current_version(self) -> int | None:
         v = self.versions()
         return v[-1] if v else None
 
+    def version_path(self, n: int) -> str:
+        return f"{self.root}/v={n:08d}"
+
+    def manifest(self, version: int | None = None) -> Manifest | None:
+        n = self.current_version() if version is None else version
+        if n is None:
+            return None
+        return Manifest.from_json(fs.read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
+
     # -- DDL ----------------------------------------------------------------
     def create_if_not_exists(self) -> "VersionedTable":
-        """Idempotent: an empty typed version 0 when the table has none."""
+        """Idempotent: an empty version 0 when the table has none."""
         if self.current_version() is None:
-            empty = self.spark.createDataFrame([], self.schema)
-            self._write(empty, self.version_path(0))
+            try:
+                fs.write_text(self.spark, f"{self._manifest_dir()}/{0:08d}.json",
+                              Manifest(0).to_json())
+            except Exception:  # another creator won; that version 0 is as good
+                if self.current_version() is None:
+                    raise
         return self
 
-    # -- read / write ---------------------------------------------------------
+    # -- read ---------------------------------------------------------------
+    def _read_dirs(self, dirs: dict[str, int]) -> DataFrame:
+        paths = [f"{self.version_path(v)}/{d}" for d, v in sorted(dirs.items())]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
     def read(self, version: int | None = None) -> DataFrame:
-        n = self.current_version() if version is None else version
-        if n is None:
+        m = self.manifest(version)
+        if m is None:
             raise FileNotFoundError(f"table {self.root} has no committed version")
-        return self.spark.read.schema(self.schema).parquet(self.version_path(n))
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        w = df.select(*self.schema.fieldNames()).write.mode("errorifexists")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(path)
-
-    def commit(self, df: DataFrame) -> int:
-        """Write ``df`` as the next version; returns its number."""
-        cur = self.current_version()
-        n = 0 if cur is None else cur + 1
-        self._write(df, self.version_path(n))
+        return self._read_dirs(m.partitions)
+
+    def partition_values(self, batch: DataFrame) -> list[str]:
+        """Partition folders a batch touches (one row per partition reaches
+        the driver: bounded by the partition count, not by the batch)."""
+        return [part_dir(r[0]) for r in batch.select(self.partition.alias(PART)).distinct().collect()]
+
+    def read_partitions(self, dirs: list[str]) -> DataFrame:
+        """Current rows of the named partitions only (pruned by path)."""
+        m = self.manifest()
+        return self._read_dirs({d: m.partitions[d] for d in dirs if d in m.partitions})
+
+    # -- write ----------------------------------------------------------------
+    def commit(self, df: DataFrame, touched: list[str] | None = None) -> int:
+        """Write ``df`` as the next version.  ``touched=None``: ``df`` is the
+        whole table.  Else ``df`` holds the new content of exactly the
+        ``touched`` partitions; every other partition is carried over."""
+        cur = self.manifest()
+        n = 0 if cur is None else cur.version + 1
+        path = self.version_path(n)
+        out = df.select(*self.schema.fieldNames()).withColumn(PART, self.partition)
+        out.write.mode("errorifexists").partitionBy(PART).parquet(path)
+        written = {e.name: n for e in fs.list_dir(self.spark, path)
+                   if e.is_dir and e.name.startswith(f"{PART}=")}
+        if touched is None or cur is None:
+            parts = written
+        else:
+            parts = {d: v for d, v in cur.partitions.items() if d not in set(touched)}
+            parts.update(written)
+        max_id = cur.max_id if cur else 0
+        if self.id_col and written:
+            new_max = self._read_dirs(written).agg(F.max(self.id_col)).first()[0]
+            max_id = max(max_id, int(new_max or 0))
+        fs.write_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json",
+                      Manifest(n, parts, max_id).to_json())
         return n
 
     def register(self, name: str) -> DataFrame:

@@ -127,14 +127,25 @@ def test_search_ids(spark, tmp_dir):
 
 def test_versioned_table(spark, tmp_dir):
     from chanpulse.schemas import CHANNEL_TABLE
-    t = VersionedTable(spark, f"{tmp_dir}/channel_stats", CHANNEL_TABLE).create_if_not_exists()
+    t = VersionedTable(spark, f"{tmp_dir}/channel_stats", CHANNEL_TABLE, ["channel_id", "captured_at"],
+                       partition=F.to_date("captured_at"), id_col="id").create_if_not_exists()
     t.create_if_not_exists()  # idempotent
     assert t.versions() == [0] and t.read().count() == 0
-    row = [(1, dt.datetime(2024, 1, 1), "c", "T", 1, 2, 3, dt.datetime(2024, 1, 1))]
-    n = t.commit(spark.createDataFrame(row, CHANNEL_TABLE))
-    assert n == 1 and t.read().count() == 1
-    # a version without the commit marker (killed writer) is invisible
-    os.makedirs(local_fs_path(t.version_path(2)), exist_ok=True)
-    assert t.current_version() == 1
-    assert t.register("channel_stats_view").count() == 1
-    assert spark.sql("SELECT count(*) FROM channel_stats_view").first()[0] == 1
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [(i, day(d), f"c{i}", "T", 1, 2, 3, day(d)) for i, d in ((1, 1), (2, 1), (3, 2))]
+    assert t.commit(spark.createDataFrame(rows, CHANNEL_TABLE)) == 1
+    assert t.read().count() == 3 and t.manifest().max_id == 3
+    assert sorted(t.manifest().partitions) == ["_part=2024-01-01", "_part=2024-01-02"]
+    # rewrite one partition only; the other is carried over by reference
+    new = spark.createDataFrame([(4, day(2), "c4", "T", 1, 2, 3, day(2))], CHANNEL_TABLE)
+    touched = t.partition_values(new)
+    assert touched == ["_part=2024-01-02"]
+    assert t.commit(t.read_partitions(touched).unionByName(new), touched) == 2
+    m = t.manifest()
+    assert m.partitions == {"_part=2024-01-01": 1, "_part=2024-01-02": 2} and m.max_id == 4
+    assert t.read().count() == 4 and t.read(1).count() == 3  # old versions stay readable
+    # data written without a manifest (killed writer) is invisible
+    os.makedirs(local_fs_path(t.version_path(3)), exist_ok=True)
+    assert t.current_version() == 2
+    assert t.register("channel_stats_view").count() == 4
+    assert spark.sql("SELECT count(*) FROM channel_stats_view").first()[0] == 4
