@@ -105,12 +105,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
            as_of: Column, *, created: str | None = "created_at", refresh_created: bool = False,
            updated: str | None = None, id_col: str | None = None,
            on_duplicate: str = "error", order_by: str | None = None,
-           strategy: str = "auto", id_start: int | None = None) -> DataFrame:
+           strategy: str = "auto", id_start: int | None = None,
+           info: dict | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` by ``keys``; returns the new table
     frame with ``target``'s columns.  ``strategy``: ``auto`` (size check),
     ``broadcast`` or ``shuffle``.  ``on_duplicate``: ``error`` or ``last``
     (needs ``order_by``).  ``id_start``: the table's largest id when
-    ``target`` holds only part of the table (else it is computed)."""
+    ``target`` holds only part of the table (else it is computed).  ``info``
+    (optional dict) receives ``rows``, ``bytes``, ``broadcast`` and, with ids,
+    ``max_id``: the largest id after the merge."""
     spark = target.sparkSession
     tcols = target.columns
     stamps = {c for c in (created, updated, id_col) if c}
@@ -130,11 +133,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     stats = batch_stats(src, keys)
     if stats.max_repeat > 1:
         raise DuplicateKeyError(f"batch holds a key {stats.max_repeat} times")
+    info = info if info is not None else {}
+    info.update(rows=stats.rows, bytes=stats.bytes)
     if stats.rows == 0:
+        info.update(broadcast=False, max_id=id_start)
         return target
     limit = broadcast_limit(spark)
     use_bc = strategy == "broadcast" or (
         strategy == "auto" and 0 <= stats.bytes <= limit and limit > 0)
+    info["broadcast"] = use_bc
 
     non_key = [c for c in carried if c not in keys]
     s = src.select(*keys, *[F.col(c).alias(_p(c)) for c in non_key], F.lit(True).alias(_HIT))
@@ -176,11 +183,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     new_rows = inserts.select(*[insert_col(c) for c in tcols])
     if id_col:
         start = id_start if id_start is not None else (target.agg(F.max(id_col)).first()[0] or 0)
-        new_rows = assign_ids(new_rows, id_col, int(start)).select(*tcols)
+        new_rows = assign_ids(new_rows, id_col, int(start), info).select(*tcols)
     return existing.unionByName(new_rows)
 
 
-def assign_ids(df: DataFrame, id_col: str = "id", start: int = 0) -> DataFrame:
+def assign_ids(df: DataFrame, id_col: str = "id", start: int = 0,
+               info: dict | None = None) -> DataFrame:
     """Dense ids ``start+1 .. start+n`` without a global window.
 
     The frame is checkpointed to the shared checkpoint folder (reliable, cuts
@@ -196,6 +204,8 @@ def assign_ids(df: DataFrame, id_col: str = "id", start: int = 0) -> DataFrame:
     for r in sorted(counts, key=lambda r: r["_pid"]):
         offsets.append((int(r["_pid"]), run))
         run += int(r["_n"])
+    if info is not None:
+        info["max_id"] = start + run
     off = spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long")
     tagged = ck.withColumns({"_pid": F.spark_partition_id(),
                              "_mid": F.monotonically_increasing_id()})

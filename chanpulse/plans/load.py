@@ -68,9 +68,10 @@ def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of
     next version; untouched partitions are not read or written."""
     touched = table.partition_values(batch)
     target = table.read_partitions(touched)
+    info: dict = {}
     merged = upsert(target, batch, table.keys, update, as_of, id_col=table.id_col,
-                    id_start=table.manifest().max_id, **kw)
-    return table.commit(merged, touched)
+                    id_start=table.manifest().max_id, info=info, **kw)
+    return table.commit(merged, touched, max_id=info.get("max_id"))
 
 
 def _check(batch: DataFrame, rule_list, keys, mode: str, name: str, result: LoadResult):

@@ -140,10 +140,13 @@ class VersionedTable:
         return self._read_dirs({d: m.partitions[d] for d in dirs if d in m.partitions})
 
     # -- write ----------------------------------------------------------------
-    def commit(self, df: DataFrame, touched: list[str] | None = None) -> int:
+    def commit(self, df: DataFrame, touched: list[str] | None = None,
+               max_id: int | None = None) -> int:
         """Write ``df`` as the next version.  ``touched=None``: ``df`` is the
         whole table.  Else ``df`` holds the new content of exactly the
-        ``touched`` partitions; every other partition is carried over."""
+        ``touched`` partitions; every other partition is carried over.
+        ``max_id``: the largest id in ``df`` when the caller knows it (else
+        it is read back from the written partitions)."""
         cur = self.manifest()
         n = 0 if cur is None else cur.version + 1
         path = self.version_path(n)
@@ -156,10 +159,10 @@ class VersionedTable:
         else:
             parts = {d: v for d, v in cur.partitions.items() if d not in set(touched)}
             parts.update(written)
-        max_id = cur.max_id if cur else 0
-        if self.id_col and written:
-            new_max = self._read_dirs(written).agg(F.max(self.id_col)).first()[0]
-            max_id = max(max_id, int(new_max or 0))
+        known = cur.max_id if cur else 0
+        if self.id_col and written and max_id is None:
+            max_id = self._read_dirs(written).agg(F.max(self.id_col)).first()[0]
+        max_id = max(known, int(max_id or 0))
         fs.write_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json",
                       Manifest(n, parts, max_id).to_json())
         return n
