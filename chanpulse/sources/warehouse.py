@@ -150,7 +150,10 @@ class VersionedTable:
         cur = self.manifest()
         n = 0 if cur is None else cur.version + 1
         path = self.version_path(n)
-        out = df.select(*self.schema.fieldNames()).withColumn(PART, self.partition)
+        # rebalance on the partition column: AQE packs small partitions into
+        # few files and splits a large one over several tasks
+        out = (df.select(*self.schema.fieldNames()).withColumn(PART, self.partition)
+               .hint("rebalance", PART))
         out.write.mode("errorifexists").partitionBy(PART).parquet(path)
         written = {e.name: n for e in fs.list_dir(self.spark, path)
                    if e.is_dir and e.name.startswith(f"{PART}=")}
