@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.derive import as_of_literal
@@ -11,7 +11,7 @@ from ..operators import collect, rules, topk
 from ..operators.upsert import assign_ids, duplicate_keys, keep_last, upsert
 from ..schemas import CHANNEL_KEYS, CHANNEL_UPDATE, VIDEO_UPDATE_FULL, VIDEO_UPDATE_NARROW
 from . import proxies
-from .registry import CHANNEL_CTE, EVENTS_AS_OF, present, query, video_cte, with_videos
+from .registry import EVENTS_AS_OF, present, query, video_cte, with_videos
 
 # ---------------------------------------------------------------- upserts
 # Table state: videos published before 2024-01-20, stamped 2024-01-01.  Batch:

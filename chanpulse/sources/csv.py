@@ -1,9 +1,11 @@
 """Raw CSV snapshots: readers with a fixed schema and the snapshot writer.
 
 Reading: header row, explicit schema (no inference scan), ``escape='"'`` so a
-doubled quote inside a quoted title is one quote, ``multiLine`` so a quoted
-title may hold line breaks.  Times are parsed with ``try_cast``: a malformed
-time gives NULL and the row is reported in the rejects, never an exception.
+doubled quote inside a quoted title is one quote.  Records are single lines by
+default, which keeps large files splittable across tasks; ``multiline=True``
+accepts quoted line breaks at the price of one task per file.  Times are
+parsed with ``try_cast``: a malformed time gives NULL and the row is reported
+in the rejects, never an exception.
 """
 
 from __future__ import annotations
@@ -33,12 +35,12 @@ def _reader(spark: SparkSession, schema, multiline: bool):
 
 def _split(df: DataFrame, raw: str, parsed: str) -> Loaded:
     bad = F.col(raw).isNotNull() & F.col(parsed).isNull()
-    rows = df.filter(~bad | F.col(raw).isNull()).drop(raw)
+    rows = df.filter(~bad).drop(raw)
     rejects = df.filter(bad).drop(parsed).withColumnRenamed(raw, parsed)
     return Loaded(rows, rejects)
 
 
-def load_channels(spark: SparkSession, path: str, multiline: bool = True) -> Loaded:
+def load_channels(spark: SparkSession, path: str, multiline: bool = False) -> Loaded:
     """Channel snapshot CSV; ``captured_at`` text -> timestamp."""
     df = _reader(spark, RAW_CHANNEL, multiline).csv(path)
     df = df.withColumnRenamed("captured_at", "_captured_at_text").withColumn(
@@ -47,11 +49,11 @@ def load_channels(spark: SparkSession, path: str, multiline: bool = True) -> Loa
     return _split(df.select(*cols), "_captured_at_text", "captured_at")
 
 
-def read_channel_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_channel_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     return load_channels(spark, path, multiline).rows
 
 
-def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool = True) -> Loaded:
+def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool = False) -> Loaded:
     """Video snapshot CSV -> processed frame (date parts, rates, pace)."""
     df = _reader(spark, RAW_VIDEOS, multiline).csv(path)
     df = df.withColumnRenamed("publish_time", "_publish_time_text").withColumn(
@@ -62,7 +64,7 @@ def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool =
 
 
 def read_videos_csv(spark: SparkSession, path: str, as_of: Column,
-                    multiline: bool = True) -> DataFrame:
+                    multiline: bool = False) -> DataFrame:
     return load_videos(spark, path, as_of, multiline).rows
 
 

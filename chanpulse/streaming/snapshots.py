@@ -34,7 +34,7 @@ def snapshot_stream(spark: SparkSession, raw_dir: str, entity: str) -> DataFrame
     with the file's name stamp in ``_stamp``."""
     schema = RAW_VIDEOS if entity == "videos" else RAW_CHANNEL
     df = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
-          .option("multiLine", True).option("pathGlobFilter", f"{entity}_*.csv")
+          .option("pathGlobFilter", f"{entity}_*.csv")
           .csv(raw_dir))
     return df.withColumn("_stamp", F.regexp_extract(F.input_file_name(), _STAMP, 1))
 
