@@ -148,7 +148,10 @@ class VersionedTable:
         ``max_id``: the largest id in ``df`` when the caller knows it (else
         it is read back from the written partitions)."""
         cur = self.manifest()
-        n = 0 if cur is None else cur.version + 1
+        # skip past folders of writers that died before their manifest
+        taken = [int(e.name[2:]) for e in fs.list_dir(self.spark, self.root)
+                 if e.is_dir and re.match(r"^v=\d{8}$", e.name)]
+        n = max([cur.version if cur else -1] + taken) + 1
         path = self.version_path(n)
         # rebalance on the partition column: AQE packs small partitions into
         # few files and splits a large one over several tasks
@@ -170,6 +173,23 @@ class VersionedTable:
                       Manifest(n, parts, max_id).to_json())
         return n
 
+    def vacuum(self, retain: int = 10, dry_run: bool = True) -> list[str]:
+        """Version folders no longer referenced by the newest ``retain``
+        manifests (older versions stop being readable once removed).  Only
+        lists them unless ``dry_run=False``; manifests are never deleted
+        here, so an older manifest whose data is gone fails loudly on read."""
+        keep = self.versions()[-retain:] if retain > 0 else []
+        live = {self.version_path(n) for m in keep
+                for n in set((self.manifest(m) or Manifest(m)).partitions.values())}
+        doomed = [e.path for e in fs.list_dir(self.spark, self.root)
+                  if e.is_dir and e.name.startswith("v=") and
+                  f"{self.root}/{e.name}" not in live and
+                  int(e.name[2:]) < (keep[0] if keep else 0)]
+        if not dry_run:
+            for p in doomed:
+                fs.delete(self.spark, p)
+        return doomed
+
     def register(self, name: str) -> DataFrame:
         """Temp view of the current version (re-register after a commit)."""
         df = self.read()

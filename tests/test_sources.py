@@ -149,3 +149,11 @@ def test_versioned_table(spark, tmp_dir):
     assert t.current_version() == 2
     assert t.register("channel_stats_view").count() == 4
     assert spark.sql("SELECT count(*) FROM channel_stats_view").first()[0] == 4
+    # retention: with only the newest manifest kept, version 1 still holds a
+    # live partition; the dead writer's folder is removable
+    assert [d.rsplit("/", 1)[1] for d in t.vacuum(retain=1)] == []
+    # the next commit skips past the dead writer's folder
+    assert t.commit(t.read_partitions(["_part=2024-01-01"]), ["_part=2024-01-01"]) == 4
+    doomed = t.vacuum(retain=1)  # dry run: nothing is deleted
+    assert sorted(d.rsplit("/", 1)[1] for d in doomed) == ["v=00000001", "v=00000003"]
+    assert t.read().count() == 4 and t.read(1).count() == 3
