@@ -22,13 +22,51 @@ from pyspark.sql import functions as F
 from ..schemas import MAX_VIDEOS
 
 DEFAULT_BLOCK = 1 << 16
+# Hot ids: an id listed on more than HOT_ROWS rows (estimated from a
+# HOT_SAMPLE share of the rows) is joined through a broadcast of its details.
+# At most MAX_HOT ids are taken that way, so the broadcast holds at most
+# MAX_HOT detail rows (details are keyed: one reply item per id).
+HOT_SAMPLE = 0.01
+HOT_ROWS = 1_000_000
+MAX_HOT = 1000
+# The kept pages of a capped collection number at most ``cap`` (every kept page
+# holds a found video and starts below the cap); broadcast them up to this cap.
+BROADCAST_PAGES = 1_000_000
 
 
-def lookup_details(ids: DataFrame, details: DataFrame, key: str = "video_id") -> DataFrame:
+def hot_keys(df: DataFrame, key: str, sample: float = HOT_SAMPLE, hot_rows: int = HOT_ROWS,
+             max_hot: int = MAX_HOT, seed: int = 17) -> list:
+    """Ids estimated to hold more than ``hot_rows`` rows, most frequent first,
+    at most ``max_hot``.  Found on a Bernoulli sample of the key column (one
+    partial + final aggregate, at most ``max_hot`` rows reach the driver).  The
+    list only chooses a plan: a hot id that the sample misses still joins
+    exactly, through the shuffle."""
+    n = F.count(F.lit(1))
+    counts = (df.select(key).sample(fraction=sample, seed=seed)
+              .filter(F.col(key).isNotNull()).groupBy(key).agg(n.alias("_n")))
+    rows = (counts.filter(F.col("_n") > F.lit(hot_rows * sample))
+            .orderBy(F.desc("_n"), key).limit(max_hot).collect())
+    return [r[key] for r in rows]
+
+
+def lookup_details(ids: DataFrame, details: DataFrame, key: str = "video_id",
+                   hot: list | None = None, **hot_args) -> DataFrame:
     """Each listed id with its details; ids without details are dropped and
-    repeated ids stay repeated (inner equi-join, planned by Catalyst/AQE; a
-    hot id is split by AQE's skew-join handling)."""
-    return ids.join(details, key, "inner")
+    repeated ids stay repeated (inner equi-join).
+
+    Hot ids are split off first: their rows join a broadcast of their few
+    detail rows inside each map task, so no task receives all rows of a hot
+    id and no detail partition is re-read once per split of it.  The other ids
+    take the ordinary shuffle join.  ``hot`` may be given; else it is found by
+    :func:`hot_keys`."""
+    if hot is None:
+        hot = hot_keys(ids, key, **hot_args)
+    if not hot:
+        return ids.join(details, key, "inner")
+    in_hot = F.col(key).isin(hot)
+    hot_part = ids.filter(in_hot).join(F.broadcast(details.filter(in_hot)), key, "inner")
+    cold_part = ids.filter(~in_hot).join(details.filter(~in_hot), key, "inner")
+    return hot_part.unionByName(cold_part)
 
 
 def running_before(counts: DataFrame, order: str, value: str,
@@ -58,10 +96,13 @@ def capped_collection(found: DataFrame, page: str = "page", cap: int = MAX_VIDEO
     page, as the loop does."""
     per_page = found.groupBy(page).agg(F.count(F.lit(1)).alias("_found"))
     kept = running_before(per_page, page, "_found", block).filter(F.col("before") < cap)
-    return found.join(kept.select(page), page, "left_semi")
+    kept = kept.select(page)
+    if cap <= BROADCAST_PAGES:
+        kept = F.broadcast(kept)  # at most ``cap`` rows, see BROADCAST_PAGES
+    return found.join(kept, page, "left_semi")
 
 
 def collect_videos(search_items: DataFrame, details: DataFrame, key: str = "video_id",
-                   page: str = "page", cap: int = MAX_VIDEOS) -> DataFrame:
+                   page: str = "page", cap: int = MAX_VIDEOS, **hot_args) -> DataFrame:
     """Search items (page, video_id) -> details of the collected videos."""
-    return capped_collection(lookup_details(search_items, details, key), page, cap)
+    return capped_collection(lookup_details(search_items, details, key, **hot_args), page, cap)

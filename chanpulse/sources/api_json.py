@@ -72,6 +72,14 @@ def _response(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df
 
 
+def _first_item(df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns plus ``_item``, the first item of the reply (NULL when
+    there is none).  Taken by a generator over a one-element slice: filters on
+    the item then stay above it, so the reply is parsed once per row instead
+    of once per predicate that Catalyst would push below a projection."""
+    return df.select(*keep, F.explode_outer(F.slice("response.items", 1, 1)).alias("_item"))
+
+
 @dataclass(frozen=True)
 class Parsed:
     rows: DataFrame
@@ -82,9 +90,7 @@ def channel_rows(landed: DataFrame, on_missing: str = "error") -> DataFrame:
     """First item of each channel reply -> snapshot row.  Channel id and
     capture time come from the request.  A reply without an item raises
     (``on_missing="error"``, one count job) or is dropped (``"drop"``)."""
-    df = _response(landed, CHANNEL_RESPONSE)
-    item = F.get(F.col("response.items"), 0)
-    df = df.withColumn("_item", item)
+    df = _first_item(_response(landed, CHANNEL_RESPONSE), ["channel_id", "captured_at"])
     if on_missing == "error":
         missing = df.filter(F.col("_item").isNull()).select("channel_id").limit(1).collect()
         if missing:
@@ -106,7 +112,7 @@ def video_rows(landed: DataFrame) -> Parsed:
     time: reject."""
     df = _response(landed, VIDEO_RESPONSE)
     has_corrupt = "_corrupt_record" in df.columns
-    df = df.withColumn("_item", F.get(F.col("response.items"), 0))
+    df = _first_item(df, ["video_id"] + (["_corrupt_record"] if has_corrupt else []))
     parsed = df.select(
         *([F.col("_corrupt_record")] if has_corrupt else []),
         F.col("video_id"),

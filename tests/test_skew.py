@@ -50,6 +50,14 @@ def test_hot_id_in_lookup_is_kept_whole(spark):
                                     .otherwise(F.col("id").cast("string")).alias("video_id"),
                                     F.col("id").alias("views"))
     assert collect.lookup_details(ids, details).count() == N  # repeats kept, none dropped
+    # with thresholds scaled to the fixture, the hot id is found and split off
+    assert collect.hot_keys(ids, "video_id", sample=0.2, hot_rows=1000) == ["hot"]
+    split = collect.lookup_details(ids, details, sample=0.2, hot_rows=1000)
+    assert split.count() == N
+    assert split.filter(F.col("video_id") == "hot").count() == N // 3
+    assert "BroadcastHashJoin" in plan(split)
+    same = split.exceptAll(collect.lookup_details(ids, details, hot=[]))
+    assert same.count() == 0
 
 
 def test_upsert_batch_with_hot_key_last_wins(spark):
