@@ -45,7 +45,7 @@ def transform(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None,
     channels = csv.load_channels(spark, ch_path)
     videos = csv.load_videos(spark, v_path, now)
     paths = parquet.save_outputs({"channel_stats": channels.rows, "videos": videos.rows},
-                                 out_dir, stamp)
+                                 out_dir, stamp, parallel=True)
     n_rejects = None
     if rejects_dir:
         parquet.save_outputs({"videos_rejects": videos.rejects}, rejects_dir, stamp)
@@ -61,7 +61,9 @@ def transform(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None,
         "monthly_trends": rollup.monthly_trends(src),
         "engagement_stats": rollup.engagement_stats(src),
     }
-    paths.update(parquet.save_outputs(analytics, out_dir, stamp))
+    if isinstance(src, rollup.BaseRollup):
+        src.df.count()  # fill the cache once, before the writes that share it
+    paths.update(parquet.save_outputs(analytics, out_dir, stamp, parallel=True))
     ch = spark.read.parquet(paths["channel_stats"])
     summary = rollup.run_summary(src, ch).first().asDict()
     if isinstance(src, rollup.BaseRollup):

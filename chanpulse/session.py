@@ -14,6 +14,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,14 @@ def local_fs_path(path: str) -> str:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def run_jobs(thunks: list[Callable[[], object]], max_workers: int = 8) -> list:
+    """Run independent Spark actions from driver threads so the scheduler can
+    run their tasks side by side; results in order, the first failure raised
+    after all have ended."""
+    if len(thunks) < 2:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=min(len(thunks), max_workers)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+    return [f.result() for f in futures]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import parse_iso_timestamp, with_video_metrics
 from ..schemas import RAW_CHANNEL, RAW_VIDEOS
+from ..session import run_jobs
 
 # Written stamps keep microseconds and the offset (the default keeps ms only).
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -80,8 +81,10 @@ def save_snapshots(channels: DataFrame, videos: DataFrame, directory: str,
     """Write ``channel_stats_<stamp>.csv`` and, when there are videos,
     ``videos_<stamp>.csv``; returns both paths (None for no videos)."""
     d = directory.rstrip("/")
-    ch = write_csv(channels.select(*RAW_CHANNEL.fieldNames()), f"{d}/channel_stats_{stamp}.csv")
-    vid = None
+    ch, vid = f"{d}/channel_stats_{stamp}.csv", None
+    jobs = [lambda: write_csv(channels.select(*RAW_CHANNEL.fieldNames()), ch)]
     if not videos.isEmpty():
-        vid = write_csv(videos.select(*RAW_VIDEOS.fieldNames()), f"{d}/videos_{stamp}.csv")
+        vid = f"{d}/videos_{stamp}.csv"
+        jobs.append(lambda: write_csv(videos.select(*RAW_VIDEOS.fieldNames()), vid))
+    run_jobs(jobs)  # two independent writes, run side by side
     return ch, vid

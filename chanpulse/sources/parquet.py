@@ -7,6 +7,7 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import run_jobs
 from . import fs
 
 log = logging.getLogger(__name__)
@@ -17,13 +18,24 @@ def dataset_path(directory: str, name: str, stamp: str) -> str:
 
 
 def save_outputs(frames: dict[str, DataFrame], directory: str, stamp: str,
-                 mode: str = "overwrite") -> dict[str, str]:
-    """Write each frame to ``<name>_<stamp>.parquet``; returns name -> path."""
-    paths = {}
-    for name, df in frames.items():
-        p = dataset_path(directory, name, stamp)
-        df.write.mode(mode).parquet(p)
-        paths[name] = p
+                 mode: str = "overwrite", parallel: bool = False) -> dict[str, str]:
+    """Write each frame to ``<name>_<stamp>.parquet``; returns name -> path.
+
+    ``parallel``: the writes are independent jobs, submitted together from
+    driver threads so the scheduler runs their tasks side by side (small
+    outputs then cost one job latency, not one each).  The first failure is
+    raised after all writes end."""
+    paths = {name: dataset_path(directory, name, stamp) for name in frames}
+
+    def write(name: str):
+        return lambda: frames[name].write.mode(mode).parquet(paths[name])
+
+    thunks = [write(name) for name in frames]
+    if parallel:
+        run_jobs(thunks)
+    else:
+        for t in thunks:
+            t()
     return paths
 
 
