@@ -36,6 +36,10 @@ def build_session(master: str | None = None, app: str = "chanpulse",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # no Python call-site capture per column function: it costs several
+        # driver<->JVM round trips per function when a plan is built, and
+        # only adds the Python line to DataFrame error messages
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
