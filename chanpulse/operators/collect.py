@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MAX_VIDEOS
+from ..session import checkpoint_root
 
 DEFAULT_BLOCK = 1 << 16
 # Hot ids: an id listed on more than HOT_ROWS rows (estimated from a
@@ -70,23 +71,34 @@ def lookup_details(ids: DataFrame, details: DataFrame, key: str = "video_id",
 
 
 def running_before(counts: DataFrame, order: str, value: str,
-                   block: int = DEFAULT_BLOCK) -> DataFrame:
+                   block: int = DEFAULT_BLOCK, materialize: bool = True) -> DataFrame:
     """Add ``before`` = sum of ``value`` over all rows with a smaller ``order``
-    (``order`` unique, integral)."""
-    b = F.floor(F.col(order) / F.lit(block))
-    c = counts.withColumn("_block", b)
-    within = Window.partitionBy("_block").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumn("_run", F.sum(value).over(within))
-    totals = c.groupBy("_block").agg(F.sum(value).alias("_total"))
+    (``order`` unique, integral).
+
+    One window partitioned by block gives both the running sum inside the
+    block and the block's total.  The block offsets (one row per block) and
+    the join back both read the counts; column pruning makes the two reads
+    differ, so Spark would compute everything behind ``counts`` twice.  With
+    ``materialize`` the counts are checkpointed to the shared checkpoint
+    folder first (reliable, cuts lineage) and the work behind them runs once."""
+    if materialize:
+        checkpoint_root(counts.sparkSession)
+        counts = counts.checkpoint(eager=True)
+    c = counts.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
+    in_block = Window.partitionBy("_block")
+    w = c.withColumns({
+        "_run": F.sum(value).over(in_block.orderBy(order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)),
+        "_btotal": F.sum(value).over(in_block)})
     # one row per block: the window below is over #pages / block rows
+    totals = w.groupBy("_block").agg(F.max("_btotal").alias("_total"))
     offsets = totals.withColumn(
         "_offset",
         F.coalesce(F.sum("_total").over(Window.orderBy("_block").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
-    return (c.join(offsets.select("_block", "_offset"), "_block")
+    return (w.join(offsets.select("_block", "_offset"), "_block")
             .withColumn("before", F.col("_offset") + F.col("_run") - F.col(value))
-            .drop("_block", "_run", "_offset"))
+            .drop("_block", "_run", "_btotal", "_offset"))
 
 
 def capped_collection(found: DataFrame, page: str = "page", cap: int = MAX_VIDEOS,
