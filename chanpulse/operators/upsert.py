@@ -125,7 +125,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     if on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
-        src = keep_last(src.select(*carried, order_by), keys, order_by)
+        # the deduplicated batch feeds the size check, the merge and the
+        # insert search: checkpoint it (shared folder, reliable) so its
+        # shuffle runs once instead of once per consumer
+        checkpoint_root(spark)
+        src = keep_last(src.select(*carried, order_by), keys, order_by).checkpoint(eager=True)
     elif on_duplicate != "error":
         raise ValueError("on_duplicate must be 'error' or 'last'")
     src = src.select(*carried)
