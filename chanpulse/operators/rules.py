@@ -93,6 +93,30 @@ def violation_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(*[F.count_if(r.violated).alias(r.name) for r in rules])
 
 
+@dataclass(frozen=True)
+class Profile:
+    rows: int
+    counts: dict[str, int]
+    parts: list  # distinct partition values (None for a NULL one)
+
+
+def profile(df: DataFrame, rules: list[Rule], partition: Column | None = None) -> Profile:
+    """Row count, violating rows per rule and the distinct values of
+    ``partition`` in one global aggregate (partial per task, so one row per
+    task is shuffled).  The set of partition values is bounded by the
+    table's partition count (months, hash buckets), not by the batch."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    aggs += [F.count_if(r.violated).alias(r.name) for r in rules]
+    if partition is not None:
+        aggs += [F.collect_set(partition).alias("_parts"),
+                 F.count_if(partition.isNull()).alias("_null_parts")]
+    r = df.agg(*aggs).first().asDict()
+    parts = list(r.get("_parts") or [])
+    if r.get("_null_parts"):
+        parts.append(None)
+    return Profile(int(r["_rows"] or 0), {x.name: int(r[x.name] or 0) for x in rules}, parts)
+
+
 def flag(df: DataFrame, rules: list[Rule], column: str = "violations") -> DataFrame:
     """Add a comma-separated list of the rules a row breaks ("" if none)."""
     names = [F.when(r.violated, F.lit(r.name)) for r in rules]

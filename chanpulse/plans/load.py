@@ -21,7 +21,7 @@ from ..functions.derive import as_of_literal, narrow_to_table_types, with_defaul
 from ..operators import rollup, rules, topk
 from ..operators.upsert import upsert
 from ..sources import parquet, snapshots
-from ..sources.warehouse import VersionedTable
+from ..sources.warehouse import VersionedTable, part_dir
 
 log = logging.getLogger(__name__)
 
@@ -63,10 +63,13 @@ def _typed(df: DataFrame, schema) -> DataFrame:
                        for c in df.columns])
 
 
-def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of, **kw) -> int:
+def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of,
+               touched: list[str] | None = None, **kw) -> int:
     """Upsert ``batch`` into the partitions it touches and commit them as the
-    next version; untouched partitions are not read or written."""
-    touched = table.partition_values(batch)
+    next version; untouched partitions are not read or written.  ``touched``
+    (partition folders) may be known already, else one job lists them."""
+    if touched is None:
+        touched = table.partition_values(batch)
     target = table.read_partitions(touched)
     info: dict = {}
     merged = upsert(target, batch, table.keys, update, as_of, id_col=table.id_col,
@@ -74,25 +77,35 @@ def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of
     return table.commit(merged, touched, max_id=info.get("max_id"))
 
 
-def _check(batch: DataFrame, rule_list, keys, mode: str, name: str, result: LoadResult):
+def _check(table: VersionedTable, batch: DataFrame, rule_list, mode: str, name: str,
+           result: LoadResult) -> tuple[DataFrame, rules.Profile]:
+    """The batch to merge and its profile.  One job gives the row count, the
+    violations per rule and the partitions the batch touches; ``fail``
+    raises on any violation, ``quarantine`` sets the breaking rows aside."""
     rs = rules.applicable(batch, rule_list)
     if mode == "quarantine":
-        good, bad = rules.quarantine(batch, rs)
+        batch, bad = rules.quarantine(batch, rs)
         result.quarantined[name] = bad
-        return good
-    return rules.enforce(batch, rs, keys, mode="fail")
+        rs = []
+    elif mode != "fail":
+        raise ValueError("mode must be 'fail' or 'quarantine'")
+    prof = rules.profile(batch, rs, table.partition)
+    if any(prof.counts.values()):
+        raise rules.RuleViolation(prof.counts)
+    return batch, prof
 
 
 def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
                   on_duplicate="error", order_by=None, result=None) -> int | None:
     result = result if result is not None else LoadResult()
-    if batch.isEmpty():
+    b = _typed(batch, S.CHANNEL_TABLE)
+    b, prof = _check(wh.channels, b, rules.channel_rules(), mode, "channel_stats", result)
+    if prof.rows == 0:
         log.warning("No channel stats data to upsert")
         return None
-    b = _typed(batch, S.CHANNEL_TABLE)
     # key repeats are detected by the upsert, in the same job as its size check
-    b = _check(b, rules.channel_rules(), None, mode, "channel_stats", result)
-    n = merge_into(wh.channels, b, S.CHANNEL_UPDATE, as_of, created="created_at",
+    n = merge_into(wh.channels, b, S.CHANNEL_UPDATE, as_of,
+                   touched=[part_dir(v) for v in prof.parts], created="created_at",
                    refresh_created=True, on_duplicate=on_duplicate, order_by=order_by)
     result.versions["channel_stats"] = n
     return n
@@ -103,14 +116,15 @@ def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mo
     """``loader="full"``: every column from the batch but publish_time and
     created_at; ``"narrow"`` (the deployed loader): title and views only."""
     result = result if result is not None else LoadResult()
-    if batch.isEmpty():
-        log.warning("No videos data to upsert")
-        return None
     update = S.VIDEO_UPDATE_FULL if loader == "full" else S.VIDEO_UPDATE_NARROW
     b = with_defaults(narrow_to_table_types(batch), S.VIDEO_DEFAULTS, S.VIDEO_TABLE)
     b = _typed(b, S.VIDEO_TABLE)
-    b = _check(b, rules.video_rules(), None, mode, "videos", result)
-    n = merge_into(wh.videos, b, update, as_of, created="created_at", updated="updated_at")
+    b, prof = _check(wh.videos, b, rules.video_rules(), mode, "videos", result)
+    if prof.rows == 0:
+        log.warning("No videos data to upsert")
+        return None
+    n = merge_into(wh.videos, b, update, as_of, touched=[part_dir(v) for v in prof.parts],
+                   created="created_at", updated="updated_at")
     result.versions["videos"] = n
     return n
 
