@@ -2,6 +2,8 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from chanpulse.functions.derive import as_of_literal
 from chanpulse.operators import rules
 
@@ -51,3 +53,16 @@ def test_freshness_channel_first(spark):
         rules.check_freshness(new, v_old, as_of_literal(NOW))
     assert rules.check_freshness(new, v_new, as_of_literal(NOW)) == {
         "recent_channels": 1, "recent_videos": 1}
+
+
+def test_profile_counts_rules_and_partitions_in_one_pass(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5), ("b", 30, 5), ("c", None, 7), ("d", 25, None)],
+        "k string, publish_hour int, bucket int")
+    rs = [rules.in_range("publish_hour", 0, 23)] + rules.not_null(["publish_hour"])
+    p = rules.profile(df, rs, F.col("bucket"))
+    assert p.rows == 4
+    assert p.counts == {"range_publish_hour": 2, "not_null_publish_hour": 1}
+    assert sorted(p.parts, key=lambda v: (v is None, v)) == [5, 7, None]
+    empty = rules.profile(df.filter(F.lit(False)), rs, F.col("bucket"))
+    assert empty.rows == 0 and empty.parts == [] and not any(empty.counts.values())
