@@ -36,18 +36,21 @@ def warehouse(spark: SparkSession, root: str, video_buckets: int = 16) -> Wareho
     """Idempotent table creation (the DDL step).
 
     Channel snapshots are partitioned by capture month (a daily load touches
-    one partition); videos by ``pmod(xxhash64(video_id), video_buckets)``
-    (size it so one bucket is around a gigabyte: 16 for tests, thousands for
-    a large table).  Both partitions are functions of the key."""
+    one partition); videos by ``pmod(xxhash64(video_id), buckets)``.  Both
+    partitions are functions of the key, so a key never moves.  The bucket
+    count is fixed when the table is created (stored in its manifest; an
+    existing table keeps its own, whatever ``video_buckets`` says): size it so
+    one bucket is around a gigabyte, 16 for tests, thousands for a large
+    table, since a load rewrites the buckets its batch touches."""
     r = root.rstrip("/")
-    return Warehouse(
-        VersionedTable(spark, f"{r}/channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS,
-                       partition=F.trunc(F.to_date("captured_at"), "month"), id_col="id")
-        .create_if_not_exists(),
-        VersionedTable(spark, f"{r}/videos", S.VIDEO_TABLE, S.VIDEO_KEYS,
-                       partition=F.pmod(F.xxhash64("video_id"), F.lit(video_buckets)),
-                       id_col="id")
-        .create_if_not_exists())
+    channels = VersionedTable(spark, f"{r}/channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS,
+                              partition=F.trunc(F.to_date("captured_at"), "month"),
+                              id_col="id").create_if_not_exists()
+    videos = VersionedTable(spark, f"{r}/videos", S.VIDEO_TABLE, S.VIDEO_KEYS, id_col="id")
+    videos.create_if_not_exists(props={"buckets": int(video_buckets)})
+    buckets = int(videos.manifest().props.get("buckets", video_buckets))
+    videos.partition = F.pmod(F.xxhash64("video_id"), F.lit(buckets))
+    return Warehouse(channels, videos)
 
 
 @dataclass
@@ -137,8 +140,10 @@ def summary(wh: Warehouse) -> dict:
 
 
 def load(spark: SparkSession, processed_dir: str, warehouse_dir: str, as_of=None,
-         loader: str = "full", policy: str = "name", mode: str = "fail") -> LoadResult:
-    wh = warehouse(spark, warehouse_dir)
+         loader: str = "full", policy: str = "name", mode: str = "fail",
+         video_buckets: int = 16) -> LoadResult:
+    """``video_buckets`` applies only when the videos table is created."""
+    wh = warehouse(spark, warehouse_dir, video_buckets)
     now = as_of_literal(as_of)
     ch_path = snapshots.latest_dataset(spark, processed_dir, "channel_stats", policy)
     v_path = snapshots.latest_dataset(spark, processed_dir, "videos", policy)

@@ -44,16 +44,17 @@ class Manifest:
     version: int
     partitions: dict[str, int] = field(default_factory=dict)  # dir name -> version
     max_id: int = 0
+    props: dict = field(default_factory=dict)  # fixed at creation (e.g. bucket count)
 
     def to_json(self) -> str:
         return json.dumps({"version": self.version, "partitions": self.partitions,
-                           "max_id": self.max_id}, sort_keys=True)
+                           "max_id": self.max_id, "props": self.props}, sort_keys=True)
 
     @staticmethod
     def from_json(text: str) -> "Manifest":
         d = json.loads(text)
         return Manifest(int(d["version"]), {k: int(v) for k, v in d["partitions"].items()},
-                        int(d.get("max_id") or 0))
+                        int(d.get("max_id") or 0), dict(d.get("props") or {}))
 
 
 def part_dir(value) -> str:
@@ -105,12 +106,14 @@ class VersionedTable:
         return Manifest.from_json(fs.read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
 
     # -- DDL ----------------------------------------------------------------
-    def create_if_not_exists(self) -> "VersionedTable":
-        """Idempotent: an empty version 0 when the table has none."""
+    def create_if_not_exists(self, props: dict | None = None) -> "VersionedTable":
+        """Idempotent: an empty version 0 when the table has none.  ``props``
+        (fixed table properties) are stored in it and carried by every later
+        version."""
         if self.current_version() is None:
             try:
                 fs.write_text(self.spark, f"{self._manifest_dir()}/{0:08d}.json",
-                              Manifest(0).to_json())
+                              Manifest(0, props=dict(props or {})).to_json())
             except Exception:  # another creator won; that version 0 is as good
                 if self.current_version() is None:
                     raise
@@ -170,7 +173,7 @@ class VersionedTable:
             max_id = self._read_dirs(written).agg(F.max(self.id_col)).first()[0]
         max_id = max(known, int(max_id or 0))
         fs.write_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json",
-                      Manifest(n, parts, max_id).to_json())
+                      Manifest(n, parts, max_id, cur.props if cur else {}).to_json())
         return n
 
     def vacuum(self, retain: int = 10, dry_run: bool = True) -> list[str]:

@@ -99,3 +99,21 @@ def test_rule_failure_keeps_table(spark, tmp_dir):
 def test_missing_snapshot_fails(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         transform(spark, f"{tmp_dir}/empty", f"{tmp_dir}/out", AS_OF)
+
+
+def test_bucket_count_fixed_at_creation(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    load_job.warehouse(spark, f"{tmp_dir}/wh", video_buckets=4)
+    again = load_job.warehouse(spark, f"{tmp_dir}/wh", video_buckets=16)
+    assert again.videos.manifest().props == {"buckets": 4}
+    ids = spark.range(200).select(F.col("id").cast("string").alias("video_id"))
+    parts = {r[0] for r in ids.select(again.videos.partition).distinct().collect()}
+    assert parts == {0, 1, 2, 3}
+    # later versions carry the property
+    raw = f"{tmp_dir}/raw"
+    write(f"{raw}/videos_20251105_190000.csv", V_HEADER
+          + "v1,T,2022-09-24T00:56:06+00:00,10,1,1,0.2,Saturday,0\n")
+    batch = csv.read_videos_csv(spark, f"{raw}/videos_20251105_190000.csv", as_of_literal(AS_OF))
+    load_job.load_videos(again, batch, as_of_literal(AS_OF))
+    assert again.videos.current_version() == 1
+    assert again.videos.manifest().props == {"buckets": 4}
