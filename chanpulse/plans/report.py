@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fixed4, short_title, stamp_text, thousands
 from ..operators import rollup, topk
-from ..schemas import TOP_REPORT
+from .. import schemas as S
 
 
 def _txt(c: Column) -> Column:
@@ -25,36 +25,32 @@ def _lines(df: DataFrame, section: str, lines: list[Column]) -> DataFrame:
             .select(F.lit(section).alias("section"), "ordinal", "line"))
 
 
+def _labelled(labels, values: list[Column]) -> list[Column]:
+    return [F.concat(F.lit(label), _txt(v)) for label, v in zip(labels, values, strict=True)]
+
+
 def channel_section(channels: DataFrame) -> DataFrame:
     snap = topk.latest_snapshot(channels)
-    return _lines(snap, "channel", [
-        F.concat(F.lit("Channel: "), _txt(F.col("channel_title"))),
-        F.concat(F.lit("Subscribers: "), _txt(thousands("subscribers"))),
-        F.concat(F.lit("Total Views: "), _txt(thousands("total_views"))),
-        F.concat(F.lit("Video Count: "), _txt(thousands("video_count"))),
-        F.concat(F.lit("Last Updated: "), _txt(stamp_text("captured_at"))),
-    ])
+    return _lines(snap, "channel", _labelled(S.REPORT_CHANNEL_LABELS, [
+        F.col("channel_title"), thousands("subscribers"), thousands("total_views"),
+        thousands("video_count"), stamp_text("captured_at")]))
 
 
 def video_section(videos) -> DataFrame:
     s = rollup.video_summary(videos)
-    return _lines(s, "videos", [
-        F.concat(F.lit("Total Videos: "), _txt(thousands("total_videos"))),
-        F.concat(F.lit("Total Views: "), _txt(thousands("total_views"))),
-        F.concat(F.lit("Average Views: "), _txt(thousands("avg_views"))),
-        F.concat(F.lit("Max Views: "), _txt(thousands("max_views"))),
-        F.concat(F.lit("Average Engagement Rate: "),
-                 _txt(fixed4(F.col("avg_engagement_rate").cast("double")))),
-    ])
+    return _lines(s, "videos", _labelled(S.REPORT_VIDEO_LABELS, [
+        thousands("total_videos"), thousands("total_views"), thousands("avg_views"),
+        thousands("max_views"), fixed4(F.col("avg_engagement_rate").cast("double"))]))
 
 
-def top_section(videos: DataFrame, k: int = TOP_REPORT) -> DataFrame:
+def top_section(videos: DataFrame, k: int = S.TOP_REPORT) -> DataFrame:
     top = topk.top_videos(videos, k, ["video_id", "title", "views", "engagement_rate"])
     w = Window.orderBy(F.col("views").desc_nulls_last(), F.col("video_id").asc_nulls_last())
-    line = F.concat(F.row_number().over(w).cast("string"), F.lit(". "),
-                    _txt(short_title("title")), F.lit(" - "), _txt(thousands("views")),
-                    F.lit(" views (ER: "), _txt(fixed4(F.col("engagement_rate").cast("double"))),
-                    F.lit(")"))
+    after_n, after_title, after_views, end = S.REPORT_TOP_PARTS
+    line = F.concat(F.row_number().over(w).cast("string"), F.lit(after_n),
+                    _txt(short_title("title")), F.lit(after_title), _txt(thousands("views")),
+                    F.lit(after_views),
+                    _txt(fixed4(F.col("engagement_rate").cast("double"))), F.lit(end))
     return top.select(F.lit("top").alias("section"),
                       F.row_number().over(w).alias("ordinal"), line.alias("line"))
 
@@ -73,8 +69,8 @@ def render(report: DataFrame) -> str:
     body = []
     for r in rows:
         if r["section"] == "videos" and r["ordinal"] == 1:
-            body.append("\nVideo Statistics:")
+            body.append("\n" + S.REPORT_VIDEO_HEADING)
         if r["section"] == "top" and r["ordinal"] == 1:
-            body.append("\nTop 5 Videos:")
+            body.append("\n" + S.REPORT_TOP_HEADING)
         body.append(r["line"])
     return "\n".join(head + body + ["=" * 60])

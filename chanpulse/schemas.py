@@ -27,6 +27,16 @@ TOP_PROCESSED, TOP_VIEW, TOP_REPORT, TOP_PANEL = 10, 100, 5, 10
 REPORT_TITLE_CHARS = 50
 # Ingest: 50 ids per search page, 100 videos collected per run.
 PAGE_SIZE, MAX_VIDEOS = 50, 100
+# Report text, in report order.  Channel and video lines are "<label><value>";
+# a top line is "<n>. <title cut>... - <views> views (ER: <rate>)", whose
+# literal parts follow in order.
+REPORT_CHANNEL_LABELS = ("Channel: ", "Subscribers: ", "Total Views: ", "Video Count: ",
+                         "Last Updated: ")
+REPORT_VIDEO_HEADING = "Video Statistics:"
+REPORT_VIDEO_LABELS = ("Total Videos: ", "Total Views: ", "Average Views: ", "Max Views: ",
+                       "Average Engagement Rate: ")
+REPORT_TOP_HEADING = "Top 5 Videos:"
+REPORT_TOP_PARTS = (". ", " - ", " views (ER: ", ")")
 # ------------------------------------------------------------------------------
 
 INT32_MIN, INT32_MAX = -(2 ** 31), 2 ** 31 - 1
