@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..schemas import PACE_DECIMAL, RATE_DECIMAL
 
 ColumnOrName = Column | str
@@ -65,7 +66,7 @@ def comments_per_view(comments: ColumnOrName = "comments",
 
 def weekday_name(ts: ColumnOrName) -> Column:
     """English weekday name of the UTC time ("Saturday")."""
-    return F.date_format(_c(ts), "EEEE")
+    return F.date_format(_c(ts), S.WEEKDAY_NAME_PATTERN)
 
 
 def hour_of_day(ts: ColumnOrName) -> Column:
@@ -83,7 +84,7 @@ def day_of_week(ts: ColumnOrName) -> Column:
 
 def month_key(ts: ColumnOrName) -> Column:
     """``yyyy-MM`` text."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    return F.date_format(_c(ts), S.MONTH_KEY_PATTERN)
 
 
 def month_start(month: ColumnOrName) -> Column:

@@ -27,6 +27,11 @@ TOP_PROCESSED, TOP_VIEW, TOP_REPORT, TOP_PANEL = 10, 100, 5, 10
 REPORT_TITLE_CHARS = 50
 # Ingest: 50 ids per search page, 100 videos collected per run.
 PAGE_SIZE, MAX_VIDEOS = 50, 100
+# Snapshot names: <entity>_<yyyyMMdd>_<HHmmss>.<ext> (the stamp in strftime form).
+SNAPSHOT_STAMP_FORMAT = "%Y%m%d_%H%M%S"
+# Weekday name: the full English name ("Saturday"); month key "2025-11" (Spark patterns).
+WEEKDAY_NAME_PATTERN = "EEEE"
+MONTH_KEY_PATTERN = "yyyy-MM"
 # Report text, in report order.  Channel and video lines are "<label><value>";
 # a top line is "<n>. <title cut>... - <views> views (ER: <rate>)", whose
 # literal parts follow in order.

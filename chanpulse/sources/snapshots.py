@@ -13,9 +13,10 @@ import re
 
 from pyspark.sql import SparkSession
 
+from ..schemas import SNAPSHOT_STAMP_FORMAT
 from . import fs
 
-STAMP_FORMAT = "%Y%m%d_%H%M%S"
+STAMP_FORMAT = SNAPSHOT_STAMP_FORMAT
 
 
 def snapshot_regex(entity: str, ext: str) -> re.Pattern:
