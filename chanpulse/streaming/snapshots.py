@@ -11,7 +11,10 @@ Files that arrive in one micro-batch are merged by name stamp: a key seen
 in several files keeps the row of the newest file (``on_duplicate="last"``),
 which is what loading the files one after the other in name order gives for
 the data columns.  A batch replayed after a failure re-applies the same
-upsert (idempotent for the data; a new table version is written).
+upsert (idempotent for the data; a new table version is written).  No
+per-trigger file cap is set on purpose: the file source orders new files by
+modification time, not by name stamp, so with a cap an older snapshot could
+be merged after a newer one and win.
 """
 
 from __future__ import annotations
