@@ -4,6 +4,15 @@ Top-k is ``orderBy(...).limit(k)``, which Catalyst plans as
 ``TakeOrderedAndProject``: every task keeps its own k best rows and one task
 merges (#tasks x k) rows, so no global sort of the input.  Ties on views are
 broken by ``video_id`` ascending so the list is deterministic.
+
+On a large input (many files) the top list is taken in two passes.  The
+first reads the ``views`` column alone and finds the k-th largest value t.
+The second keeps ``views >= t``, a plain comparison that reaches the Parquet
+scan, where the min/max statistics skip every row group whose largest value
+is below t, so only the few row groups holding the winners are read with all
+their columns.  Every row of the true top list has views >= t, so the result
+is the same rows, ties and NULLs included (with fewer than k non-NULL views
+no filter is applied).
 """
 
 from __future__ import annotations
@@ -25,10 +34,31 @@ def _by_views() -> list[Column]:
     return [F.col("views").desc_nulls_last(), F.col("video_id").asc_nulls_last()]
 
 
+# Inputs read from at least this many files take the two-pass top list.
+PREFILTER_MIN_FILES = 64
+
+
+def kth_largest(df: DataFrame, column: str, k: int):
+    """The k-th largest non-NULL value of ``column`` (None when there are
+    fewer than k); one narrow top-k job, k values reach the driver."""
+    rows = (df.select(column).filter(F.col(column).isNotNull())
+            .orderBy(F.col(column).desc()).limit(k).collect())
+    return rows[-1][0] if len(rows) == k else None
+
+
 def top_videos(videos: DataFrame, k: int = TOP_PROCESSED,
-               columns: list[str] | None = None) -> DataFrame:
-    """The ``k`` most viewed videos (all columns unless ``columns``)."""
-    top = videos.orderBy(*_by_views()).limit(k)
+               columns: list[str] | None = None, prefilter: bool | None = None) -> DataFrame:
+    """The ``k`` most viewed videos (all columns unless ``columns``).
+    ``prefilter``: take the two-pass plan (module notes); by default when
+    the input is read from at least ``PREFILTER_MIN_FILES`` files."""
+    if prefilter is None:
+        prefilter = len(videos.inputFiles()) >= PREFILTER_MIN_FILES
+    src = videos
+    if prefilter:
+        t = kth_largest(videos, "views", k)
+        if t is not None:
+            src = videos.filter(F.col("views") >= F.lit(t))
+    top = src.orderBy(*_by_views()).limit(k)
     return top.select(*columns) if columns else top
 
 

@@ -132,3 +132,24 @@ def test_capped_collection_page_granular(spark):
     # repeated ids stay repeated, missing ids are dropped
     ids2 = ids.unionByName(ids.filter("page = 0"))
     assert collect.lookup_details(ids2, details).count() == 20 + 4
+
+
+def test_two_pass_top_k_equals_one_pass(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    ids = spark.range(5000)
+    df = ids.select(F.format_string("v%05d", "id").alias("video_id"),
+                    F.when(F.col("id") % 97 == 0, F.lit(None))
+                    .otherwise((F.col("id") * 7919) % 500).cast("long").alias("views"),
+                    F.lit("t").alias("title"))
+    df.repartition(70).write.parquet(f"{tmp_dir}/many")
+    v = spark.read.parquet(f"{tmp_dir}/many")
+    assert len(v.inputFiles()) >= topk.PREFILTER_MIN_FILES  # the default takes two passes
+    for k in (1, 10, 100):  # many ties on views: the id tie-break must survive the filter
+        one = [tuple(r) for r in topk.top_videos(v, k, prefilter=False).collect()]
+        two = [tuple(r) for r in topk.top_videos(v, k).collect()]
+        assert one == two and len(two) == k
+    p = topk.top_videos(v, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(views" in p  # the threshold reaches the Parquet scan
+    few = spark.createDataFrame([("a", 1, "t"), ("b", None, "t")],
+                                "video_id string, views long, title string")
+    assert [r.video_id for r in topk.top_videos(few, 5, prefilter=True).collect()] == ["a", "b"]
