@@ -77,12 +77,22 @@ def top_videos_panel(videos: DataFrame) -> DataFrame:
     return top_videos(videos, TOP_PANEL, PANEL_COLUMNS)
 
 
-def latest_snapshot(channels: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def latest_snapshot(channels: DataFrame, columns: list[str] | None = None,
+                    prefilter: bool | None = None) -> DataFrame:
     """The newest channel snapshot across channels (one row); equal capture
-    times are broken by channel_id."""
+    times are broken by channel_id.  On a large input (``prefilter``, as for
+    the top lists) the newest capture time is found first from that column
+    alone, and the scan then keeps only row groups that can hold it."""
     cols = columns or SNAPSHOT_COLUMNS
-    return (channels.orderBy(F.col("captured_at").desc_nulls_last(),
-                             F.col("channel_id").asc_nulls_last())
+    if prefilter is None:
+        prefilter = len(channels.inputFiles()) >= PREFILTER_MIN_FILES
+    src = channels
+    if prefilter:
+        t = kth_largest(channels, "captured_at", 1)
+        if t is not None:
+            src = channels.filter(F.col("captured_at") >= F.lit(t))
+    return (src.orderBy(F.col("captured_at").desc_nulls_last(),
+                        F.col("channel_id").asc_nulls_last())
             .limit(1).select(*cols))
 
 
