@@ -159,7 +159,9 @@ def test_two_pass_latest_snapshot_equals_one_pass(spark, tmp_dir):
     from pyspark.sql import functions as F
     ch = spark.range(3000).select(
         F.format_string("c%03d", F.col("id") % 300).alias("channel_id"),
-        (F.lit(ts(2024, 1, 1)) + F.make_interval(hours=(F.col("id") * 37) % 200)).alias("captured_at"),
+        # (channel, time) is the table key, so unique; all 300 channels tie on the newest time
+        (F.lit(ts(2024, 1, 1)) + F.make_interval(hours=(F.col("id") / 300).cast("int")))
+        .alias("captured_at"),
         F.lit("T").alias("channel_title"), F.col("id").alias("subscribers"),
         F.col("id").alias("total_views"), F.lit(1).alias("video_count"))
     ch.repartition(70).write.parquet(f"{tmp_dir}/ch")
@@ -167,3 +169,4 @@ def test_two_pass_latest_snapshot_equals_one_pass(spark, tmp_dir):
     cols = ["channel_id", "captured_at", "subscribers"]
     one = topk.latest_snapshot(c, cols, prefilter=False).collect()
     assert topk.latest_snapshot(c, cols).collect() == one  # default: two passes (70 files)
+    assert one[0].channel_id == "c000"  # the tie on time goes to the lowest channel id
