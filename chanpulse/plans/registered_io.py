@@ -12,7 +12,7 @@ from ..functions.derive import as_of_literal, parse_iso_timestamp
 from ..operators import rollup, topk
 from ..operators.upsert import keep_last
 from ..schemas import CHANNEL_KEYS, RAW_VIDEOS
-from ..session import scratch_path
+from ..session import run_jobs, scratch_path
 from ..sources import api_json, csv, parquet, snapshots
 from . import proxies
 from .load import load, warehouse
@@ -149,10 +149,11 @@ def _raw_snapshots(spark, sf_dir) -> str:
     videos = _quoted_raw(spark, sf_dir)
     chans = keep_last(proxies.channel_batch(proxies.table(spark, sf_dir, "orders")),
                       CHANNEL_KEYS, "seq").drop("seq")
-    csv.save_snapshots(chans.withColumn("subscribers", F.col("subscribers") - 1),
-                       videos.withColumn("views", F.col("views") + 1),
-                       raw_dir, "20240130_000000")
-    csv.save_snapshots(chans, videos, raw_dir, "20240131_000000")
+    run_jobs([  # the two pairs are independent writes
+        lambda: csv.save_snapshots(chans.withColumn("subscribers", F.col("subscribers") - 1),
+                                   videos.withColumn("views", F.col("views") + 1),
+                                   raw_dir, "20240130_000000"),
+        lambda: csv.save_snapshots(chans, videos, raw_dir, "20240131_000000")])
     return raw_dir
 
 
