@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import TOP_PANEL, TOP_PROCESSED, TOP_REPORT, TOP_VIEW
 
@@ -38,12 +39,22 @@ def _by_views() -> list[Column]:
 PREFILTER_MIN_FILES = 64
 
 
-def kth_largest(df: DataFrame, column: str, k: int):
-    """The k-th largest non-NULL value of ``column`` (None when there are
-    fewer than k); one narrow top-k job, k values reach the driver."""
-    rows = (df.select(column).filter(F.col(column).isNotNull())
-            .orderBy(F.col(column).desc()).limit(k).collect())
-    return rows[-1][0] if len(rows) == k else None
+def kth_largest(df: DataFrame, column: str, k: int) -> Column | None:
+    """The k-th largest non-NULL value of ``column`` as a literal (None when
+    there are fewer than k); one narrow top-k job, k values reach the driver.
+    A timestamp travels as epoch microseconds, never as a local-time Python
+    datetime (exact in any driver time zone, daylight-saving hours included);
+    ``timestamp_micros`` of a literal folds to a constant, so a comparison
+    with it still reaches the Parquet scan."""
+    c = F.col(column)
+    is_ts = isinstance(df.schema[column].dataType, T.TimestampType)
+    value = F.unix_micros(c) if is_ts else c
+    rows = (df.filter(c.isNotNull()).select(value.alias("_v"))
+            .orderBy(F.col("_v").desc()).limit(k).collect())
+    if len(rows) < k:
+        return None
+    v = rows[-1][0]
+    return F.timestamp_micros(F.lit(v)) if is_ts else F.lit(v)
 
 
 def top_videos(videos: DataFrame, k: int = TOP_PROCESSED,
@@ -57,7 +68,7 @@ def top_videos(videos: DataFrame, k: int = TOP_PROCESSED,
     if prefilter:
         t = kth_largest(videos, "views", k)
         if t is not None:
-            src = videos.filter(F.col("views") >= F.lit(t))
+            src = videos.filter(F.col("views") >= t)
     top = src.orderBy(*_by_views()).limit(k)
     return top.select(*columns) if columns else top
 
@@ -90,7 +101,7 @@ def latest_snapshot(channels: DataFrame, columns: list[str] | None = None,
     if prefilter:
         t = kth_largest(channels, "captured_at", 1)
         if t is not None:
-            src = channels.filter(F.col("captured_at") >= F.lit(t))
+            src = channels.filter(F.col("captured_at") >= t)
     return (src.orderBy(F.col("captured_at").desc_nulls_last(),
                         F.col("channel_id").asc_nulls_last())
             .limit(1).select(*cols))

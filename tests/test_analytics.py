@@ -170,3 +170,5 @@ def test_two_pass_latest_snapshot_equals_one_pass(spark, tmp_dir):
     one = topk.latest_snapshot(c, cols, prefilter=False).collect()
     assert topk.latest_snapshot(c, cols).collect() == one  # default: two passes (70 files)
     assert one[0].channel_id == "c000"  # the tie on time goes to the lowest channel id
+    p = topk.latest_snapshot(c, cols)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(captured_at" in p  # the folded threshold reaches the scan
