@@ -70,3 +70,15 @@ def test_upsert_batch_with_hot_key_last_wins(spark):
     got = {r.k: r.v for r in out.collect()}
     assert got["hot"] == max(i for i in range(N) if i % 3 == 0)
     assert len(got) == 1 + (N - N // 3)
+
+
+def test_hot_id_edges(spark):
+    uniform = spark.range(N).select(F.col("id").cast("string").alias("video_id"))
+    assert collect.hot_keys(uniform, "video_id", sample=0.2, hot_rows=1000) == []
+    ids = spark.range(N).select(F.when(F.col("id") % 3 == 0, F.lit("gone"))
+                                .otherwise(F.col("id").cast("string")).alias("video_id"))
+    details = spark.range(N).select(F.col("id").cast("string").alias("video_id"))
+    # a hot id without details is dropped, as by the plain inner join
+    out = collect.lookup_details(ids, details, sample=0.2, hot_rows=1000)
+    assert out.count() == N - (N + 2) // 3
+    assert out.filter(F.col("video_id") == "gone").count() == 0
