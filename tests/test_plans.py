@@ -89,3 +89,12 @@ def test_top_k_plan(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_videos_100"](spark, SF))
     df = spark.range(100).selectExpr("CAST(id AS STRING) AS video_id", "id % 7 AS views")
     assert "TakeOrderedAndProject" in plan(topk.top_videos(df, 5).select(F.col("video_id")))
+
+
+def test_capped_collection_runs_the_lookup_once(spark):
+    # the per-page counts are checkpointed, so the final plan joins ids to
+    # details once (for the kept pages only), not once per prefix-sum branch
+    p = plan(QUERIES["capped_collection"](spark, SF))
+    joins = len(re.findall(r"(?:BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[video_id", p))
+    assert joins == 1
+    assert "LeftSemi" in p
