@@ -114,12 +114,13 @@ def with_next(docs: DataFrame, carry: list[str], rows_per_block: int = ROWS_PER_
                                                             F.col("_block").alias("at")))) \
         .otherwise(F.array(F.struct(F.lit(0).alias("copy"), F.col("_block").alias("at")),
                            F.struct(F.lit(1).alias("copy"), F.col("_into").alias("at"))))
-    rows = rows.withColumn("_place", F.explode(places))
-    order = Window.partitionBy("_place.at").orderBy("_place.copy", "doc_id", "text")
-    for c in ("text", *carry):
-        rows = rows.withColumn(f"next_{c}", F.lead(c).over(order))
-    return rows.filter(F.col("_place.copy") == 0).select(
-        "doc_id", "text", *carry, *[f"next_{c}" for c in ("text", *carry)])
+    rows = rows.withColumn("_place", F.explode(places)).select(
+        "doc_id", "text", *carry, F.col("_place.copy").alias("_copy"), F.col("_place.at").alias("_at"))
+    order = Window.partitionBy("_at").orderBy("_copy", "doc_id", "text")
+    # one window for all columns, so that the rows are shuffled once
+    return rows.select("doc_id", "text", *carry, "_copy",
+                       *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", *carry)]) \
+        .filter(F.col("_copy") == 0).drop("_copy")
 
 
 def with_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE,
