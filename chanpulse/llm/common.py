@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import io
+import os
+import shutil
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +31,37 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the workers import this package, wherever they start (once a context)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    folder = tempfile.mkdtemp()  # the driver's own; Spark hands the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "chanpulse.zip")
+    with open(path, "wb") as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def arrow_udf(run, kind: str):
+    """``F.arrow_udf`` for code of this package."""
+    ship(SparkSession.active())
+    return F.arrow_udf(run, kind)
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

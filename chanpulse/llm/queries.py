@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanpulse.llm import fingerprint, mixing, sharding
+from chanpulse.llm import bpe, fingerprint, langid, mixing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op2(table(spark, sf_dir, "documents"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op3(table(spark, sf_dir, "documents"))
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op5(table(spark, sf_dir, "documents"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op7(table(spark, sf_dir, "documents"))
 
@@ -26,6 +38,9 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": _op2,
+    "op3_langid": _op3,
+    "op5_quality": _op5,
     "op7_fingerprints": _op7,
     "op8_sharding": _op8,
     "op9_mixing": _op9,
