@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanpulse.llm import bpe, fingerprint, langid, mixing, quality, sharding
+from chanpulse.llm import bpe, fingerprint, langid, mixing, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5(table(spark, sf_dir, "documents"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.op7(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": _op2,
     "op3_langid": _op3,
     "op5_quality": _op5,
+    "op6_toxicity": _op6,
     "op7_fingerprints": _op7,
     "op8_sharding": _op8,
     "op9_mixing": _op9,
