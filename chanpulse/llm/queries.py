@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanpulse.llm import bpe, fingerprint, langid, mixing, quality, sharding, toxicity
+from chanpulse.llm import bpe, fingerprint, langid, mixing, neardup, quality, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op9(table(spark, sf_dir, "documents"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op10(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": _op2,
     "op3_langid": _op3,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_fingerprints": _op7,
     "op8_sharding": _op8,
     "op9_mixing": _op9,
+    "op10_neardup": _op10,
 }
 
 #: No query here has one: curves, sketches, sampled keys and models have no SQL form

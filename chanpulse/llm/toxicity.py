@@ -65,7 +65,8 @@ SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
 # fixed values: characters that aren't seen
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
-_BETWEEN = re.compile(r"(?<=\w)[@$!|+](?=\w)")
+#: A sign within a word, or at its beginning
+_BETWEEN = re.compile(r"(?:(?<=\w)|(?<!\S))[@$!|+](?=[^\W\d_])")
 _ODD = re.compile(r"[^\x00-\x7f\w]+")
 
 
