@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chanpulse.llm import bpe, fingerprint, langid, mixing, neardup, quality, sharding, toxicity
+from chanpulse.llm import (ann, bpe, fingerprint, langid, mixing, neardup, quality, sharding,
+                           toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.op1(table(spark, sf_dir, "embeddings"))
+
+
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2(table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,10 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op3(table(spark, sf_dir, "documents"))
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op4(table(spark, sf_dir, "pages"))
+
+
 def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5(table(spark, sf_dir, "documents"))
 
@@ -46,8 +55,10 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": _op1,
     "op2_bpe": _op2,
     "op3_langid": _op3,
+    "op4_warc": _op4,
     "op5_quality": _op5,
     "op6_toxicity": _op6,
     "op7_fingerprints": _op7,
