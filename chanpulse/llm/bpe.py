@@ -247,13 +247,12 @@ def decode_column(path: str):
     return arrow_udf(run, "string")
 
 
-def digest_column(path: str):
-    """Arrow UDF: text to n_tokens and the digests of its ids and of their decoding.
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-    The ids stay in the worker: over a corpus they are larger than the text.
-    """
+
+def _encoded(path: str, with_ids: bool):
     def run(text: pa.Array) -> pa.Array:
-        counts, ids_sha, text_sha = [], [], []
+        counts, ids_sha, text_sha, raws = [], [], [], []
         for part in slices(text):
             e = encoder(path)
             for raw in e.encode(texts(part)):
@@ -261,10 +260,31 @@ def digest_column(path: str):
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(raw).hexdigest())
                 text_sha.append(hashlib.sha256(e.decode(ids.tolist()).encode()).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
-             pa.array(text_sha, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
-    return arrow_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+                if with_ids:
+                    raws.append(raw)
+        columns = [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
+                   pa.array(text_sha, pa.string())]
+        names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+            columns.append(pa.ListArray.from_arrays(
+                ends, pa.array(np.frombuffer(b"".join(raws), "<i4"))))
+            names.append("ids")
+        return pa.StructArray.from_arrays(columns, names)
+    return run
+
+
+def digest_column(path: str):
+    """Arrow UDF: text to n_tokens and the digests of its ids and of their decoding.
+
+    The ids stay in the worker: over a corpus they are larger than the text.
+    """
+    return arrow_udf(_encoded(path, False), DIGESTS)
+
+
+def encoded_column(path: str):
+    """Arrow UDF: like ``digest_column``, with the ids."""
+    return arrow_udf(_encoded(path, True), f"{DIGESTS}, ids array<int>")
 
 
 def op2(docs: DataFrame, path: str | None = None) -> DataFrame:
