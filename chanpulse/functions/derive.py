@@ -40,8 +40,14 @@ def parse_iso_timestamp(c: ColumnOrName) -> Column:
 
 
 def counter(c: ColumnOrName) -> Column:
-    """Counter text -> bigint, 0 when absent (NULL) or not a number."""
-    return F.coalesce(_c(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Counter text -> bigint: 0 when absent, NULL when it is no number (see
+    :func:`bad_counter`)."""
+    return F.when(_c(c).isNull(), F.lit(0).cast("bigint")).otherwise(_c(c).try_cast("bigint"))
+
+
+def bad_counter(c: ColumnOrName) -> Column:
+    """A counter is there, but no number."""
+    return _c(c).isNotNull() & _c(c).try_cast("bigint").isNull()
 
 
 def per_view(numerator: Column, views: ColumnOrName) -> Column:
@@ -130,8 +136,8 @@ def with_video_metrics(df: DataFrame, as_of: Column) -> DataFrame:
 def narrow_to_table_types(df: DataFrame) -> DataFrame:
     """Rates to DECIMAL(10,6), pace to DECIMAL(15,2), half away from zero.
 
-    Out-of-range values become NULL here (``try_cast``) and are reported by
-    the range rule instead of failing the job."""
+    For rows that passed the rules, which look at the wide values; a value out
+    of range would become NULL here (``try_cast``)."""
     cols = {}
     for name in ("engagement_rate", "likes_per_view", "comments_per_view"):
         if name in df.columns:

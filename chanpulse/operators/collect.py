@@ -19,14 +19,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import MAX_VIDEOS
-from ..session import checkpoint_root
+from ..schemas import PAGE_SIZE
+from ..session import materialise
+from .upsert import keep_last
 
 DEFAULT_BLOCK = 1 << 16
 # Hot ids: an id listed on more than HOT_ROWS rows (estimated from a
 # HOT_SAMPLE share of the rows) is joined through a broadcast of its details.
 # At most MAX_HOT ids are taken that way, so the broadcast holds at most
-# MAX_HOT detail rows (details are keyed: one reply item per id).
+# MAX_HOT detail rows (one reply per id is left before the join).
 HOT_SAMPLE = 0.01
 HOT_ROWS = 1_000_000
 MAX_HOT = 1000
@@ -50,16 +51,30 @@ def hot_keys(df: DataFrame, key: str, sample: float = HOT_SAMPLE, hot_rows: int
     return [r[key] for r in rows]
 
 
+def one_reply(details: DataFrame, key: str = "video_id", newest: str = "landed_at") -> DataFrame:
+    """The newest of an id's replies (of equal ones, or without ``newest``, the one
+    with the greatest values); ``newest`` is not kept."""
+    rest = [c for c in details.columns if c != key]
+    if not rest:
+        return details.distinct()
+    order = newest if newest in rest else rest[0]
+    out = keep_last(details, [key], order)
+    return out.drop(newest) if newest in details.columns else out
+
+
 def lookup_details(ids: DataFrame, details: DataFrame, key: str = "video_id",
-                   hot: list | None = None, **hot_args) -> DataFrame:
-    """Each listed id with its details; ids without details are dropped and
-    repeated ids stay repeated (inner equi-join).
-
-    Hot ids are split off first: their rows join a broadcast of their few
-    detail rows inside each map task, so no task receives all rows of a hot
-    id and no detail partition is re-read once per split of it.  The other ids
-    take the ordinary shuffle join.  ``hot`` may be given; else it is found by
-    :func:`hot_keys`."""
+                   hot: list | None = None, newest: str = "landed_at", **hot_args) -> DataFrame:
+    """Each listed id with its details: one row per listing.  Ids without
+    details are dropped, repeated ids stay repeated (inner equi-join).
+
+    An id may have been looked up more than once; the newest reply (greatest
+    ``newest``, ties by the other columns) counts, so details have one row per
+    id before the join.  Hot ids are split off first: their rows join a
+    broadcast of their detail rows, at most ``MAX_HOT`` of them, inside each
+    map task.  The other ids take the ordinary shuffle join, where adaptive
+    execution splits what is still uneven.  ``hot`` may be given; else it is
+    found by :func:`hot_keys`."""
+    details = one_reply(details, key, newest)
     if hot is None:
         hot = hot_keys(ids, key, **hot_args)
     if not hot:
@@ -79,11 +94,10 @@ def running_before(counts: DataFrame, order: str, value: str,
     block and the block's total.  The block offsets (one row per block) and
     the join back both read the counts; column pruning makes the two reads
     differ, so Spark would compute everything behind ``counts`` twice.  With
-    ``materialize`` the counts are checkpointed to the shared checkpoint
-    folder first (reliable, cuts lineage) and the work behind them runs once."""
+    ``materialize`` the counts are written to the shared checkpoint folder
+    first, and the work behind them runs once."""
     if materialize:
-        checkpoint_root(counts.sparkSession)
-        counts = counts.checkpoint(eager=True)
+        counts = materialise(counts, "counts")
     c = counts.withColumn("_block", F.floor(F.col(order) / F.lit(block)))
     in_block = Window.partitionBy("_block")
     w = c.withColumns({
@@ -101,7 +115,7 @@ def running_before(counts: DataFrame, order: str, value: str,
             .drop("_block", "_run", "_btotal", "_offset"))
 
 
-def capped_collection(found: DataFrame, page: str = "page", cap: int = MAX_VIDEOS,
+def capped_collection(found: DataFrame, cap: int, page: str = "page",
                       block: int = DEFAULT_BLOCK) -> DataFrame:
     """Found videos of the pages read before the cap was reached.  The last
     page read is kept whole, so the result may exceed ``cap`` by up to one
@@ -114,7 +128,35 @@ def capped_collection(found: DataFrame, page: str = "page", cap: int = MAX_VIDEO
     return found.join(kept, page, "left_semi")
 
 
+def first_pages(search_items: DataFrame, details: DataFrame, cap: int, key: str = "video_id",
+                page: str = "page") -> int | None:
+    """A page below which at least ``cap`` videos are found (None: all pages).
+
+    Only the pages before the cap matter, so found ids are counted on a range of
+    first pages that doubles until it holds enough; the range is a filter on
+    ``page`` that reaches the scan."""
+    ends = search_items.agg(F.min(page).alias("lo"), F.max(page).alias("hi")).first()
+    if ends["lo"] is None:
+        return None
+    known = details.select(key)
+    lo, width = int(ends["lo"]), max(1, -(-cap // PAGE_SIZE))
+    while lo + width <= int(ends["hi"]):
+        some = search_items.filter(F.col(page) < lo + width).select(key)
+        if some.join(known, key, "left_semi").count() >= cap:
+            return lo + width
+        width *= 2
+    return None
+
+
 def collect_videos(search_items: DataFrame, details: DataFrame, key: str = "video_id",
-                   page: str = "page", cap: int = MAX_VIDEOS, **hot_args) -> DataFrame:
-    """Search items (page, video_id) -> details of the collected videos."""
-    return capped_collection(lookup_details(search_items, details, key, **hot_args), page, cap)
+                   page: str = "page", cap: int | None = None, newest: str = "landed_at",
+                   **hot_args) -> DataFrame:
+    """Search items (page, video_id) -> details of the collected videos: of all pages,
+    or of those read until ``cap`` videos were found."""
+    if cap is None:
+        return lookup_details(search_items, details, key, newest=newest, **hot_args)
+    stop = first_pages(search_items, details, cap, key, page)
+    if stop is not None:
+        search_items = search_items.filter(F.col(page) < stop)
+    return capped_collection(lookup_details(search_items, details, key, newest=newest, **hot_args),
+                             cap, page)

@@ -41,12 +41,13 @@ def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
 
 def fresh_counts(channels: DataFrame, videos: DataFrame, as_of: Column,
                  days: int = FRESH_DAYS, video_column: str = "created_at") -> DataFrame:
-    """One row: recent channel snapshots and recent videos.  Each side is one
-    filtered count (partial aggregate per task); the two one-row results are
-    stacked and folded, no cross join."""
-    since = minus_days(as_of, days)
-    c = channels.agg(F.count_if(F.col("captured_at") >= since).alias("recent_channels"))
-    v = videos.agg(F.count_if(F.col(video_column) >= since).alias("recent_videos"))
+    """One row: recent channel snapshots and recent videos.  Each side is a
+    pushed-down filter and a count (partial aggregate per task), so the scan
+    skips the history; the two one-row results are stacked and folded, no
+    cross join."""
+    n = F.count(F.lit(1))
+    c = recent(channels, "captured_at", as_of, days).agg(n.alias("recent_channels"))
+    v = recent(videos, video_column, as_of, days).agg(n.alias("recent_videos"))
     both = c.unionByName(v, allowMissingColumns=True)
     return both.agg(F.max("recent_channels").alias("recent_channels"),
                     F.max("recent_videos").alias("recent_videos"))

@@ -17,13 +17,14 @@ from pyspark.sql.types import DataType
 
 from .. import schemas as S
 from .filters import fresh_counts
-from .upsert import duplicate_keys
 
 
 @dataclass(frozen=True)
 class Rule:
     name: str
     violated: Column
+    column: str | None = None  # the column it looks at
+    required: bool = False     # an absent column violates it
 
 
 class RuleViolation(ValueError):
@@ -34,28 +35,28 @@ class RuleViolation(ValueError):
 
 
 def not_null(columns: list[str]) -> list[Rule]:
-    return [Rule(f"not_null_{c}", F.col(c).isNull()) for c in columns]
+    return [Rule(f"not_null_{c}", F.col(c).isNull(), c, required=True) for c in columns]
 
 
 def in_range(column: str, lo, hi) -> Rule:
     c = F.col(column)
-    return Rule(f"range_{column}", c.isNotNull() & ((c < lo) | (c > hi)))
+    return Rule(f"range_{column}", c.isNotNull() & ((c < lo) | (c > hi)), column)
 
 
 def max_length(column: str, n: int) -> Rule:
     c = F.col(column)
-    return Rule(f"length_{column}", c.isNotNull() & (F.char_length(c) > n))
+    return Rule(f"length_{column}", c.isNotNull() & (F.char_length(c) > n), column)
 
 
 def fits(column: str, dt: DataType | str, name: str | None = None) -> Rule:
     """The value converts to ``dt`` without overflow (e.g. DECIMAL(10,6))."""
     c = F.col(column)
-    return Rule(name or f"fits_{column}", c.isNotNull() & c.try_cast(dt).isNull())
+    return Rule(name or f"fits_{column}", c.isNotNull() & c.try_cast(dt).isNull(), column)
 
 
 def int32(column: str) -> Rule:
     c = F.col(column)
-    return Rule(f"int32_{column}", c.isNotNull() & ((c < S.INT32_MIN) | (c > S.INT32_MAX)))
+    return Rule(f"int32_{column}", c.isNotNull() & ((c < S.INT32_MIN) | (c > S.INT32_MAX)), column)
 
 
 def video_rules() -> list[Rule]:
@@ -77,14 +78,15 @@ def channel_rules() -> list[Rule]:
 
 
 def applicable(df: DataFrame, rules: list[Rule]) -> list[Rule]:
-    """Rules whose columns exist in ``df``."""
+    """The rules as they hold for ``df``: every row breaks the NOT NULL rule of
+    a column that ``df`` lacks; a range or length of such a column holds."""
+    have = set(df.columns)
     out = []
     for r in rules:
-        try:
-            df.select(r.violated)
-        except Exception:  # column absent in this frame
-            continue
-        out.append(r)
+        if r.column is None or r.column in have:
+            out.append(r)
+        elif r.required:
+            out.append(Rule(r.name, F.lit(True), None, True))
     return out
 
 
@@ -131,21 +133,6 @@ def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def enforce(df: DataFrame, rules: list[Rule], keys: list[str] | None = None,
-            mode: str = "fail") -> DataFrame | tuple[DataFrame, DataFrame]:
-    """``fail``: one job counts every rule (and key repeats) and raises
-    :class:`RuleViolation` if any is broken, else returns ``df``.
-    ``quarantine``: returns (good, bad) without an action."""
-    if mode == "quarantine":
-        return quarantine(df, rules)
-    counts = violation_counts(df, rules).first().asDict() if rules else {}
-    if keys:
-        counts["unique_" + "_".join(keys)] = duplicate_keys(df, keys).count()
-    if any(counts.values()):
-        raise RuleViolation(counts)
-    return df
-
-
 def check_freshness(channels: DataFrame, videos: DataFrame, as_of: Column,
                     days: int = S.FRESH_DAYS, video_column: str = "created_at") -> dict:
     """Raise when no channel snapshot (checked first) or no video row is

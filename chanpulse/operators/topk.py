@@ -5,14 +5,14 @@ Top-k is ``orderBy(...).limit(k)``, which Catalyst plans as
 merges (#tasks x k) rows, so no global sort of the input.  Ties on views are
 broken by ``video_id`` ascending so the list is deterministic.
 
-On a large input (many files) the top list is taken in two passes.  The
-first reads the ``views`` column alone and finds the k-th largest value t.
-The second keeps ``views >= t``, a plain comparison that reaches the Parquet
-scan, where the min/max statistics skip every row group whose largest value
-is below t, so only the few row groups holding the winners are read with all
-their columns.  Every row of the true top list has views >= t, so the result
-is the same rows, ties and NULLs included (with fewer than k non-NULL views
-no filter is applied).
+On request (``prefilter``) the top list of a stored ``views`` column is taken
+in two passes.  The first reads that column alone and finds the k-th largest
+value t.  The second keeps ``views >= t``, a plain comparison that reaches the
+Parquet scan, where the min/max statistics skip every row group whose largest
+value is below t.  Every row of the true top list has views >= t, so the
+result is the same rows, ties and NULLs included (with fewer than k non-NULL
+views no filter is applied).  Where ``views`` is computed, the statistics know
+nothing of it and one pass is better; that is the default.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .filters import time_range
+from .upsert import keep_last
 from ..schemas import TOP_PANEL, TOP_PROCESSED, TOP_REPORT, TOP_VIEW
 
 VIEW_COLUMNS = ["video_id", "title", "publish_time", "views", "likes", "comments",
@@ -35,9 +37,6 @@ def _by_views() -> list[Column]:
     return [F.col("views").desc_nulls_last(), F.col("video_id").asc_nulls_last()]
 
 
-# Inputs read from at least this many files take the two-pass top list.
-PREFILTER_MIN_FILES = 64
-
 
 def kth_largest(df: DataFrame, column: str, k: int) -> Column | None:
     """The k-th largest non-NULL value of ``column`` as a literal (None when
@@ -58,12 +57,9 @@ def kth_largest(df: DataFrame, column: str, k: int) -> Column | None:
 
 
 def top_videos(videos: DataFrame, k: int = TOP_PROCESSED,
-               columns: list[str] | None = None, prefilter: bool | None = None) -> DataFrame:
+               columns: list[str] | None = None, prefilter: bool = False) -> DataFrame:
     """The ``k`` most viewed videos (all columns unless ``columns``).
-    ``prefilter``: take the two-pass plan (module notes); by default when
-    the input is read from at least ``PREFILTER_MIN_FILES`` files."""
-    if prefilter is None:
-        prefilter = len(videos.inputFiles()) >= PREFILTER_MIN_FILES
+    ``prefilter``: take the two-pass plan (module notes)."""
     src = videos
     if prefilter:
         t = kth_largest(videos, "views", k)
@@ -89,14 +85,12 @@ def top_videos_panel(videos: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(channels: DataFrame, columns: list[str] | None = None,
-                    prefilter: bool | None = None) -> DataFrame:
+                    prefilter: bool = False) -> DataFrame:
     """The newest channel snapshot across channels (one row); equal capture
-    times are broken by channel_id.  On a large input (``prefilter``, as for
-    the top lists) the newest capture time is found first from that column
-    alone, and the scan then keeps only row groups that can hold it."""
+    times are broken by channel_id.  With ``prefilter`` (as for the top
+    lists) the newest capture time is found first from that column alone,
+    and the scan then keeps only row groups that can hold it."""
     cols = columns or SNAPSHOT_COLUMNS
-    if prefilter is None:
-        prefilter = len(channels.inputFiles()) >= PREFILTER_MIN_FILES
     src = channels
     if prefilter:
         t = kth_largest(channels, "captured_at", 1)
@@ -108,26 +102,17 @@ def latest_snapshot(channels: DataFrame, columns: list[str] | None = None,
 
 
 def latest_per_channel(channels: DataFrame) -> DataFrame:
-    """The newest snapshot of every channel.
-
-    ``max`` of a struct led by ``captured_at`` is a declarative aggregate
-    with a partial (map-side) phase, so a channel holding a third of all
-    snapshots is reduced in every task before the shuffle; no window sorts a
-    whole channel in one task."""
-    rest = [c for c in channels.columns if c not in ("channel_id", "captured_at")]
-    best = F.max(F.struct("captured_at", *rest)).alias("_best")
-    return (channels.groupBy("channel_id").agg(best)
-            .select("channel_id", "_best.captured_at", *[f"_best.{c}" for c in rest]))
+    """The newest snapshot of every channel (see :func:`keep_last`); of equal
+    capture times the one with the greatest remaining columns."""
+    return keep_last(channels, ["channel_id"], "captured_at").select(
+        "channel_id", "captured_at",
+        *[c for c in channels.columns if c not in ("channel_id", "captured_at")])
 
 
 def series(channels: DataFrame, measure: str, start=None, end=None) -> DataFrame:
     """Dashboard series: ``captured_at AS time`` and one measure, oldest
     first, optionally restricted to ``[start, end]`` (inactive by default)."""
-    df = channels
-    if start is not None:
-        df = df.filter(F.col("captured_at") >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        df = df.filter(F.col("captured_at") <= F.lit(end).cast("timestamp"))
+    df = time_range(channels.select("captured_at", measure), "captured_at", start, end)
     return df.select(F.col("captured_at").alias("time"), measure).orderBy("time")
 
 

@@ -9,26 +9,27 @@ Semantics (one statement ``INSERT ... ON CONFLICT (keys) DO UPDATE``):
   take defaults, the stamps take ``as_of``, the id column a new id;
 * a target row not in the batch is unchanged.
 
-Plan: the batch is measured first (rows, key repeats and exact byte size in
-one aggregate).  When its size is under the broadcast bound the batch is
-broadcast: the target is joined map-side (no shuffle of the target), and the
-keys it matched (at most the batch's size) are broadcast again to find the
-inserts with an anti join.  Above the bound both sides are hash-partitioned on
-the keys (sort-merge join).  Keys are unique on both sides after the
-duplicate rule, so no key can skew the join.
+Plan: the batch is written once to the shared checkpoint folder and measured
+there (rows, key repeats and exact byte size in one aggregate).  When its size
+is under the broadcast bound the batch is broadcast: the target is joined
+map-side (no shuffle of the target), and the keys it matched (at most the
+batch's size) are broadcast again to find the inserts with an anti join.  Above
+the bound one full outer join merges both sides, each hash-partitioned on the
+keys once.  Keys are unique on both sides after the duplicate rule, so no key
+can skew the join.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, materialise
 
-_HIT = "_s_hit"
+_HIT, _THERE = "_s_hit", "_t_there"
 
 
 class DuplicateKeyError(ValueError):
@@ -48,13 +49,22 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def keep_last(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` (ties broken by
-    the remaining columns).  ``max`` of a struct is a partial aggregate, so a
-    key repeated in a third of all rows is reduced map-side."""
+    the remaining columns).
+
+    The maximum per key is a hash aggregate, partial before the shuffle, so a
+    key repeated in a third of all rows costs one row per task; only rows that
+    hold their key's maximum go on to the window that breaks ties.  Keys and
+    ``order_by`` may be NULL (a NULL ``order_by`` is the smallest)."""
     rest = [c for c in df.columns if c not in keys and c != order_by]
-    best = F.max(F.struct(order_by, *rest)).alias("_best")
-    return (df.groupBy(*keys).agg(best)
-            .select(*keys, *[F.col(f"_best.{c}").alias(c) for c in [order_by] + rest])
-            .select(*df.columns))
+    newest = df.groupBy(*keys).agg(F.max(order_by).alias("_newest"))
+    newest = newest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
+    same = F.col(order_by).eqNullSafe(F.col("_newest"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    held = df.join(newest, same).select(*df.columns)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(
+        *[F.col(c).desc_nulls_last() for c in rest or keys]))
+    return held.withColumn("_place", first).filter(F.col("_place") == 1).drop("_place")
 
 
 @dataclass(frozen=True)
@@ -106,10 +116,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
            updated: str | None = None, id_col: str | None = None,
            on_duplicate: str = "error", order_by: str | None = None,
            strategy: str = "auto", id_start: int | None = None,
-           info: dict | None = None) -> DataFrame:
+           info: dict | None = None, defaults: dict | None = None) -> DataFrame:
     """Merge ``source`` into ``target`` by ``keys``; returns the new table
-    frame with ``target``'s columns.  ``strategy``: ``auto`` (size check),
-    ``broadcast`` or ``shuffle``.  ``on_duplicate``: ``error`` or ``last``
+    frame with ``target``'s columns.  ``strategy``: ``auto`` (size check) or
+    ``shuffle``.  ``defaults``: values that inserted rows take for columns the
+    source lacks.  ``on_duplicate``: ``error`` or ``last``
     (needs ``order_by``).  ``id_start``: the table's largest id when
     ``target`` holds only part of the table (else it is computed).  ``info``
     (optional dict) receives ``rows``, ``bytes``, ``broadcast`` and, with ids,
@@ -121,18 +132,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     missing = [k for k in keys if k not in carried]
     if missing:
         raise ValueError(f"source lacks key columns {missing}")
-    src = source
+    if strategy not in ("auto", "shuffle"):
+        raise ValueError("strategy must be 'auto' or 'shuffle'")
     if on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
-        # the deduplicated batch feeds the size check, the merge and the
-        # insert search: checkpoint it (shared folder, reliable) so its
-        # shuffle runs once instead of once per consumer
-        checkpoint_root(spark)
-        src = keep_last(src.select(*carried, order_by), keys, order_by).checkpoint(eager=True)
-    elif on_duplicate != "error":
+        src = keep_last(source.select(*dict.fromkeys([*carried, order_by])), keys, order_by)
+    elif on_duplicate == "error":
+        src = source
+    else:
         raise ValueError("on_duplicate must be 'error' or 'last'")
-    src = src.select(*carried)
+    # the batch feeds the size check, the merge and the insert search
+    src = materialise(src.select(*carried), "batch")
 
     stats = batch_stats(src, keys)
     if stats.max_repeat > 1:
@@ -143,48 +154,50 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
         info.update(broadcast=False, max_id=id_start)
         return target
     limit = broadcast_limit(spark)
-    use_bc = strategy == "broadcast" or (
-        strategy == "auto" and 0 <= stats.bytes <= limit and limit > 0)
+    use_bc = strategy == "auto" and 0 <= stats.bytes <= limit and limit > 0
     info["broadcast"] = use_bc
 
     non_key = [c for c in carried if c not in keys]
-    s = src.select(*keys, *[F.col(c).alias(_p(c)) for c in non_key], F.lit(True).alias(_HIT))
-    # above the bound both sides are hash-partitioned and sort-merged (spills,
-    # never holds a side in memory); the hint keeps Catalyst from guessing
-    s_side = F.broadcast(s) if use_bc else s.hint("merge")
-    joined = target.join(s_side, keys, "left")
-    hit = F.col(_HIT).isNotNull()
+    types = {f.name: f.dataType for f in target.schema.fields}
+    defaults = defaults or {}
+    hit, there = F.col(_HIT).isNotNull(), F.col(_THERE).isNotNull()
+    s = src.select(*[F.col(c).alias(_p(c)) for c in carried], F.lit(True).alias(_HIT))
+    t = target.withColumn(_THERE, F.lit(True))
+    on = [F.col(k) == F.col(_p(k)) for k in keys]
 
     def existing_col(c: str) -> Column:
-        if c in keys:
-            return F.col(c)
         if c in update and c in non_key:
-            return F.when(hit, F.col(_p(c))).otherwise(F.col(c)).alias(c)
-        if c == updated:
-            return F.when(hit, as_of).otherwise(F.col(c)).alias(c)
-        if c == created and refresh_created:
-            return F.when(hit, as_of).otherwise(F.col(c)).alias(c)
+            return F.when(hit, F.col(_p(c)).cast(types[c])).otherwise(F.col(c))
+        if c == updated or (c == created and refresh_created):
+            return F.when(hit, as_of.cast(types[c])).otherwise(F.col(c))
         return F.col(c)
 
-    existing = joined.select(*[existing_col(c) for c in tcols])
+    def insert_col(c: str) -> Column:
+        if c in carried:
+            return F.col(_p(c)).cast(types[c])
+        if c in (created, updated):
+            return as_of.cast(types[c])
+        return F.lit(defaults.get(c)).cast(types[c])
 
     if use_bc:
+        existing = t.join(F.broadcast(s), on, "left").select(
+            *[existing_col(c).alias(c) for c in tcols])
         matched = (target.select(*keys)
                    .join(F.broadcast(src.select(*keys)), keys, "left_semi"))
-        inserts = src.join(F.broadcast(matched), keys, "left_anti")
+        new = src.join(F.broadcast(matched), keys, "left_anti").select(
+            *[F.col(c).alias(_p(c)) for c in carried])
+        new_rows = new.select(*[insert_col(c).alias(c) for c in tcols])
     else:
-        inserts = src.hint("merge").join(target.select(*keys), keys, "left_anti")
-
-    types = {f.name: f.dataType for f in target.schema.fields}
-
-    def insert_col(c: str) -> Column:
-        if c in carried:
-            return F.col(c).cast(types[c]).alias(c)
-        if c in (created, updated):
-            return as_of.cast(types[c]).alias(c)
-        return F.lit(None).cast(types[c]).alias(c)
-
-    new_rows = inserts.select(*[insert_col(c) for c in tcols])
+        # one full outer join; the hint keeps Catalyst from guessing a broadcast
+        both = t.join(s.hint("merge"), on, "full_outer")
+        merged = both.select(*[F.when(there, existing_col(c)).otherwise(insert_col(c)).alias(c)
+                               for c in tcols], there.alias(_THERE))
+        if not id_col:
+            return merged.drop(_THERE)
+        # inserted rows are numbered after the merge, so it is written once
+        merged = materialise(merged, "merged")
+        existing = merged.filter(F.col(_THERE)).drop(_THERE)
+        new_rows = merged.filter(~F.col(_THERE)).drop(_THERE)
     if id_col:
         start = id_start if id_start is not None else (target.agg(F.max(id_col)).first()[0] or 0)
         new_rows = assign_ids(new_rows, id_col, int(start), info).select(*tcols)

@@ -3,7 +3,7 @@ registry)."""
 
 from __future__ import annotations
 
-from . import registered_analytics, registered_io, registered_tables  # noqa: F401
+from . import registered_analytics, registered_io, registered_jobs, registered_tables  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

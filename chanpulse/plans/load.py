@@ -60,9 +60,10 @@ class LoadResult:
     summary: dict | None = None
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
+def _narrowed(df: DataFrame, schema) -> DataFrame:
+    """Table columns at the table's types; only for rows that passed the rules."""
     types = {f.name: f.dataType for f in schema.fields}
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
+    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c)
                        for c in df.columns])
 
 
@@ -73,11 +74,13 @@ def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of
     (partition folders) may be known already, else one job lists them."""
     if touched is None:
         touched = table.partition_values(batch)
-    target = table.read_partitions(touched)
+    base = table.manifest()
+    target = table.read_partitions(touched, base)
     info: dict = {}
     merged = upsert(target, batch, table.keys, update, as_of, id_col=table.id_col,
-                    id_start=table.manifest().max_id, info=info, **kw)
-    return table.commit(merged, touched, max_id=info.get("max_id"))
+                    id_start=base.max_id, info=info, **kw)
+    # fails if another load has committed since ``base``
+    return table.commit(merged, touched, max_id=info.get("max_id"), base=base)
 
 
 def _check(table: VersionedTable, batch: DataFrame, rule_list, mode: str, name: str,
@@ -101,13 +104,12 @@ def _check(table: VersionedTable, batch: DataFrame, rule_list, mode: str, name:
 def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
                   on_duplicate="error", order_by=None, result=None) -> int | None:
     result = result if result is not None else LoadResult()
-    b = _typed(batch, S.CHANNEL_TABLE)
-    b, prof = _check(wh.channels, b, rules.channel_rules(), mode, "channel_stats", result)
+    b, prof = _check(wh.channels, batch, rules.channel_rules(), mode, "channel_stats", result)
     if prof.rows == 0:
-        log.warning("No channel stats data to upsert")
+        log.warning("channel snapshots: the batch is empty, nothing to merge")
         return None
     # key repeats are detected by the upsert, in the same job as its size check
-    n = merge_into(wh.channels, b, S.CHANNEL_UPDATE, as_of,
+    n = merge_into(wh.channels, _narrowed(b, S.CHANNEL_TABLE), S.CHANNEL_UPDATE, as_of,
                    touched=[part_dir(v) for v in prof.parts], created="created_at",
                    refresh_created=True, on_duplicate=on_duplicate, order_by=order_by)
     result.versions["channel_stats"] = n
@@ -115,19 +117,24 @@ def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
 
 
 def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mode="fail",
-                result=None) -> int | None:
+                on_duplicate="error", order_by=None, result=None) -> int | None:
     """``loader="full"``: every column from the batch but publish_time and
-    created_at; ``"narrow"`` (the deployed loader): title and views only."""
+    created_at; ``"narrow"`` (the deployed loader): title and views only.
+
+    The rules see the batch's own wide values, so a rate that DECIMAL(10,6)
+    can't hold or a counter over 32 bits is reported as such, and quarantined
+    rows keep them; good rows are narrowed to the table's types afterwards."""
     result = result if result is not None else LoadResult()
     update = S.VIDEO_UPDATE_FULL if loader == "full" else S.VIDEO_UPDATE_NARROW
-    b = with_defaults(narrow_to_table_types(batch), S.VIDEO_DEFAULTS, S.VIDEO_TABLE)
-    b = _typed(b, S.VIDEO_TABLE)
+    b = with_defaults(batch, S.VIDEO_DEFAULTS)
     b, prof = _check(wh.videos, b, rules.video_rules(), mode, "videos", result)
     if prof.rows == 0:
-        log.warning("No videos data to upsert")
+        log.warning("videos: the batch is empty, nothing to merge")
         return None
-    n = merge_into(wh.videos, b, update, as_of, touched=[part_dir(v) for v in prof.parts],
-                   created="created_at", updated="updated_at")
+    n = merge_into(wh.videos, _narrowed(narrow_to_table_types(b), S.VIDEO_TABLE), update, as_of,
+                   touched=[part_dir(v) for v in prof.parts],
+                   created="created_at", updated="updated_at", on_duplicate=on_duplicate,
+                   order_by=order_by)
     result.versions["videos"] = n
     return n
 
@@ -141,21 +148,24 @@ def summary(wh: Warehouse) -> dict:
 
 def load(spark: SparkSession, processed_dir: str, warehouse_dir: str, as_of=None,
          loader: str = "full", policy: str = "name", mode: str = "fail",
-         video_buckets: int = 16) -> LoadResult:
-    """``video_buckets`` applies only when the videos table is created."""
+         video_buckets: int = 16, on_duplicate: str = "error",
+         order_by: str | None = None) -> LoadResult:
+    """``video_buckets`` applies only when the videos table is created.
+    ``on_duplicate="last"`` keeps, of rows with the same key, the one with the
+    greatest ``order_by`` (by default the entity's first counter) instead of failing."""
     wh = warehouse(spark, warehouse_dir, video_buckets)
     now = as_of_literal(as_of)
     ch_path = snapshots.latest_dataset(spark, processed_dir, "channel_stats", policy)
     v_path = snapshots.latest_dataset(spark, processed_dir, "videos", policy)
     result = LoadResult()
     if not ch_path and not v_path:
-        log.error("No processed data files found")
+        log.error("neither entity has a processed dataset in %s", processed_dir)
         return result
     ch, v = parquet.read_processed(spark, ch_path, v_path)
     if ch is not None:
-        load_channels(wh, ch, now, mode, result=result)
+        load_channels(wh, ch, now, mode, on_duplicate, order_by or "subscribers", result)
     if v is not None:
-        load_videos(wh, v, now, loader, mode, result=result)
+        load_videos(wh, v, now, loader, mode, on_duplicate, order_by or "views", result)
     result.summary = summary(wh)
     return result
 

@@ -100,9 +100,9 @@ def channel_batch(orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ replies
-def channel_replies(channels: DataFrame) -> DataFrame:
+def channel_replies(channels: DataFrame, keep: str | None = None) -> DataFrame:
     """Landed channel replies (request context + reply text) from channel
-    rows; the video counter is absent when it is 0."""
+    rows; the video counter is absent when it is 0.  ``keep``: one more column."""
     stats = F.struct(F.col("subscribers").cast("string").alias("subscriberCount"),
                      F.col("total_views").cast("string").alias("viewCount"),
                      F.when(F.col("video_count") != 0, F.col("video_count").cast("string"))
@@ -113,7 +113,8 @@ def channel_replies(channels: DataFrame) -> DataFrame:
     return channels.select(
         F.col("channel_id").cast("string").alias("channel_id"),
         F.date_format("captured_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("captured_at"),
-        F.to_json(F.struct(F.array(item).alias("items"))).alias("response"))
+        F.to_json(F.struct(F.array(item).alias("items"))).alias("response"),
+        *([F.col(keep)] if keep else []))
 
 
 def video_replies(events: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from ..functions.derive import as_of_literal
 from ..functions.text import fixed4, short_title, thousands
 from ..operators import collect, rules, topk
 from ..operators.upsert import assign_ids, duplicate_keys, keep_last, upsert
-from ..schemas import CHANNEL_KEYS, CHANNEL_UPDATE, VIDEO_UPDATE_FULL, VIDEO_UPDATE_NARROW
+from ..schemas import (CHANNEL_KEYS, CHANNEL_UPDATE, MAX_VIDEOS, VIDEO_UPDATE_FULL,
+                       VIDEO_UPDATE_NARROW)
 from . import proxies
 from .registry import EVENTS_AS_OF, present, query, video_cte, with_videos
 
@@ -243,6 +244,26 @@ def search_details_join(spark, sf_dir):
     return collect.lookup_details(ids, details).select("video_id", "page", "title", "views")
 
 
+@query("search_details_join_repeats", """
+WITH ids AS (SELECT event_id % 5000 AS video_id, event_id AS page FROM events),
+r AS (SELECT event_id % 5000 AS video_id, event_id AS landed_at,
+             concat(event_type, '-', CAST(user_id AS VARCHAR)) AS title,
+             CAST(floor(value * 10) AS BIGINT) AS views FROM events WHERE event_type <> 'error'),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY landed_at DESC) AS rn
+                     FROM r) WHERE rn = 1)
+SELECT video_id, page, title, views FROM ids JOIN d USING (video_id)""")
+def search_details_join_repeats(spark, sf_dir):
+    """J1 with ids listed on several pages and looked up several times: one row
+    per listing, with the newest reply."""
+    ev = proxies.table(spark, sf_dir, "events")
+    one = (F.col("event_id") % 5000).alias("video_id")
+    replies = proxies.raw_videos_from_events(ev.filter(F.col("event_type") != "error")) \
+        .select((F.col("video_id") % 5000).alias("video_id"), "title", "views",
+                F.col("video_id").alias("landed_at"))
+    return collect.lookup_details(ev.select(one, F.col("event_id").alias("page")), replies) \
+        .select("video_id", "page", "title", "views")
+
+
 @query("capped_collection", f"""WITH {_FOUND_SQL},
 pc AS (SELECT page, count(*) AS n FROM found GROUP BY page),
 pr AS (SELECT page, coalesce(sum(n) OVER (ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING
@@ -252,7 +273,7 @@ WHERE pr.before < 100""")
 def capped_collection(spark, sf_dir):
     """Videos of the pages read until 100 were found (page-granular)."""
     ids, details = _search_and_details(spark, sf_dir)
-    out = collect.collect_videos(ids, details, cap=100)
+    out = collect.collect_videos(ids, details, cap=MAX_VIDEOS)
     return out.select("video_id", "page", "title", "views")
 
 

@@ -46,11 +46,9 @@ def video_section(videos) -> DataFrame:
 def top_section(videos: DataFrame, k: int = S.TOP_REPORT) -> DataFrame:
     top = topk.top_videos(videos, k, ["video_id", "title", "views", "engagement_rate"])
     w = Window.orderBy(F.col("views").desc_nulls_last(), F.col("video_id").asc_nulls_last())
-    after_n, after_title, after_views, end = S.REPORT_TOP_PARTS
-    line = F.concat(F.row_number().over(w).cast("string"), F.lit(after_n),
-                    _txt(short_title("title")), F.lit(after_title), _txt(thousands("views")),
-                    F.lit(after_views),
-                    _txt(fixed4(F.col("engagement_rate").cast("double"))), F.lit(end))
+    line = F.format_string(S.REPORT_TOP_LINE, F.row_number().over(w), _txt(short_title("title")),
+                           _txt(thousands("views")),
+                           _txt(fixed4(F.col("engagement_rate").cast("double"))))
     return top.select(F.lit("top").alias("section"),
                       F.row_number().over(w).alias("ordinal"), line.alias("line"))
 

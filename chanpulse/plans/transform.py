@@ -4,7 +4,7 @@ Plan for scale: each CSV snapshot is parsed exactly once, straight into its
 processed Parquet dataset.  Everything else reads that Parquet (columnar,
 pruned to the columns each output needs): the top list is one
 ``TakeOrderedAndProject`` scan, and all grouped analytics derive from one base
-roll-up (date x hour partials, at most days x 24 rows) built by one scan and
+roll-up (date x hour partials, days x 24 rows on clean input) built by one scan and
 one shuffle and cached.  Writing the processed data first also cuts the
 lineage: a lost executor re-reads Parquet, not the CSV.
 """
@@ -25,7 +25,7 @@ from ..sources import csv, parquet, snapshots
 class TransformResult:
     paths: dict[str, str]
     summary: dict = field(default_factory=dict)
-    rejects: int | None = None
+    rejects: dict[str, int] = field(default_factory=dict)  # rows set aside, by entity
 
 
 def _stamp(as_of) -> str:
@@ -36,21 +36,21 @@ def _stamp(as_of) -> str:
 
 def transform(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None,
               stamp: str | None = None, policy: str = "name",
-              rejects_dir: str | None = None, use_rollup: bool = True) -> TransformResult:
+              rejects_dir: str | None = None, use_rollup: bool = True,
+              multiline: bool = False) -> TransformResult:
+    """Records that can't be used are written to ``rejects_dir`` (by default
+    ``<out_dir>/rejects``), with the reason and their text, and counted."""
     ch_path = snapshots.require_snapshot(spark, raw_dir, "channel_stats", "csv", policy)
     v_path = snapshots.require_snapshot(spark, raw_dir, "videos", "csv", policy)
     now = as_of_literal(as_of)
     stamp = stamp or _stamp(as_of)
 
-    channels = csv.load_channels(spark, ch_path)
-    videos = csv.load_videos(spark, v_path, now)
+    channels = csv.load_channels(spark, ch_path, multiline)
+    videos = csv.load_videos(spark, v_path, now, multiline)
     paths = parquet.save_outputs({"channel_stats": channels.rows, "videos": videos.rows},
                                  out_dir, stamp, parallel=True)
-    n_rejects = None
-    if rejects_dir:
-        parquet.save_outputs({"videos_rejects": videos.rejects}, rejects_dir, stamp)
-        n_rejects = spark.read.parquet(
-            parquet.dataset_path(rejects_dir, "videos_rejects", stamp)).count()
+    rejects = parquet.save_rejects({"channel_stats": channels.rejects, "videos": videos.rejects},
+                                   rejects_dir or f"{out_dir.rstrip('/')}/rejects", stamp)
 
     processed = spark.read.parquet(paths["videos"])
     src = rollup.BaseRollup.build(processed) if use_rollup else processed
@@ -61,11 +61,13 @@ def transform(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None,
         "monthly_trends": rollup.monthly_trends(src),
         "engagement_stats": rollup.engagement_stats(src),
     }
-    if isinstance(src, rollup.BaseRollup):
-        src.df.count()  # fill the cache once, before the writes that share it
-    paths.update(parquet.save_outputs(analytics, out_dir, stamp, parallel=True))
-    ch = spark.read.parquet(paths["channel_stats"])
-    summary = rollup.run_summary(src, ch).first().asDict()
-    if isinstance(src, rollup.BaseRollup):
-        src.df.unpersist()
-    return TransformResult(paths, summary, n_rejects)
+    try:
+        if isinstance(src, rollup.BaseRollup):
+            src.df.count()  # fill the cache once, before the writes that share it
+        paths.update(parquet.save_outputs(analytics, out_dir, stamp, parallel=True))
+        ch = spark.read.parquet(paths["channel_stats"])
+        summary = rollup.run_summary(src, ch).first().asDict()
+    finally:
+        if isinstance(src, rollup.BaseRollup):
+            src.df.unpersist()
+    return TransformResult(paths, summary, rejects)

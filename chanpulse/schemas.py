@@ -34,14 +34,14 @@ WEEKDAY_NAME_PATTERN = "EEEE"
 MONTH_KEY_PATTERN = "yyyy-MM"
 # Report text, in report order.  Channel and video lines are "<label><value>";
 # a top line is "<n>. <title cut>... - <views> views (ER: <rate>)", whose
-# literal parts follow in order.
+# pattern stands below.
 REPORT_CHANNEL_LABELS = ("Channel: ", "Subscribers: ", "Total Views: ", "Video Count: ",
                          "Last Updated: ")
 REPORT_VIDEO_HEADING = "Video Statistics:"
 REPORT_VIDEO_LABELS = ("Total Videos: ", "Total Views: ", "Average Views: ", "Max Views: ",
                        "Average Engagement Rate: ")
 REPORT_TOP_HEADING = "Top 5 Videos:"
-REPORT_TOP_PARTS = (". ", " - ", " views (ER: ", ")")
+REPORT_TOP_LINE = "%d. %s - %s views (ER: %s)"
 # ------------------------------------------------------------------------------
 
 INT32_MIN, INT32_MAX = -(2 ** 31), 2 ** 31 - 1
@@ -53,7 +53,7 @@ RAW_CHANNEL = StructType([
     StructField("channel_title", StringType()),
     StructField("subscribers", LongType()),
     StructField("total_views", LongType()),
-    StructField("video_count", IntegerType()),
+    StructField("video_count", LongType()),
 ])
 
 RAW_VIDEOS = StructType([

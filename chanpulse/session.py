@@ -11,13 +11,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC = "UTC"
 
@@ -59,35 +58,44 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only when the session has none."""
+    """The shared checkpoint folder.  A folder of our own is made only for a local
+    master; on a cluster a missing setting is an error, since executors don't see
+    the driver's disk."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not is_local_master(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="chanpulse-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def is_local_master(master: str) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/chanpulse/{name}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and reread it:
+    what is behind it runs once, whoever reads it, and survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
-
-
 def run_jobs(thunks: list[Callable[[], object]], max_workers: int = 8) -> list:
     """Run independent Spark actions from driver threads so the scheduler can
     run their tasks side by side; results in order, the first failure raised

@@ -4,23 +4,26 @@ The HTTP client is not part of the library; replies are landed as JSON lines,
 one reply per line, with the request context next to it:
 
 * channels: ``{"channel_id", "captured_at", "response": {items: [...]}}``
-* videos:   ``{"video_id", "response": {items: [...]}}``
+* videos:   ``{"video_id", "response": {items: [...]}}``, and ``landed_at`` if ids are
+  looked up more than once (ISO text; the newest reply counts)
 * search:   ``{"page", "response": {items: [{id: {videoId}}], nextPageToken}}``
 
-``response`` may be an object or its JSON text.  Counters arrive as text and
-may be absent (-> 0).  A reply without an item is a channel error (or dropped)
-and a dropped video; a reply whose time does not parse is a reject.
+``response`` may be an object or its JSON text.  Counters arrive as text; an
+absent one is 0.  A reply with an empty item list is a channel error (or
+dropped) and a dropped video.  What can't be used is a reject with its reason,
+never a NULL or a 0: broken text, a counter that is no number, a missing
+title, a time that doesn't parse.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.derive import counter, parse_iso_timestamp, with_ingest_fields
+from ..functions.derive import bad_counter, counter, parse_iso_timestamp, with_ingest_fields
 
 _S = T.StringType()
 
@@ -50,7 +53,7 @@ SEARCH_RESPONSE = T.StructType([
 
 def landed_schema(kind: str) -> T.StructType:
     ctx = {"channels": [T.StructField("channel_id", _S), T.StructField("captured_at", _S)],
-           "videos": [T.StructField("video_id", _S)],
+           "videos": [T.StructField("video_id", _S), T.StructField("landed_at", _S)],
            "search": [T.StructField("page", T.LongType())]}[kind]
     resp = {"channels": CHANNEL_RESPONSE, "videos": VIDEO_RESPONSE,
             "search": SEARCH_RESPONSE}[kind]
@@ -86,58 +89,92 @@ class Parsed:
     rejects: DataFrame
 
 
-def channel_rows(landed: DataFrame, on_missing: str = "error") -> DataFrame:
-    """First item of each channel reply -> snapshot row.  Channel id and
-    capture time come from the request.  A reply without an item raises
-    (``on_missing="error"``, one count job) or is dropped (``"drop"``)."""
-    df = _first_item(_response(landed, CHANNEL_RESPONSE), ["channel_id", "captured_at"])
-    if on_missing == "error":
-        missing = df.filter(F.col("_item").isNull()).select("channel_id").limit(1).collect()
-        if missing:
-            raise ValueError(f"Channel {missing[0]['channel_id']} not found")
-    elif on_missing != "drop":
+def _reasons(record: Column | None, title: Column, time: Column, counters: list[str]) -> Column:
+    """Why a reply can't be used, NULL if it can."""
+    bad = bad_counter(counters[0])
+    for c in counters[1:]:
+        bad = bad | bad_counter(c)
+    broken = F.col("_broken") if record is None else F.col("_broken") | record.isNotNull()
+    return (F.when(broken, "broken reply").when(title.isNull(), "no title")
+            .when(bad, "bad counter").when(time.isNull(), "unreadable time"))
+
+
+def _opened(landed: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
+    """``keep``, the reply's first item, whether the reply is broken (no item list at
+    all), and the landed record as text."""
+    text = F.to_json(F.struct(*[F.col(c) for c in landed.columns]))
+    df = _response(landed.withColumn("_text", text), schema)
+    keep = keep + [c for c in ("_corrupt_record",) if c in landed.columns]
+    broken = F.col("response.items").isNull().alias("_broken")
+    return _first_item(df.select(*keep, "_text", broken, "response"), [*keep, "_text", "_broken"])
+
+
+def channel_replies(landed: DataFrame, on_missing: str = "error",
+                    captured_at: Column | None = None) -> Parsed:
+    """First item of each channel reply -> snapshot row.  The channel id comes from
+    the request, and so does the capture time; a request that landed without one is
+    stamped with ``captured_at`` (the run's time).  A reply without an item raises in
+    the plan (``on_missing="error"``) or is dropped (``"drop"``)."""
+    if on_missing not in ("error", "drop"):
         raise ValueError("on_missing must be 'error' or 'drop'")
-    return df.filter(F.col("_item").isNotNull()).select(
-        parse_iso_timestamp("captured_at").alias("captured_at"),
-        F.col("channel_id"),
+    df = _opened(landed, CHANNEL_RESPONSE, ["channel_id", "captured_at"])
+    missing = F.col("_item").isNull() & ~F.col("_broken")
+    record = F.col("_corrupt_record") if "_corrupt_record" in df.columns else None
+    if record is not None:
+        missing = missing & record.isNull()
+    if on_missing == "error":
+        df = df.filter(F.when(missing, F.raise_error(F.concat(
+            F.lit("no channel for id "), F.col("channel_id")))).otherwise(F.lit(True)))
+    else:
+        df = df.filter(~missing)
+    stats = "_item.statistics."
+    counters = [stats + c for c in ("subscriberCount", "viewCount", "videoCount")]
+    time = parse_iso_timestamp("captured_at")
+    if captured_at is not None:
+        time = F.when(F.col("captured_at").isNull(), captured_at).otherwise(time)
+    df = df.withColumn("_time", time)
+    df = df.withColumn("reason", _reasons(record, F.col("_item.snippet.title"),
+                                          F.col("_time"), counters))
+    rows = df.filter(F.col("reason").isNull()).select(
+        F.col("_time").alias("captured_at"), F.col("channel_id"),
         F.col("_item.snippet.title").alias("channel_title"),
-        counter("_item.statistics.subscriberCount").alias("subscribers"),
-        counter("_item.statistics.viewCount").alias("total_views"),
-        counter("_item.statistics.videoCount").cast("int").alias("video_count"))
+        counter(counters[0]).alias("subscribers"), counter(counters[1]).alias("total_views"),
+        counter(counters[2]).alias("video_count"))
+    return Parsed(rows, _rejects(df, "channel_id", record))
+
+
+def _rejects(df: DataFrame, key: str, record: Column | None) -> DataFrame:
+    text = F.col("_text") if record is None else F.coalesce(record, F.col("_text"))
+    return df.filter(F.col("reason").isNotNull()).select("reason", key, text.alias("record"))
+
+
+def channel_rows(landed: DataFrame, on_missing: str = "error",
+                 captured_at: Column | None = None) -> DataFrame:
+    return channel_replies(landed, on_missing, captured_at).rows
 
 
 def video_rows(landed: DataFrame) -> Parsed:
     """First item of each video reply -> raw video row with engagement rate,
-    weekday name and hour.  No item: dropped.  Unparsable record or publish
-    time: reject."""
-    df = _response(landed, VIDEO_RESPONSE)
-    has_corrupt = "_corrupt_record" in df.columns
-    df = _first_item(df, ["video_id"] + (["_corrupt_record"] if has_corrupt else []))
-    parsed = df.select(
-        *([F.col("_corrupt_record")] if has_corrupt else []),
-        F.col("video_id"),
-        F.col("_item").isNull().alias("_no_item"),
-        F.col("_item.snippet.title").alias("title"),
-        F.col("_item.snippet.publishedAt").alias("_published_text"),
-        parse_iso_timestamp("_item.snippet.publishedAt").alias("publish_time"),
-        counter("_item.statistics.viewCount").alias("views"),
-        counter("_item.statistics.likeCount").alias("likes"),
-        counter("_item.statistics.commentCount").alias("comments"))
-    bad = F.col("publish_time").isNull()
-    if has_corrupt:
-        bad = bad | F.col("_corrupt_record").isNotNull()
-    keep = ~F.col("_no_item")
-    if has_corrupt:
-        keep = keep | F.col("_corrupt_record").isNotNull()
-    found = parsed.filter(keep)
-    rows = with_ingest_fields(found.filter(~bad).select(
-        "video_id", "title", "publish_time", "views", "likes", "comments"))
-    rejects = found.filter(bad).select(
-        "video_id", *(["_corrupt_record"] if has_corrupt else []),
-        F.col("_published_text").alias("publish_time_text"))
+    weekday name and hour, and the request's ``landed_at`` if there is one.  No
+    item: dropped."""
+    extra = [c for c in ("landed_at",) if c in landed.columns]
+    df = _opened(landed, VIDEO_RESPONSE, ["video_id", *extra])
+    record = F.col("_corrupt_record") if "_corrupt_record" in df.columns else None
+    found = F.col("_item").isNotNull() | F.col("_broken")
+    if record is not None:
+        found = found | record.isNotNull()
+    stats = "_item.statistics."
+    counters = [stats + c for c in ("viewCount", "likeCount", "commentCount")]
+    df = df.filter(found).withColumn("_time", parse_iso_timestamp("_item.snippet.publishedAt"))
+    df = df.withColumn("reason", _reasons(
+        record, F.col("_item.snippet.title"), F.col("_time"), counters))
+    rows = with_ingest_fields(df.filter(F.col("reason").isNull()).select(
+        "video_id", F.col("_item.snippet.title").alias("title"), F.col("_time").alias("publish_time"),
+        counter(counters[0]).alias("views"), counter(counters[1]).alias("likes"),
+        counter(counters[2]).alias("comments"), *extra))
     cols = ["video_id", "title", "publish_time", "views", "likes", "comments",
-            "engagement_rate", "publish_day", "publish_hour"]
-    return Parsed(rows.select(*cols), rejects)
+            "engagement_rate", "publish_day", "publish_hour", *extra]
+    return Parsed(rows.select(*cols), _rejects(df, "video_id", record))
 
 
 def search_ids(landed: DataFrame) -> DataFrame:

@@ -3,21 +3,24 @@
 Reading: header row, explicit schema (no inference scan), ``escape='"'`` so a
 doubled quote inside a quoted title is one quote.  Records are single lines by
 default, which keeps large files splittable across tasks; ``multiline=True``
-accepts quoted line breaks at the price of one task per file.  Times are
-parsed with ``try_cast``: a malformed time gives NULL and the row is reported
-in the rejects, never an exception.
+accepts quoted line breaks at the price of one task per file.  A record with
+another number of fields or a counter that is no number, and a time that does
+not parse, never fail the read and never turn into NULLs: the record is a
+reject, with the reason and its text.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.derive import parse_iso_timestamp, with_video_metrics
 from ..schemas import RAW_CHANNEL, RAW_VIDEOS
 from ..session import run_jobs
+from . import fs
 
 # Written stamps keep microseconds and the offset (the default keeps ms only).
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
@@ -29,25 +32,41 @@ class Loaded:
     rejects: DataFrame
 
 
-def _reader(spark: SparkSession, schema, multiline: bool):
-    return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+_TEXT = "_record"
 
 
-def _split(df: DataFrame, raw: str, parsed: str) -> Loaded:
-    bad = F.col(raw).isNotNull() & F.col(parsed).isNull()
-    rows = df.filter(~bad).drop(raw)
-    rejects = df.filter(bad).drop(parsed).withColumnRenamed(raw, parsed)
+def judging(reader, schema: T.StructType, multiline: bool = False):
+    """``reader`` (batch or stream) set up so that :func:`judged` can tell what is wrong."""
+    wide = T.StructType([*schema.fields, T.StructField(_TEXT, T.StringType())])
+    # without pruning a record is judged by all its fields, whatever is selected
+    return (reader.schema(wide).option("header", True).option("escape", '"')
+            .option("multiLine", multiline).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _TEXT).option("columnPruning", False))
+
+
+def _load(spark: SparkSession, path: str, schema: T.StructType, time: str,
+          multiline: bool) -> Loaded:
+    return judged(judging(spark.read, schema, multiline).csv(path), schema, time)
+
+
+def judged(df: DataFrame, schema: T.StructType, time: str, keep: tuple[str, ...] = ()) -> Loaded:
+    """Usable rows with ``time`` parsed, and the rejects; ``keep``: further columns of the rows."""
+    raw = f"_{time}_text"
+    df = df.withColumnRenamed(time, raw).withColumn(time, parse_iso_timestamp(raw))
+    reason = F.when(F.col(_TEXT).isNotNull(), "malformed record") \
+        .when(F.col(raw).isNotNull() & F.col(time).isNull(), "unreadable time")
+    df = df.withColumn("reason", reason)
+    names = schema.fieldNames()
+    rows = df.filter(F.col("reason").isNull()).select(*names, *keep)
+    rejects = df.filter(F.col("reason").isNotNull()).select(
+        "reason", *[F.col(raw).alias(c) if c == time else F.col(c) for c in names],
+        F.col(_TEXT).alias("record"))
     return Loaded(rows, rejects)
 
 
 def load_channels(spark: SparkSession, path: str, multiline: bool = False) -> Loaded:
     """Channel snapshot CSV; ``captured_at`` text -> timestamp."""
-    df = _reader(spark, RAW_CHANNEL, multiline).csv(path)
-    df = df.withColumnRenamed("captured_at", "_captured_at_text").withColumn(
-        "captured_at", parse_iso_timestamp("_captured_at_text"))
-    cols = ["_captured_at_text"] + [c for c in RAW_CHANNEL.fieldNames()]
-    return _split(df.select(*cols), "_captured_at_text", "captured_at")
+    return _load(spark, path, RAW_CHANNEL, "captured_at", multiline)
 
 
 def read_channel_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -56,11 +75,7 @@ def read_channel_csv(spark: SparkSession, path: str, multiline: bool = False) ->
 
 def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool = False) -> Loaded:
     """Video snapshot CSV -> processed frame (date parts, rates, pace)."""
-    df = _reader(spark, RAW_VIDEOS, multiline).csv(path)
-    df = df.withColumnRenamed("publish_time", "_publish_time_text").withColumn(
-        "publish_time", parse_iso_timestamp("_publish_time_text"))
-    cols = ["_publish_time_text"] + RAW_VIDEOS.fieldNames()
-    loaded = _split(df.select(*cols), "_publish_time_text", "publish_time")
+    loaded = _load(spark, path, RAW_VIDEOS, "publish_time", multiline)
     return Loaded(with_video_metrics(loaded.rows, as_of), loaded.rejects)
 
 
@@ -79,12 +94,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
 def save_snapshots(channels: DataFrame, videos: DataFrame, directory: str,
                    stamp: str) -> tuple[str, str | None]:
     """Write ``channel_stats_<stamp>.csv`` and, when there are videos,
-    ``videos_<stamp>.csv``; returns both paths (None for no videos)."""
+    ``videos_<stamp>.csv``; returns both paths (None for no videos).
+
+    What is behind ``videos`` runs once: the write's own count of rows tells
+    whether there are any, and a snapshot of none is taken back."""
     d = directory.rstrip("/")
-    ch, vid = f"{d}/channel_stats_{stamp}.csv", None
-    jobs = [lambda: write_csv(channels.select(*RAW_CHANNEL.fieldNames()), ch)]
-    if not videos.isEmpty():
-        vid = f"{d}/videos_{stamp}.csv"
-        jobs.append(lambda: write_csv(videos.select(*RAW_VIDEOS.fieldNames()), vid))
-    run_jobs(jobs)  # two independent writes, run side by side
+    ch, vid = f"{d}/channel_stats_{stamp}.csv", f"{d}/videos_{stamp}.csv"
+    seen = Observation()
+    rows = videos.select(*RAW_VIDEOS.fieldNames()).observe(seen, F.count(F.lit(1)).alias("n"))
+    run_jobs([  # two independent writes, run side by side
+        lambda: write_csv(channels.select(*RAW_CHANNEL.fieldNames()), ch),
+        lambda: write_csv(rows, vid)])
+    if not seen.get.get("n"):
+        fs.delete(videos.sparkSession, vid)
+        vid = None
     return ch, vid

@@ -4,6 +4,7 @@ Only names, sizes and times travel to the driver, never file contents."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -41,24 +42,28 @@ def list_dir(spark: SparkSession, path: str) -> list[Entry]:
     return out
 
 
-def mkdirs(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    fs.mkdirs(p)
-
-
-def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.delete(p, recursive))
+    return bool(fs.delete(p, True))
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small text file (fails if it exists)."""
+    """Create a small text file (fails if it exists).  It is written aside and
+    renamed without overwriting, so a reader sees all of it or nothing."""
+    jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE  # an existing file makes the rename fail
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(aside), fs.makeQualified(p), options)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

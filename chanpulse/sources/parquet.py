@@ -39,6 +39,15 @@ def save_outputs(frames: dict[str, DataFrame], directory: str, stamp: str,
     return paths
 
 
+def save_rejects(frames: dict[str, DataFrame], directory: str, stamp: str) -> dict[str, int]:
+    """Write the rejects of each entity to ``<entity>_rejects_<stamp>.parquet``;
+    returns how many there are."""
+    paths = save_outputs({f"{n}_rejects": df for n, df in frames.items()}, directory, stamp,
+                         parallel=True)
+    return {n: df.sparkSession.read.schema(df.schema).parquet(paths[f"{n}_rejects"]).count()
+            for n, df in frames.items()}
+
+
 def read_processed(spark: SparkSession, channel_path: str | None,
                    videos_path: str | None) -> tuple[DataFrame | None, DataFrame | None]:
     """Both entities; a missing one is None with a warning (not an error)."""

@@ -54,7 +54,7 @@ def require_snapshot(spark: SparkSession, directory: str, entity: str, ext: str
                      policy: str = "name") -> str:
     path = latest_snapshot(spark, directory, entity, ext, policy)
     if path is None:
-        raise FileNotFoundError(f"No {entity} data file found in {directory}")
+        raise FileNotFoundError(f"{directory} holds no snapshot of {entity}")
     return path
 
 

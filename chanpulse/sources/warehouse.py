@@ -2,23 +2,23 @@
 
 Layout of a table folder::
 
-    v=00000003/_part=2024-01-30/part-*.parquet   data written by version 3
-    v=00000003/_SUCCESS                          Spark's job commit marker
-    _manifests/00000003.json                     the commit point of version 3
+    v=00000003-<attempt>/_part=2024-01-30/part-*.parquet   data written by version 3
+    _manifests/00000003.json                               the commit point of version 3
 
 Every row belongs to a partition given by a function of its key (capture
-date of a channel snapshot, a hash bucket of the video id), so a key never
-moves between partitions.  A version writes only the partitions its batch
-touches; its manifest lists, for every partition of the table, the version
-folder that holds the current copy, so untouched partitions are carried over
-by reference and a load costs what it touches, not the table size.
-
-The manifest is created only after the data job committed, with a create
-that fails if the file exists: readers see the previous version or the new
-one, never a half-written one; a killed load leaves the table as it was (the
-all-or-nothing load of a transaction); two writers cannot both commit the
-same version number.  Nothing is overwritten in place.  The manifest also
-keeps the largest surrogate id, so inserts need not scan the table for it.
+month of a channel snapshot, a hash bucket of the video id), so a key never
+moves between partitions.  A version writes the partitions its batch touches
+(for hash buckets, all of them once a batch has a few times as many rows as
+there are buckets); its manifest names, for every partition of the table, the
+folder that holds the current copy, so other partitions are carried over.
+
+Each attempt writes a folder of its own.  The manifest is created only after
+the data job committed, complete or not at all, and never over another one.  A
+commit names the version that its rows were merged from and fails if the table
+has moved on since, so no committed row is lost to a second writer; that one
+merges again.  Readers see the previous version or the new one; a killed load
+leaves the table as it was.  The manifest also keeps the largest surrogate id,
+so inserts need not scan the table for it.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +43,7 @@ NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 @dataclass
 class Manifest:
     version: int
-    partitions: dict[str, int] = field(default_factory=dict)  # dir name -> version
+    partitions: dict[str, str] = field(default_factory=dict)  # partition -> data folder
     max_id: int = 0
     props: dict = field(default_factory=dict)  # fixed at creation (e.g. bucket count)
 
@@ -53,7 +54,7 @@ class Manifest:
     @staticmethod
     def from_json(text: str) -> "Manifest":
         d = json.loads(text)
-        return Manifest(int(d["version"]), {k: int(v) for k, v in d["partitions"].items()},
+        return Manifest(int(d["version"]), dict(d["partitions"]),
                         int(d.get("max_id") or 0), dict(d.get("props") or {}))
 
 
@@ -66,6 +67,10 @@ def part_dir(value) -> str:
     return f"{PART}={value}"
 
 
+class ConcurrentCommit(RuntimeError):
+    """The table has a newer version than the one that was merged into."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType,
                  keys: list[str] | None = None, partition: Column | None = None,
@@ -96,11 +101,8 @@ class VersionedTable:
         v = self.versions()
         return v[-1] if v else None
 
-    def version_path(self, n: int) -> str:
-        return f"{self.root}/v={n:08d}"
-
-    def manifest(self, version: int | None = None) -> Manifest | None:
-        n = self.current_version() if version is None else version
+    def manifest(self) -> Manifest | None:
+        n = self.current_version()
         if n is None:
             return None
         return Manifest.from_json(fs.read_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json"))
@@ -120,14 +122,15 @@ class VersionedTable:
         return self
 
     # -- read ---------------------------------------------------------------
-    def _read_dirs(self, dirs: dict[str, int]) -> DataFrame:
-        paths = [f"{self.version_path(v)}/{d}" for d, v in sorted(dirs.items())]
+    def _read_dirs(self, dirs: dict[str, str]) -> DataFrame:
+        paths = [f"{self.root}/{folder}/{d}" for d, folder in sorted(dirs.items())]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def read(self, version: int | None = None) -> DataFrame:
-        m = self.manifest(version)
+    def read(self) -> DataFrame:
+        """The newest version."""
+        m = self.manifest()
         if m is None:
             raise FileNotFoundError(f"table {self.root} has no committed version")
         return self._read_dirs(m.partitions)
@@ -137,64 +140,52 @@ class VersionedTable:
         the driver: bounded by the partition count, not by the batch)."""
         return [part_dir(r[0]) for r in batch.select(self.partition.alias(PART)).distinct().collect()]
 
-    def read_partitions(self, dirs: list[str]) -> DataFrame:
-        """Current rows of the named partitions only (pruned by path)."""
-        m = self.manifest()
+    def read_partitions(self, dirs: list[str], base: Manifest | None = None) -> DataFrame:
+        """Rows of the named partitions only (pruned by path), of ``base`` or now."""
+        m = base or self.manifest()
         return self._read_dirs({d: m.partitions[d] for d in dirs if d in m.partitions})
 
     # -- write ----------------------------------------------------------------
     def commit(self, df: DataFrame, touched: list[str] | None = None,
-               max_id: int | None = None) -> int:
+               max_id: int | None = None, base: Manifest | None = None) -> int:
         """Write ``df`` as the next version.  ``touched=None``: ``df`` is the
         whole table.  Else ``df`` holds the new content of exactly the
         ``touched`` partitions; every other partition is carried over.
-        ``max_id``: the largest id in ``df`` when the caller knows it (else
-        it is read back from the written partitions)."""
-        cur = self.manifest()
-        # skip past folders of writers that died before their manifest
-        taken = [int(e.name[2:]) for e in fs.list_dir(self.spark, self.root)
-                 if e.is_dir and re.match(r"^v=\d{8}$", e.name)]
-        n = max([cur.version if cur else -1] + taken) + 1
-        path = self.version_path(n)
+        ``base``: the version that ``df`` was merged from; :class:`ConcurrentCommit`
+        if it isn't the newest any more.  ``max_id``: the largest id in ``df``
+        when the caller knows it (else it is read back from what was written)."""
+        base = base or self.manifest()
+        n = base.version + 1 if base else 0
+        self._expect(base)
+        folder = f"v={n:08d}-{uuid.uuid4().hex}"
+        path = f"{self.root}/{folder}"
         # rebalance on the partition column: AQE packs small partitions into
         # few files and splits a large one over several tasks
         out = (df.select(*self.schema.fieldNames()).withColumn(PART, self.partition)
                .hint("rebalance", PART))
         out.write.mode("errorifexists").partitionBy(PART).parquet(path)
-        written = {e.name: n for e in fs.list_dir(self.spark, path)
+        written = {e.name: folder for e in fs.list_dir(self.spark, path)
                    if e.is_dir and e.name.startswith(f"{PART}=")}
-        if touched is None or cur is None:
+        if touched is None or base is None:
             parts = written
         else:
-            parts = {d: v for d, v in cur.partitions.items() if d not in set(touched)}
+            parts = {d: v for d, v in base.partitions.items() if d not in set(touched)}
             parts.update(written)
-        known = cur.max_id if cur else 0
+        known = base.max_id if base else 0
         if self.id_col and written and max_id is None:
             max_id = self._read_dirs(written).agg(F.max(self.id_col)).first()[0]
         max_id = max(known, int(max_id or 0))
-        fs.write_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json",
-                      Manifest(n, parts, max_id, cur.props if cur else {}).to_json())
+        self._expect(base)
+        try:
+            fs.write_text(self.spark, f"{self._manifest_dir()}/{n:08d}.json",
+                          Manifest(n, parts, max_id, base.props if base else {}).to_json())
+        except Exception as e:
+            if n in self.versions():
+                raise ConcurrentCommit(f"{self.root}: version {n} was committed meanwhile") from e
+            raise
         return n
 
-    def vacuum(self, retain: int = 10, dry_run: bool = True) -> list[str]:
-        """Version folders no longer referenced by the newest ``retain``
-        manifests (older versions stop being readable once removed).  Only
-        lists them unless ``dry_run=False``; manifests are never deleted
-        here, so an older manifest whose data is gone fails loudly on read."""
-        keep = self.versions()[-retain:] if retain > 0 else []
-        live = {self.version_path(n) for m in keep
-                for n in set((self.manifest(m) or Manifest(m)).partitions.values())}
-        doomed = [e.path for e in fs.list_dir(self.spark, self.root)
-                  if e.is_dir and e.name.startswith("v=") and
-                  f"{self.root}/{e.name}" not in live and
-                  int(e.name[2:]) < (keep[0] if keep else 0)]
-        if not dry_run:
-            for p in doomed:
-                fs.delete(self.spark, p)
-        return doomed
-
-    def register(self, name: str) -> DataFrame:
-        """Temp view of the current version (re-register after a commit)."""
-        df = self.read()
-        df.createOrReplaceTempView(name)
-        return df
+    def _expect(self, base: Manifest | None) -> None:
+        now = self.current_version()
+        if now != (base.version if base else None):
+            raise ConcurrentCommit(f"{self.root}: version {now} was committed meanwhile")

@@ -14,7 +14,10 @@ the data columns.  A batch replayed after a failure re-applies the same
 upsert (idempotent for the data; a new table version is written).  No
 per-trigger file cap is set on purpose: the file source orders new files by
 modification time, not by name stamp, so with a cap an older snapshot could
-be merged after a newer one and win.
+be merged after a newer one and win.  For the same reason a snapshot that
+lands after a newer one was loaded wins over it; land snapshots in the order
+of their stamps.  Records that can't be used are written to
+``<warehouse>/rejects/<entity>``, as the transform job does with its own.
 """
 
 from __future__ import annotations
@@ -24,9 +27,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.derive import as_of_literal, parse_iso_timestamp, with_video_metrics
-from ..operators.upsert import keep_last
+from ..functions.derive import as_of_literal, with_video_metrics
 from ..schemas import RAW_CHANNEL, RAW_VIDEOS
+from ..sources import csv
 from ..plans.load import Warehouse, load_channels, load_videos, warehouse
 
 _STAMP = r"_(\d{8}_\d{6})\.csv"
@@ -36,23 +39,24 @@ def snapshot_stream(spark: SparkSession, raw_dir: str, entity: str) -> DataFrame
     """Streaming frame of every row of every ``<entity>_<stamp>.csv`` file,
     with the file's name stamp in ``_stamp``."""
     schema = RAW_VIDEOS if entity == "videos" else RAW_CHANNEL
-    df = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
-          .option("pathGlobFilter", f"{entity}_*.csv")
-          .csv(raw_dir))
+    df = (csv.judging(spark.readStream, schema)
+          .option("pathGlobFilter", f"{entity}_*.csv").csv(raw_dir))
     return df.withColumn("_stamp", F.regexp_extract(F.input_file_name(), _STAMP, 1))
 
 
-def _batch_loader(wh: Warehouse, entity: str, loader: str, now):
+def _batch_loader(wh: Warehouse, entity: str, loader: str, now, rejects_dir: str):
     def apply(batch: DataFrame, batch_id: int) -> None:
         as_of = as_of_literal(now() if callable(now) else now)
-        if entity == "videos":
-            rows = batch.withColumn("publish_time", parse_iso_timestamp("publish_time"))
-            rows = with_video_metrics(rows, as_of)
-            rows = keep_last(rows, ["video_id"], "_stamp").drop("_stamp")
-            load_videos(wh, rows, as_of, loader)
+        videos = entity == "videos"
+        loaded = csv.judged(batch, RAW_VIDEOS if videos else RAW_CHANNEL,
+                            "publish_time" if videos else "captured_at", keep=("_stamp",))
+        # overwritten when a failed batch is replayed
+        loaded.rejects.write.mode("overwrite").parquet(f"{rejects_dir}/{entity}/batch={batch_id}")
+        if videos:
+            load_videos(wh, with_video_metrics(loaded.rows, as_of), as_of, loader,
+                        on_duplicate="last", order_by="_stamp")
         else:
-            rows = batch.withColumn("captured_at", parse_iso_timestamp("captured_at"))
-            load_channels(wh, rows, as_of, on_duplicate="last", order_by="_stamp")
+            load_channels(wh, loaded.rows, as_of, on_duplicate="last", order_by="_stamp")
     return apply
 
 
@@ -64,7 +68,8 @@ def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse_dir: str
     now = as_of if as_of is not None else (
         lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     w = (snapshot_stream(spark, raw_dir, entity).writeStream
-         .foreachBatch(_batch_loader(wh, entity, loader, now))
+         .foreachBatch(_batch_loader(wh, entity, loader, now,
+                                     f"{warehouse_dir.rstrip('/')}/rejects"))
          .option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()

@@ -143,12 +143,11 @@ def test_two_pass_top_k_equals_one_pass(spark, tmp_dir):
                     F.lit("t").alias("title"))
     df.repartition(70).write.parquet(f"{tmp_dir}/many")
     v = spark.read.parquet(f"{tmp_dir}/many")
-    assert len(v.inputFiles()) >= topk.PREFILTER_MIN_FILES  # the default takes two passes
     for k in (1, 10, 100):  # many ties on views: the id tie-break must survive the filter
         one = [tuple(r) for r in topk.top_videos(v, k, prefilter=False).collect()]
-        two = [tuple(r) for r in topk.top_videos(v, k).collect()]
+        two = [tuple(r) for r in topk.top_videos(v, k, prefilter=True).collect()]
         assert one == two and len(two) == k
-    p = topk.top_videos(v, 10)._jdf.queryExecution().executedPlan().toString()
+    p = topk.top_videos(v, 10, prefilter=True)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(views" in p  # the threshold reaches the Parquet scan
     few = spark.createDataFrame([("a", 1, "t"), ("b", None, "t")],
                                 "video_id string, views long, title string")
@@ -168,7 +167,7 @@ def test_two_pass_latest_snapshot_equals_one_pass(spark, tmp_dir):
     c = spark.read.parquet(f"{tmp_dir}/ch")
     cols = ["channel_id", "captured_at", "subscribers"]
     one = topk.latest_snapshot(c, cols, prefilter=False).collect()
-    assert topk.latest_snapshot(c, cols).collect() == one  # default: two passes (70 files)
+    assert topk.latest_snapshot(c, cols, prefilter=True).collect() == one
     assert one[0].channel_id == "c000"  # the tie on time goes to the lowest channel id
-    p = topk.latest_snapshot(c, cols)._jdf.queryExecution().executedPlan().toString()
+    p = topk.latest_snapshot(c, cols, prefilter=True)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(captured_at" in p  # the folded threshold reaches the scan

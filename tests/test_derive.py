@@ -54,8 +54,11 @@ def test_offset_uses_utc_date_and_hour(spark):
 
 
 def test_counter_defaults(spark):
-    df = spark.createDataFrame([("12",), (None,), ("x",), ("3000000000",)], "s string")
-    assert [r[0] for r in df.select(derive.counter("s")).collect()] == [12, 0, 0, 3000000000]
+    df = spark.createDataFrame([("12",), (None,), ("12x",), ("3000000000",), ("",)], "s string")
+    got = df.select(derive.counter("s"), derive.bad_counter("s")).collect()
+    # only an absent counter is 0
+    assert [r[0] for r in got] == [12, 0, None, 3000000000, None]
+    assert [r[1] for r in got] == [False, False, True, False, True]
 
 
 def test_table_decimals_round_half_away(spark):

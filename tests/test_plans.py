@@ -37,7 +37,7 @@ def test_pruned_scan_and_partial_aggregate(spark):
     assert "partial_count" in text or "HashAggregate" in text
     schema = re.search(r"ReadSchema: (struct<[^>]*>)", text).group(1)
     assert "props" not in schema and "event_type" not in schema  # unused columns never read
-    assert "rangepartitioning" not in text  # bounded result: no sampling range sort
+    assert "SinglePartition" not in text  # nothing bounds the keys of an unchecked file
 
 
 def test_filter_reaches_parquet_scan(spark, tmp_dir):
@@ -58,7 +58,7 @@ def test_series_use_global_range_sort(spark):
 
 def test_latest_per_channel_is_partial_aggregate_not_window(spark):
     p = plan(QUERIES["latest_snapshot_per_channel"](spark, SF))
-    assert "Window" not in p and "partial_max" in p
+    assert "partial_max" in p and "SortAggregate" not in p
 
 
 def test_shared_rollup_is_cached(spark):
@@ -85,6 +85,38 @@ def test_upsert_small_batch_is_broadcast(spark):
     assert "SortMergeJoin" in p2 and "BroadcastHashJoin" not in p2
 
 
+def test_large_upsert_is_one_join(spark):
+    t = spark.range(0, 5000).selectExpr("CAST(id AS STRING) AS video_id", "id AS views",
+                                         "CAST(NULL AS TIMESTAMP) AS updated_at")
+    s = spark.range(0, 10).selectExpr("CAST(id AS STRING) AS video_id", "id + 1 AS views")
+    p = plan(upsert(t, s, ["video_id"], ["views"], as_of_literal(dt.datetime(2024, 1, 1)),
+                    created=None, updated="updated_at", strategy="shuffle"))
+    assert p.count("SortMergeJoin") == 1 and "FullOuter" in p and p.count("Exchange hash") == 2
+
+
+def test_fresh_counts_prune_both_scans(spark, tmp_dir):
+    day = dt.datetime(2024, 1, 31)
+    spark.createDataFrame([(day,)], "captured_at timestamp").write.parquet(f"{tmp_dir}/c")
+    spark.createDataFrame([(day,)], "created_at timestamp").write.parquet(f"{tmp_dir}/v")
+    p = plan(filters.fresh_counts(spark.read.parquet(f"{tmp_dir}/c"), spark.read.parquet(f"{tmp_dir}/v"),
+                                  as_of_literal(day)))
+    for column in ("captured_at", "created_at"):
+        assert f"GreaterThanOrEqual({column}" in p
+
+
+def test_top_lists_list_no_files(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    monkeypatch.setattr(DataFrame, "inputFiles", lambda self: 1 / 0)
+    for name in ("top_videos_10", "latest_channel_snapshot", "subscribers_over_time"):
+        p = plan(QUERIES[name](spark, SF))
+        assert "Scan parquet" in p
+
+
+def test_series_shuffles_no_unused_columns(spark):
+    p = plan(QUERIES["subscribers_over_time"](spark, SF).select("time"))
+    assert "channel_title" not in p.split("Exchange rangepartitioning")[0]
+
+
 def test_top_k_plan(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_videos_100"](spark, SF))
     df = spark.range(100).selectExpr("CAST(id AS STRING) AS video_id", "id % 7 AS views")

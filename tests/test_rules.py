@@ -24,14 +24,14 @@ def test_ranges_lengths_decimals(spark):
     good, bad = rules.quarantine(df, rs)
     assert [r.video_id for r in good.collect()] == ["b"]
     assert {r.video_id: r.violations for r in bad.collect()}["c"] == "not_null_publish_hour"
-    with pytest.raises(rules.RuleViolation):
-        rules.enforce(df, rs)
 
 
-def test_enforce_checks_keys(spark):
-    df = spark.createDataFrame([("a",), ("a",)], "video_id string")
-    with pytest.raises(rules.RuleViolation, match="unique_video_id=1"):
-        rules.enforce(df, [], ["video_id"])
+def test_absent_columns(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "video_id string")
+    rs = rules.applicable(df, [*rules.not_null(["video_id", "title"]), rules.in_range("publish_hour", 0, 23)])
+    assert [r.name for r in rs] == ["not_null_video_id", "not_null_title"]
+    assert rules.violation_counts(df, rs).first().asDict() == {"not_null_video_id": 0,
+                                                               "not_null_title": 2}
 
 
 def test_video_rule_set_applies_to_table_frames(spark):

@@ -23,6 +23,29 @@ def test_run_jobs_keeps_order_and_raises_after_all(spark):
     assert done == [4]  # the other job still ran to the end
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    from chanpulse.session import is_local_master
+    assert is_local_master("local") and is_local_master("local[4]")
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[3,2,1024]"):
+        assert not is_local_master(master)
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
 def test_checkpoint_root_uses_the_session_setting(spark):
     root = checkpoint_root(spark)
     assert root

@@ -72,6 +72,33 @@ def test_upsert_batch_with_hot_key_last_wins(spark):
     assert len(got) == 1 + (N - N // 3)
 
 
+def test_repeated_replies_give_one_row_per_listing(spark):
+    ids = spark.range(N).select(F.col("id").alias("page"),
+                                F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                .otherwise(F.col("id").cast("string")).alias("video_id"))
+    details = spark.range(3 * N).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % N).cast("string"))
+        .alias("video_id"), F.col("id").alias("views"), F.col("id").alias("landed_at"))
+    for args in ({"hot": []}, {"sample": 0.2, "hot_rows": 1000}):
+        out = collect.lookup_details(ids, details, **args)
+        assert out.columns == ["video_id", "page", "views"] and out.count() == N
+        hot = out.filter(F.col("video_id") == "hot").select("views").distinct().collect()
+        assert [r.views for r in hot] == [3 * N - 3]
+
+
+def test_cap_reads_no_page_beyond_its_range(spark):
+    ids = spark.range(5000).select(F.floor(F.col("id") / 50).alias("page"),
+                                   F.col("id").cast("string").alias("video_id"))
+    details = spark.range(0, 5000, 2).select(F.col("id").cast("string").alias("video_id"),
+                                             F.col("id").alias("views"))
+    assert collect.first_pages(ids, details, 100) == 4
+    assert collect.first_pages(ids, details, 10_000) is None
+    out = collect.collect_videos(ids, details, cap=100)
+    assert sorted({r.page for r in out.collect()}) == [0, 1, 2, 3] and out.count() == 100
+    assert collect.collect_videos(ids, details).count() == 2500  # no cap: everything
+    assert collect.collect_videos(ids.limit(0), details, cap=5).count() == 0
+
+
 def test_hot_id_edges(spark):
     uniform = spark.range(N).select(F.col("id").cast("string").alias("video_id"))
     assert collect.hot_keys(uniform, "video_id", sample=0.2, hot_rows=1000) == []

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chanpulse.functions.derive import as_of_literal
 from chanpulse.session import local_fs_path
 from chanpulse.sources import api_json, csv, fs, parquet, snapshots
-from chanpulse.sources.warehouse import VersionedTable
+from chanpulse.sources.warehouse import ConcurrentCommit, VersionedTable
 
 NOW = dt.datetime(2025, 11, 6)
 
@@ -20,29 +20,33 @@ def write_text(path, text):
         f.write(text)
 
 
+# fixed value: the header of a video snapshot
 VIDEO_HEADER = "video_id,title,publish_time,views,likes,comments,engagement_rate,publish_day,publish_hour\n"
 
 
 def test_videos_csv_quotes_bigint_and_rejects(spark, tmp_dir):
     p = f"{tmp_dir}/videos_20251105_195805.csv"
     write_text(p, VIDEO_HEADER
-               + 'MOLrhoMTEsk,"A, quoted ""x""",2022-09-24T00:56:06+00:00,3000000000,9602,2387,'
-                 '0.03746328354477845,Saturday,0\n'
+               + 'v1,"A, quoted ""x""",2022-09-24T00:40:12+00:00,3000000000,7000,500,'
+                 '0.0000025,Saturday,0\n'
                + "bad1,B,not-a-time,1,0,0,0.0,Monday,1\n"
+               + "bad2,B,2022-09-25T00:00:00Z,abc,0,0,0.0,Monday,1\n"
                + "short1,C,2022-09-25T00:00:00Z\n")
     loaded = csv.load_videos(spark, p, as_of_literal(NOW))
     rows = {r.video_id: r for r in loaded.rows.collect()}
-    a = rows["MOLrhoMTEsk"]
-    assert a.title == 'A, quoted "x"' and a.views == 3000000000 and a.likes == 9602
+    assert set(rows) == {"v1"}
+    a = rows["v1"]
+    assert a.title == 'A, quoted "x"' and a.views == 3000000000 and a.likes == 7000
     assert a.publish_day_of_week == 7 and a.publish_month == "2022-09"
-    assert rows["short1"].views is None and rows["short1"].publish_day is None
-    rej = loaded.rejects.collect()
-    assert [(r.video_id, r.publish_time) for r in rej] == [("bad1", "not-a-time")]
+    rej = {r.video_id: r for r in loaded.rejects.collect()}
+    assert {k: r.reason for k, r in rej.items()} == {
+        "bad1": "unreadable time", "bad2": "malformed record", "short1": "malformed record"}
+    assert rej["bad1"].publish_time == "not-a-time" and rej["short1"].record.startswith("short1,C")
 
 
 def test_channel_csv_write_keeps_microseconds(spark, tmp_dir):
-    t = dt.datetime(2025, 11, 5, 19, 58, 4, 790258)
-    ch = spark.createDataFrame([(t, "UC1", "Jude", 20200, 320014, 1)],
+    t = dt.datetime(2025, 11, 5, 19, 58, 4, 120431)
+    ch = spark.createDataFrame([(t, "c1", "Teapot Club", 51300, 770042, 12)],
                                "captured_at timestamp, channel_id string, channel_title string, "
                                "subscribers long, total_views long, video_count int")
     vids = spark.createDataFrame([], "video_id string, title string, publish_time timestamp, "
@@ -51,9 +55,9 @@ def test_channel_csv_write_keeps_microseconds(spark, tmp_dir):
     cp, vp = csv.save_snapshots(ch, vids, tmp_dir, "20251105_195805")
     assert vp is None  # no videos, no file
     text = spark.read.text(cp).filter(~F.col("value").startswith("captured_at")).first()[0]
-    assert text.startswith("2025-11-05T19:58:04.790258+00:00")
+    assert text.startswith("2025-11-05T19:58:04.120431+00:00")
     back = csv.read_channel_csv(spark, cp).first()
-    assert back.captured_at == t and back.subscribers == 20200
+    assert back.captured_at == t and back.subscribers == 51300
 
 
 def test_snapshot_choice(spark, tmp_dir):
@@ -88,14 +92,27 @@ def landed(spark, tmp_dir, kind, lines):
 
 
 def test_channel_reply(spark, tmp_dir):
-    ok = {"channel_id": "UC1", "captured_at": "2025-11-05T19:58:04.790258+00:00",
-          "response": {"items": [{"snippet": {"title": "Jude"},
-                                  "statistics": {"subscriberCount": "20200", "viewCount": "320014"}}]}}
-    r = api_json.channel_rows(landed(spark, tmp_dir, "channels", [ok])).first()
-    assert (r.channel_title, r.subscribers, r.total_views, r.video_count) == ("Jude", 20200, 320014, 0)
-    missing = {"channel_id": "UC2", "captured_at": "2025-11-05T00:00:00Z", "response": {"items": []}}
-    with pytest.raises(ValueError, match="Channel UC2 not found"):
-        api_json.channel_rows(landed(spark, tmp_dir + "/m", "channels", [ok, missing]))
+    def reply(cid, time="2025-11-05T19:58:04.120431+00:00", title="Teapot Club", n="51300"):
+        return {"channel_id": cid, "captured_at": time, "response": {"items": [
+            {"snippet": {"title": title}, "statistics": {"subscriberCount": n, "viewCount": "770042"}}]}}
+
+    r = api_json.channel_rows(landed(spark, tmp_dir, "channels", [reply("c1")])).first()
+    assert (r.channel_title, r.subscribers, r.total_views, r.video_count) == ("Teapot Club", 51300,
+                                                                             770042, 0)
+    missing = {"channel_id": "c2", "captured_at": "2025-11-05T00:00:00Z", "response": {"items": []}}
+    df = landed(spark, tmp_dir + "/m", "channels", [reply("c1"), missing])
+    with pytest.raises(Exception, match="no channel for id c2"):  # raised by the plan itself
+        api_json.channel_rows(df).collect()
+    assert api_json.channel_rows(df, on_missing="drop").count() == 1
+    df = landed(spark, tmp_dir + "/r", "channels", [
+        reply("c1", None), reply("c2", "soon"), reply("c3", title=None), reply("c4", n="many"),
+        {"channel_id": "c5", "captured_at": "2025-11-05T00:00:00Z", "response": None}, "{broken"])
+    now = as_of_literal(NOW)
+    parsed = api_json.channel_replies(df, captured_at=now)
+    assert [(r.channel_id, r.captured_at) for r in parsed.rows.collect()] == [("c1", NOW)]
+    assert sorted((r.channel_id or "", r.reason) for r in parsed.rejects.collect()) == [
+        ("", "broken reply"), ("c2", "unreadable time"), ("c3", "no title"), ("c4", "bad counter"),
+        ("c5", "broken reply")]
 
 
 def test_video_reply_drop_and_reject(spark, tmp_dir):
@@ -106,6 +123,11 @@ def test_video_reply_drop_and_reject(spark, tmp_dir):
         {"video_id": "v2", "response": {"items": []}},
         {"video_id": "v3", "response": {"items": [{"id": "v3", "snippet": {
             "title": "U", "publishedAt": "yesterday"}, "statistics": {}}]}},
+        {"video_id": "v4", "response": {"items": [{"id": "v4", "snippet": {
+            "title": "U", "publishedAt": "2022-09-24T00:56:06Z"},
+            "statistics": {"viewCount": "12x"}}]}},
+        {"video_id": "v5", "response": {"items": [{"id": "v5", "snippet": {
+            "publishedAt": "2022-09-24T00:56:06Z"}}]}},
         "{not json",
     ]
     parsed = api_json.video_rows(landed(spark, tmp_dir, "videos", lines))
@@ -114,7 +136,13 @@ def test_video_reply_drop_and_reject(spark, tmp_dir):
     r = rows[0]
     assert (r.views, r.likes, r.comments, r.engagement_rate) == (100, 5, 0, 0.05)
     assert (r.publish_day, r.publish_hour) == ("Saturday", 0)
-    assert parsed.rejects.count() == 2
+    assert sorted((r.video_id or "", r.reason) for r in parsed.rejects.collect()) == [
+        ("", "broken reply"), ("v3", "unreadable time"), ("v4", "bad counter"), ("v5", "no title")]
+    text = spark.createDataFrame([("v1", '{"items": [{"id"'), ("v2", '{"items": []}')],
+                                 "video_id string, response string")
+    parsed = api_json.video_rows(text)
+    assert [r.reason for r in parsed.rejects.collect()] == ["broken reply"]
+    assert parsed.rows.count() == 0
 
 
 def test_search_ids(spark, tmp_dir):
@@ -142,18 +170,17 @@ def test_versioned_table(spark, tmp_dir):
     assert touched == ["_part=2024-01-02"]
     assert t.commit(t.read_partitions(touched).unionByName(new), touched) == 2
     m = t.manifest()
-    assert m.partitions == {"_part=2024-01-01": 1, "_part=2024-01-02": 2} and m.max_id == 4
-    assert t.read().count() == 4 and t.read(1).count() == 3  # old versions stay readable
+    assert {d: f[:10] for d, f in m.partitions.items()} == {
+        "_part=2024-01-01": "v=00000001", "_part=2024-01-02": "v=00000002"} and m.max_id == 4
+    assert t.read().count() == 4
     # data written without a manifest (killed writer) is invisible
-    os.makedirs(local_fs_path(t.version_path(3)), exist_ok=True)
+    os.makedirs(local_fs_path(f"{t.root}/v=00000003-dead"), exist_ok=True)
     assert t.current_version() == 2
-    assert t.register("channel_stats_view").count() == 4
-    assert spark.sql("SELECT count(*) FROM channel_stats_view").first()[0] == 4
-    # retention: with only the newest manifest kept, version 1 still holds a
-    # live partition; the dead writer's folder is removable
-    assert [d.rsplit("/", 1)[1] for d in t.vacuum(retain=1)] == []
-    # the next commit skips past the dead writer's folder
-    assert t.commit(t.read_partitions(["_part=2024-01-01"]), ["_part=2024-01-01"]) == 4
-    doomed = t.vacuum(retain=1)  # dry run: nothing is deleted
-    assert sorted(d.rsplit("/", 1)[1] for d in doomed) == ["v=00000001", "v=00000003"]
-    assert t.read().count() == 4 and t.read(1).count() == 3
+    assert t.commit(t.read_partitions(["_part=2024-01-01"]), ["_part=2024-01-01"]) == 3
+    # a commit on a version that is not the newest any more
+    with pytest.raises(ConcurrentCommit):
+        t.commit(t.read(), base=m)
+    assert t.versions() == [0, 1, 2, 3] and t.read().count() == 4
+    # a manifest is never overwritten
+    with pytest.raises(Exception, match="exist"):
+        fs.write_text(spark, f"{t.root}/_manifests/00000003.json", "x")

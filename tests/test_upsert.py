@@ -36,7 +36,7 @@ def base(spark):
     return t, s
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "auto"])
+@pytest.mark.parametrize("strategy", ["shuffle", "auto"])
 def test_full_upsert(spark, base, strategy):
     t, s = base
     out = run(t, s, ["title", "views", "likes"], strategy)
@@ -49,6 +49,18 @@ def test_full_upsert(spark, base, strategy):
     assert (c.created_at, c.updated_at, c.id) == (NOW, NOW, 3)           # insert, next id
 
 
+def test_unchecked_broadcast_is_no_strategy(spark, base):
+    with pytest.raises(ValueError, match="strategy"):
+        run(*base, ["title"], "broadcast")
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "auto"])
+def test_inserted_rows_take_defaults(spark, base, strategy):
+    t, s = base
+    out = run(t, s.drop("likes"), ["title", "views"], strategy, defaults={"likes": 0})
+    assert out["c"].likes == 0 and out["b"].likes == 2
+
+
 def test_narrow_upsert_keeps_likes(spark, base):
     t, s = base
     out = run(t, s, ["title", "views"])
@@ -108,6 +120,10 @@ def test_keep_last_and_duplicates(spark):
                                "key string, seq int, v string")
     got = {r.key: r.v for r in keep_last(df, ["key"], "seq").collect()}
     assert got == {"k": "c", "j": "z"}
+    odd = spark.createDataFrame([(None, None, "a"), (None, None, "b"), ("k", None, "c"), ("k", 1, "d"),
+                                 ("k", 1, "d")], "key string, seq int, v string")
+    assert sorted((r.key or "", r.v) for r in keep_last(odd, ["key"], "seq").collect()) == [
+        ("", "b"), ("k", "d")]
     assert [(r.key, r.n) for r in duplicate_keys(df, ["key"]).collect()] == [("k", 3)]
 
 
