@@ -13,7 +13,7 @@
    clusters; classes of different clusters share no bucket.
 4. Verification.  Within a cluster every link is confirmed on whole sets: from a
    member, its links among the members not yet reached are found by counting common
-   elements, and these go on.  A cluster larger than MOST is dealt into parts, which
+   elements, and these go on.  A cluster larger than MOST (or ELEMENTS) is dealt into parts, which
    are searched like that; then ties over a border of parts are verified, and then
    all pairs of a bucket that still lie in different components.  A tight cluster of
    any size is one component after the ties, so pairs remain only around strays.
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import arrow_udf, materialise, ship
+from chanpulse.llm.common import arrow_udf, map_in_arrow, materialise
 from chanpulse.llm.components import stars
 from chanpulse.llm.textarrays import mix64, slices, spans, word_bounds, word_hashes
 
@@ -45,9 +45,8 @@ ROWS, BANDS = 6, 40
 SHINGLE = 5
 #: Least similarity, in hundredths.
 ALIKE = 80
-#: Largest cluster, or part of one, that is searched in one piece.
-MOST = 2_000
-SLICE = 1 << 20
+#: Members and elements of a cluster, or of a part of one, that are searched in one piece.
+MOST, ELEMENTS = 4_000, 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -104,7 +103,7 @@ def signatures(element: np.ndarray, of: np.ndarray, n: int, m: int) -> np.ndarra
             break
         if places is None:
             element, row, k = element[stay], row[stay], k[stay]
-            places = np.tile(np.arange(m, dtype=np.uint16), (len(row), 1))
+            places = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(row), 1))
             places[np.arange(len(k)), k] = 0
         elif not stay.all():
             element, row, places = element[stay], row[stay], places[stay]
@@ -130,7 +129,7 @@ def features(docs: DataFrame, shingle: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             done = 0
-            for part in slices(batch.column(2), SLICE):
+            for part in slices(batch.column(2)):
                 body, at = spans(part)
                 element, of = sets(body, at, shingle)
                 n = len(part)
@@ -151,9 +150,9 @@ def features(docs: DataFrame, shingle: int) -> DataFrame:
                                               pa.array(bands.ravel()))],
                     ["doc_id", "th", "n", "k1", "k2", "bands"])
 
-    ship(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("th"), "text") \
-        .mapInArrow(run, "doc_id long, th long, n long, k1 long, k2 long, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("th"), "text")
+    return map_in_arrow(rows, run,
+                        "doc_id long, th long, n long, k1 long, k2 long, bands array<long>")
 
 
 def linked(common, a, b):
@@ -223,8 +222,8 @@ def search(parts: DataFrame) -> DataFrame:
         if cids:
             yield close()
 
-    return parts.repartition("label", "part").sortWithinPartitions("label", "part", "cid") \
-        .select("label", "part", "cid", "set").mapInArrow(run, "cid long, root long")
+    ordered = parts.repartition("label", "part").sortWithinPartitions("label", "part", "cid")
+    return map_in_arrow(ordered.select("label", "part", "cid", "set"), run, "cid long, root long")
 
 
 def confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -248,7 +247,8 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
     rows = materialise(spark, features(docs, shingle), "near-features")
     no_id = F.col("doc_id").isNull().alias("none")
     classes = rows.filter(F.col("n") > 0).groupBy("k1", "k2").agg(
-        F.min(F.struct(no_id, "doc_id", "th")).alias("rep"), F.min("bands").alias("bands"))
+        F.min(F.struct(no_id, "doc_id", "th")).alias("rep"), F.min("bands").alias("bands"),
+        F.min("n").alias("n"))
     classes = materialise(spark, classes.withColumn("cid", F.monotonically_increasing_id()),
                           "near-classes")
     held = classes.select("cid", F.explode("bands").alias("key"))
@@ -258,10 +258,12 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
     ties = members.filter(F.col("cid") != F.col("hub")).select(
         F.col("cid").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = stars(ties).select(F.col("node").alias("cid"), F.col("root").alias("label"))
-    many = clusters.groupBy("label").agg(F.ceil(F.count("*") / most).alias("parts"))
+    clusters = clusters.join(classes.select("cid", "n", "rep"), "cid")
+    many = clusters.groupBy("label").agg(F.ceil(F.greatest(
+        F.count("*") / most, F.sum("n") / ELEMENTS)).alias("parts"))
     dealt = materialise(spark, clusters.join(many, "label").withColumn(
         "part", F.pmod(F.xxhash64("cid"), F.col("parts"))), "near-clusters")
-    wanted = dealt.join(classes.select("cid", "k1", "k2", "rep"), "cid").select(
+    wanted = dealt.select(
         "label", "part", "parts", "cid", F.col("rep.none").alias("none"),
         F.coalesce("rep.doc_id", F.lit(0)).alias("id"), F.col("rep.th").alias("th"))
     text = docs.select(no_id, F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
@@ -269,13 +271,14 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
 
     def whole_set(column: pa.Array) -> pa.Array:
         out = []
-        for part in slices(column, SLICE):
+        for part in slices(column):
             element, of = sets(*spans(part), shingle)
             ends = np.cumsum(np.bincount(of, minlength=len(part)))
             out += [element[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
         return pa.array(out, pa.binary())
 
-    whole = text.join(wanted, ["none", "id", "th"]).select(
+    # merged at every size: the plan of a small input is that of a large one
+    whole = text.hint("merge").join(wanted, ["none", "id", "th"]).select(
         "label", "part", "parts", "cid", arrow_udf(whole_set, "binary")(F.col("text")).alias("set"))
     whole = materialise(spark, whole, "near-sets")
     found = materialise(spark, search(whole), "near-roots")
