@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import materialise, ship
+from chanpulse.llm.common import map_in_arrow, materialise
 
 TOP = 20
 NEAREST = 12
@@ -101,7 +101,6 @@ def search(embeddings: DataFrame, wanted: Column, top: int = TOP, nearest: int =
            rerank: float = RERANK, pivots: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score for the rows that ``wanted`` (on vec_id) picks."""
     spark = embeddings.sparkSession
-    ship(spark)
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"),
                              F.col("embedding").cast("array<double>").alias("v")) \
         .filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
@@ -130,8 +129,8 @@ def search(embeddings: DataFrame, wanted: Column, top: int = TOP, nearest: int =
                  pa.array([r.tobytes() for r in order], pa.binary()),
                  pa.array(order.tolist(), pa.list_(pa.int32()))], ["point", "x", "ord", "near"])
 
-    index = materialise(spark, points.select("point", "v").mapInArrow(
-        represent, "point long, x binary, ord binary, near array<int>"), "ann-index")
+    index = materialise(spark, map_in_arrow(
+        points.select("point", "v"), represent, "point long, x binary, ord binary, near array<int>"), "ann-index")
     small = Window.partitionBy("h1", "h2").orderBy("vec_id")
     narrow = rows.select("vec_id", "h1", "h2").distinct()
     ids = narrow.withColumn("nth", F.row_number().over(small)).filter(F.col("nth") <= top + 1)

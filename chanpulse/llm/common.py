@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import io
 import os
 import shutil
@@ -12,6 +13,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chanpulse.llm.textarrays import release
 from chanpulse.session import scratch_path
 
 #: A word: a run of anything but ASCII white space (space and 0x09 to 0x0D).
@@ -57,9 +59,28 @@ def ship(spark: SparkSession) -> None:
 
 
 def arrow_udf(run, kind: str):
-    """``F.arrow_udf`` for code of this package."""
+    """``F.arrow_udf`` for code of this package; releases memory after each batch."""
     ship(SparkSession.active())
-    return F.arrow_udf(run, kind)
+
+    @functools.wraps(run)
+    def lean(*columns):
+        out = run(*columns)
+        release()
+        return out
+
+    return F.arrow_udf(lean, kind)
+
+
+def map_in_arrow(df: DataFrame, run, kind: str) -> DataFrame:
+    """``df.mapInArrow`` for code of this package; releases memory after each batch."""
+    ship(df.sparkSession)
+
+    def lean(batches):
+        for out in run(batches):
+            yield out
+            release()
+
+    return df.mapInArrow(lean, kind)
 
 
 def fresh(df: DataFrame, base: str) -> str:

@@ -39,7 +39,7 @@ ROUNDS = 12
 #: Largest distance from the nearest centroid that is still accepted.
 FAR = 0.98
 UNKNOWN = "und"
-SLICE = 1 << 19
+SLICE, SLICE_TEXTS = 1 << 19, 256
 
 
 @lru_cache(maxsize=1)
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = C
 
     def sparse(text: pa.Array) -> pa.Array:
         out = []
-        for part in slices(text, SLICE):
+        for part in slices(text, SLICE, SLICE_TEXTS):
             for row in gram_counts(texts(part)):
                 at = np.flatnonzero(row)
                 out.append({"at": at.tolist(), "n": row[at].tolist()})
@@ -167,7 +167,7 @@ def predict_column(model: Model):
     """Arrow UDF: text to lang_pred, score and rejected."""
     def run(text: pa.Array) -> pa.Array:
         lang, score = [], []
-        for part in slices(text, SLICE):
+        for part in slices(text, SLICE, SLICE_TEXTS):
             found, near = model.predict(texts(part))
             lang += found
             score.append(near.astype(np.float64))

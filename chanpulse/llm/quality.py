@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import arrow_udf, fresh
+from chanpulse.llm.common import arrow_udf, fresh, map_in_arrow
 from chanpulse.llm.textarrays import mix64, slices, spans, word_bounds, word_hashes
 
 DIMS = 1024
@@ -268,8 +268,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
                                               pa.array([r[1] for r in rows], pa.binary())], ["p", "x"])
 
     u = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = docs.select("text", u.alias("u")).filter(F.col("u") < max(share.values())) \
-        .filter(F.col("text").isNotNull()).mapInArrow(draw, "p double, x binary").collect()
+    may = docs.select("text", u.alias("u")).filter(F.col("u") < max(share.values())) \
+        .filter(F.col("text").isNotNull())
+    drawn = map_in_arrow(may, draw, "p double, x binary").collect()
     drawn.sort(key=lambda r: (r["p"], r["x"]))
     y = np.array([r["p"] for r in drawn])
     x = np.array([np.frombuffer(r["x"], np.float32) for r in drawn]).reshape(-1, DIMS)

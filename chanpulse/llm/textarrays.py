@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-#: Text bytes handled at once; the arrays over them are several times as large.
-SLICE_BYTES = 1 << 21
+#: Text bytes handled at once; the arrays over them are many times as large.
+SLICE_BYTES = 1 << 19
+#: Texts handled at once: what is held for each, whatever its length, is bounded as well.
+SLICE_ROWS = 2_000
+
+
+def release() -> None:
+    """Give freed memory back: a worker lives on after its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own counsel
+        pass
 
 
 def plain(arr) -> pa.Array:
@@ -32,14 +44,15 @@ def spans(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[at[0]:at[-1]], at - at[0]
 
 
-def slices(arr: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Runs of values of about ``limit`` bytes in all; one larger value is a run of its own."""
+def slices(arr: pa.Array, limit: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.Array]:
+    """Runs of at most ``rows`` values of about ``limit`` bytes in all; one larger value is
+    a run of its own."""
     arr = plain(arr)
     _, at = spans(arr)
     start = 0
     while start < len(arr):
         end = int(np.searchsorted(at, at[start] + limit, side="right")) - 1
-        end = min(max(end, start + 1), len(arr))
+        end = min(max(end, start + 1), start + rows, len(arr))
         yield arr.slice(start, end - start)
         start = end
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import arrow_udf, held_out, materialise, ship
+from chanpulse.llm.common import arrow_udf, held_out, map_in_arrow, materialise
 from chanpulse.llm.quality import logistic
 from chanpulse.llm.textarrays import slices, texts
 
@@ -180,7 +180,7 @@ def _counts(rows: DataFrame, per_text, keep: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.string()), pa.array([toxic[k] for k in keys], pa.int64()),
                  pa.array([clean[k] for k in keys], pa.int64())], ["key", "toxic", "clean"])
-    return rows.mapInArrow(run, "key string, toxic long, clean long").groupBy("key").agg(
+    return map_in_arrow(rows, run, "key string, toxic long, clean long").groupBy("key").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
         .filter(F.col("toxic") + F.col("clean") >= keep)
 
@@ -189,7 +189,6 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAM
         given: dict[str, float] | None = None) -> Lexicon:
     """Lexicon and curve from rows of ``docs`` (doc_id, text) that ``labels`` marks."""
     spark = docs.sparkSession
-    ship(spark)
     known = {f" {w} ": x for k, x in (GIVEN if given is None else given).items()
              for w in [fold(k).strip()]}
     marked = labels.filter(may_learn & F.col("doc_id").isNotNull()).select(
