@@ -40,12 +40,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import materialise, parts_for, ship
+from chanpulse.llm.common import map_in_arrow, materialise, parts_for
 from chanpulse.session import scratch_path
 
 REVISIT = 1_000
 FILE_BYTES = 128 << 20
 ROWS_PER_RANGE = 100_000
+#: Archive bytes that are read in a row, and by a task, about.
+SPOT_BYTES, TASK_BYTES = 1 << 20, 8 << 20
 #: Where no capture time is given: this moment (2024-01-01) plus page_id seconds, within a year.
 EPOCH, YEAR = 1_704_067_200, 31_536_000
 # fixed value: the profile that WARC 1.1 names for revisits by payload digest
@@ -149,8 +151,10 @@ def write_runs(rows: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> Data
                     yield close()
                     out = None
                 if out is None:
-                    name = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-                    out, index, at, written = fs.open_output_stream(name, compression=None), [], 0, 0
+                    leaf = f"{uuid.uuid4().hex}.warc.gz"
+                    name = f"{path.rstrip('/')}/{leaf}"  # the URI goes into the index
+                    out = fs.open_output_stream(f"{folder}/{leaf}", compression=None)
+                    index, at, written = [], 0, 0
                 packed = gzip.compress(
                     record(page_id, url, ts, payload, digest, (latest,) if again else None),
                     4, mtime=0)
@@ -162,8 +166,7 @@ def write_runs(rows: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> Data
         if out is not None:
             yield close()
 
-    ship(rows.sparkSession)
-    return rows.mapInArrow(run, INDEX)
+    return map_in_arrow(rows, run, INDEX)
 
 
 class LoserTree:
@@ -235,11 +238,10 @@ def merged(index: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
             [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
             schema=schema)
 
-    ship(index.sparkSession)
     key = [F.col("urlkey"), F.col("ts"), F.col("page_id").asc_nulls_first(), F.col("file"),
            F.col("offset")]
-    return index.repartitionByRange(parts_for(index.count(), rows_per_range), *key) \
-        .mapInArrow(run, INDEX)
+    ranged = index.repartitionByRange(parts_for(index.count(), rows_per_range), *key)
+    return map_in_arrow(ranged, run, INDEX)
 
 
 def archive(pages: DataFrame, path: str | None = None, captured: Column | None = None,
@@ -266,7 +268,7 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each record,
     checked against its payload; with its html (null for revisits) if asked."""
     def run(batches):
-        fs = opened = name = None
+        opened = name = None
         for batch in batches:
             out = []
             for file, offset, length in zip(*[batch.column(k).to_pylist() for k in range(3)],
@@ -274,9 +276,8 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
                 if file != name:
                     if opened is not None:
                         opened.close()
-                    if fs is None:
-                        fs, _ = pafs.FileSystem.from_uri(file)
-                    opened, name = fs.open_input_file(file), file
+                    fs, place = pafs.FileSystem.from_uri(file)
+                    opened, name = fs.open_input_file(place), file
                 head, payload = parse(gzip.decompress(opened.read_at(length, offset)))
                 digest = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                 size, kind = int(head["Page-Payload-Length"]), head["WARC-Type"]
@@ -296,13 +297,15 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
                      ("payload_digest", pa.string()), ("record_type", pa.string()),
                      ("refers_to", pa.int64()), ("payload", pa.binary())]))
 
-    ship(index.sparkSession)
-    # a megabyte or so of an archive at a time, in its order
-    spot = F.floor(F.col("offset") / (4 << 20))
+    # spots of an archive, dealt to as many tasks as the archives' bytes ask for (the
+    # index rows themselves are small, and would all be read by one)
+    size = index.agg(F.sum("length")).first()[0] or 0
+    spot = F.floor(F.col("offset") / SPOT_BYTES)
     rows = index.select("file", "offset", "length", spot.alias("spot")) \
-        .repartition("file", "spot").sortWithinPartitions("file", "offset")
-    found = rows.select("file", "offset", "length").mapInArrow(
-        run, "page_id long, payload_bytes long, payload_digest string, record_type string, "
+        .repartition(parts_for(size, TASK_BYTES), "file", "spot") \
+        .sortWithinPartitions("file", "offset")
+    found = map_in_arrow(
+        rows.select("file", "offset", "length"), run, "page_id long, payload_bytes long, payload_digest string, record_type string, "
              "refers_to long, payload binary")
     return found if payloads else found.drop("payload")
 
