@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from chanpulse.llm.common import GAP, text_or_empty
 
-K = 64
+K = 128
 SHINGLE = 5
 ROWS_PER_BLOCK = 1_000
 MOST_BLOCKS = 100_000

@@ -136,7 +136,7 @@ def test_fingerprints_estimate_resemblance(spark):
             continue
         by_text.setdefault(of[r["doc_id"]], set()).add(r["fingerprint"])
         a = shingles(of[r["doc_id"]])
-        if len(a) < 64:
+        if len(a) < fingerprint.K:
             assert r["est_shingles"] == len(a)
     assert all(len(v) == 1 for v in by_text.values())
     longest = next(r for r in rows if r["doc_id"] == 103)
@@ -157,7 +157,7 @@ def test_sketches_merge(spark):
     merged = {r["g"]: r["sketch"] for r in
               fingerprint.merge_groups(one, ["g"], "sketch").collect()}
     both = sorted({h for r in fingerprint.add_sketch(df, "text", "sketch", k=10_000).collect()
-                   for h in r["sketch"]})[:64]
+                   for h in r["sketch"]})[:fingerprint.K]
     assert merged["g"] == both
 
 
