@@ -67,6 +67,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_neardup": _op10,
 }
 
-#: No query here has one: curves, sketches, sampled keys and models have no SQL form
-#: that DuckDB would run over whole tables; tests hold them against brute force.
-ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: The archives' records, and near copies by all pairs with a common shingle.  The others
+#: have no SQL form: curves, sketches, keyed samples, token tables and models.
+ORACLE: dict[str, str] = {
+    "op4_warc": """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS latest FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN latest <> page_id THEN latest END AS refers_to
+FROM r""",
+    "op10_neardup": f"""WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION
+                SELECT reach.a, sides.b FROM reach JOIN sides ON reach.b = sides.a)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id,
+       s.doc_id = c.component_id AS kept
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id""",
+}
