@@ -10,7 +10,9 @@ merged exactly.
 
 The vocabulary is a tokenizer file of the byte-level kind (vocabulary, merges,
 added tokens); its path is a parameter and each Python worker reads it once.
-Words already encoded are remembered, up to REMEMBERED words a worker.
+Words already encoded are remembered in two generations of at most REMEMBERED words
+(and a batch's) a worker: when the younger is full it becomes the older, and words
+that are still met move on.
 
 Edge cases: a null text is empty; an empty text has no token; added tokens in a
 text become their id, as the tokenizers library does; a very long word costs time
@@ -23,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -35,14 +38,19 @@ from chanpulse.llm.common import arrow_udf
 from chanpulse.llm.textarrays import slices, texts
 
 FILE = "byte_bpe_50k.json"
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Longer words aren't remembered.
 LONGEST_REMEMBERED = 64
+#: Words of up to so many bytes are merged without a heap.
+SHORT = 24
 NEVER = np.int64(1) << 40
 # fixed values: the pattern of byte-level pre-tokenization, with \s as Unicode's White_Space
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
            rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+# the same for texts of ASCII alone, which need no tables of letters
+ASCII_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+"
+                 r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 
 
 def default_path() -> str:
@@ -105,7 +113,8 @@ class Vocabulary:
                 self.sound[c] = whole[k] and self.sound[a] and self.sound[b]
         special = "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True))
         self.special = regex.compile(f"({special})") if special else None
-        self.words = regex.compile(PATTERN).findall
+        every, plain = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN).findall
+        self.words = lambda text: plain(text) if text.isascii() else every(text)
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         keys = a * self.size + b
@@ -151,6 +160,8 @@ class Vocabulary:
         """Exact merging: lowest rank first, the leftmost of equals."""
         parts = [self.ids[word[k:k + 1]] for k in range(len(word))]
         n = len(parts)
+        if n <= SHORT:
+            return self._merge_short(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(m[0], k, parts[k], parts[k + 1]) for k in range(n - 1)
                 if (m := self.merges.get((parts[k], parts[k + 1])))]
@@ -170,6 +181,23 @@ class Vocabulary:
                 heapq.heappush(heap, (m[0], before[k], parts[before[k]], parts[k]))
         return [p for p in parts if p >= 0]
 
+    def _merge_short(self, parts: list[int]) -> list[int]:
+        """Exact merging by looking at all pairs each time, which is faster for few."""
+        merges, last = self.merges, (int(NEVER), -1)
+        found = [merges.get(p, last) for p in zip(parts, parts[1:])]
+        while found:
+            best = min(found)
+            if best is last:
+                break
+            k = found.index(best)
+            parts[k:k + 2] = [best[1]]
+            del found[k]
+            if k:
+                found[k - 1] = merges.get((parts[k - 1], parts[k]), last)
+            if k < len(found):
+                found[k] = merges.get((parts[k], parts[k + 1]), last)
+        return parts
+
     def encode_words(self, words: list[bytes]) -> tuple[list[list[int]], int]:
         """Ids of each word, and how many words had to be merged exactly."""
         out = [self.propose(w) for w in words]
@@ -193,12 +221,13 @@ class Encoder:
     def __init__(self, path: str):
         self.vocab = Vocabulary(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, values: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        v, known = self.vocab, self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        v, known, older = self.vocab, self.known, self.older
         split = []
         for text in values:
             if v.special is not None and any(s in text for s in v.added):
@@ -206,9 +235,10 @@ class Encoder:
                               for w in ([v.added[piece]] if k % 2 else v.words(piece))])
             else:
                 split.append(v.words(text))
-        new = {w for words in split for w in words if w not in known}
+        new = set().union(*split).difference(known)
         here: dict = {i: np.array([i], "<u4").tobytes() for i in v.added.values() if i in new}
-        new = [w for w in new if not isinstance(w, int)]
+        known.update((w, older[w]) for w in new if w in older)
+        new = [w for w in new if w not in known and not isinstance(w, int)]
         ids, _ = v.encode_words([w.encode("utf-8") for w in new])
         for w, found in zip(new, ids, strict=True):
             (known if len(w) <= LONGEST_REMEMBERED else here)[w] = np.array(found, "<u4").tobytes()
