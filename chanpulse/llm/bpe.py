@@ -39,6 +39,8 @@ from chanpulse.llm.textarrays import slices, texts
 
 FILE = "byte_bpe_50k.json"
 REMEMBERED = 150_000
+#: Text bytes whose new words are encoded together.
+BATCH_BYTES = 1 << 21
 #: Longer words aren't remembered.
 LONGEST_REMEMBERED = 64
 #: Words of up to so many bytes are merged without a heap.
@@ -260,7 +262,7 @@ def encode_column(path: str):
     """Arrow UDF: text to its ids (array of int)."""
     def run(text: pa.Array) -> pa.Array:
         parts = []
-        for part in slices(text):
+        for part in slices(text, BATCH_BYTES):
             found = [np.frombuffer(b, "<u4").astype(np.int32) for b in encoder(path).encode(texts(part))]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
             parts.append(pa.ListArray.from_arrays(
@@ -283,7 +285,7 @@ DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 def _encoded(path: str, with_ids: bool):
     def run(text: pa.Array) -> pa.Array:
         counts, ids_sha, text_sha, raws = [], [], [], []
-        for part in slices(text):
+        for part in slices(text, BATCH_BYTES):
             e = encoder(path)
             for raw in e.encode(texts(part)):
                 ids = np.frombuffer(raw, "<u4")
