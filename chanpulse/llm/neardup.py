@@ -14,9 +14,10 @@
 4. Verification.  Within a cluster every link is confirmed on whole sets: from a
    member, its links among the members not yet reached are found by counting common
    elements, and these go on.  A cluster larger than MOST (or ELEMENTS) is dealt into parts, which
-   are searched like that; then ties over a border of parts are verified, and then
-   all pairs of a bucket that still lie in different components.  A tight cluster of
-   any size is one component after the ties, so pairs remain only around strays.
+   are searched like that; then ties over a border of parts are verified, then ties of a
+   bucket's components to its largest one, and then all pairs of a bucket that still lie
+   in different components.  A tight cluster of any size is one component after the
+   ties, so pairs remain only around strays.
 5. Components.  The confirmed links' components give every document the smallest
    doc_id it reaches.
 
@@ -326,11 +327,27 @@ def across(spark, members: DataFrame, dealt: DataFrame, whole: DataFrame,
 
     sure = materialise(spark, confirmed(ties, whole), "near-links")
     roots = joined(sure)
-    # strays of a bucket: members outside the hub's component; all their pairs are tested
-    placed = buckets.join(named("cid", "root"), "cid").join(named("hub", "hub_root"), "hub")
-    strays = placed.filter(F.col("root") != F.col("hub_root")).select(
+
+    def placed() -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Members with their roots; each bucket's roots, and the one with most members."""
+        each = buckets.join(named("cid", "root"), "cid").select("key", "cid", "root")
+        groups = each.groupBy("key", "root").agg(F.min("cid").alias("head"),
+                                                 F.count("*").alias("n"))
+        main = groups.groupBy("key").agg(F.max(F.struct("n", "root", "head")).alias("main"))
+        return each, groups, main
+
+    # the components of a bucket are tied to its largest one by their first members, so
+    # that a smallest member that is linked to nothing leaves no component behind
+    _, groups, main = placed()
+    heads = groups.join(main, "key").filter(F.col("root") != F.col("main.root")).select(
+        F.greatest("head", "main.head").alias("a"), F.least("head", "main.head").alias("b")).distinct()
+    sure = materialise(spark, sure.union(confirmed(heads, whole)), "near-links")
+    roots = joined(sure)
+    # strays of a bucket: members outside its largest component; all their pairs are tested
+    each, _, main = placed()
+    strays = each.join(main, "key").filter(F.col("root") != F.col("main.root")).select(
         "key", F.col("cid").alias("a"), F.col("root").alias("ra"))
-    pairs = strays.join(placed.select("key", F.col("cid").alias("b"), F.col("root").alias("rb")),
+    pairs = strays.join(each.select("key", F.col("cid").alias("b"), F.col("root").alias("rb")),
                         "key").filter(F.col("ra") != F.col("rb")) \
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     more = materialise(spark, confirmed(pairs, whole), "near-links")
