@@ -33,11 +33,21 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that go to a Python worker at once; texts are long, and so are their ids.
+BATCH_ROWS = 1_000
 _shipped: set[str] = set()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, which bounds a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "0")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def ship(spark: SparkSession) -> None:
     """Let the workers import this package, wherever they start (once a context)."""
+    small_batches(spark)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
