@@ -1,11 +1,11 @@
 """Approximate nearest neighbours by a permutation index.
 
 A bounded sample of the vectors are pivots.  A vector is represented by its
-NEAREST nearest pivots (largest inner product), in order, and posted in the
-inverted file of each of them.  A query visits the files of its own nearest
-pivots.  Within a file, candidates are ranked by the footrule distance of the two
-orders (a pivot outside a list counts as at its end), and the nearest share of
-them is reranked by the exact inner product in double precision.  A pair that
+nearest pivots (largest inner product), in order, and posted in the inverted file of
+each of them: NEAREST, and more where there are many pivots (``posted``).  A query
+visits the files of its own nearest pivots.  Within a file, candidates are ranked by
+the footrule distance of the two orders (a pivot outside a list counts as at its end),
+and the nearest share of them is reranked by the exact inner product in double precision.  A pair that
 shares several pivots is looked at only in the file of the first of them.
 
 Equal vectors are one point.  As ties go to the smaller id, a point never gives a
@@ -14,7 +14,9 @@ query id of a point gets that point's result.  A vector that is repeated very of
 thus makes neither a long file nor many queries.  Files and the queries at them are
 dealt into blocks (BLOCK points, QUERIES queries), each pair of blocks a group of
 its own: no group holds more, whatever the size of a file.  The number of pivots
-grows with the square root of the number of points, from 16 to MOST_PIVOTS.
+is 0.55 * sqrt(points), from 16 to MOST_PIVOTS.  With more pivots a file holds a
+smaller share of the points, so POSTED * pivots ** 0.25 of them are posted, which holds
+recall; beyond MOST_PIVOTS both counts stay, and so does the share that is visited.
 
 Recall against brute force on the given tables: see the README and the tests.
 
@@ -26,6 +28,8 @@ them; an empty table gives no row.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -35,12 +39,23 @@ from chanpulse.llm.common import map_in_arrow, materialise
 
 TOP = 20
 NEAREST = 12
+#: Posted pivots by the fourth root of all pivots (see README for the recall this holds).
+POSTED = 3.7
 MOST_PIVOTS = 1_024
 #: Share of a file's candidates that is reranked, and the least number.
 RERANK, LEAST = 0.9, 256
 BLOCK, QUERIES = 16_384, 2_048
 
 
+def pivots_for(points: int) -> int:
+    return max(16, min(MOST_PIVOTS, int(0.55 * points ** 0.5)))
+
+
+def posted(pivots: int) -> int:
+    """How many of its nearest pivots a vector is posted at, and a query visits."""
+    return min(pivots, max(NEAREST, math.ceil(POSTED * pivots ** 0.25)))
+
+
 def usable(v: Column) -> Column:
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0)
@@ -97,7 +112,7 @@ def exact_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.array([float(np.dot(row, q)) for row in x])
 
 
-def search(embeddings: DataFrame, wanted: Column, top: int = TOP, nearest: int = NEAREST,
+def search(embeddings: DataFrame, wanted: Column, top: int = TOP, nearest: int | None = None,
            rerank: float = RERANK, pivots: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score for the rows that ``wanted`` (on vec_id) picks."""
     spark = embeddings.sparkSession
@@ -112,12 +127,12 @@ def search(embeddings: DataFrame, wanted: Column, top: int = TOP, nearest: int =
     points = materialise(spark, rows.groupBy("h1", "h2").agg(F.min("v").alias("v"))
                          .withColumn("point", F.monotonically_increasing_id()), "ann-points")
     n = points.count()
-    count = pivots or max(16, min(MOST_PIVOTS, int(0.55 * n ** 0.5)))
+    count = pivots or pivots_for(n)
     # the sample: the points of the smallest hashes (at most MOST_PIVOTS vectors)
     sample = np.array([r["v"] for r in points.orderBy("h1", "h2").limit(count).collect()],
                       np.float64).reshape(-1, dims)
     sample /= np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-    m = min(nearest, len(sample))
+    m = min(nearest or posted(len(sample)), len(sample))
 
     def represent(batches):
         for batch in batches:
