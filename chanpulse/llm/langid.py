@@ -4,8 +4,16 @@ Features are hashed 1- to 3-grams of letters with word borders, weighted by
 (1 + log count) * idf and normalised.  Each language has several centroids, the
 result of spherical k-means over its training documents, so that registers of a
 language needn't share one direction.  A text takes the language of the centroid
-with the largest cosine, which is its score; a text whose distance (1 - cosine)
-exceeds FAR, or without any letter, is rejected.
+with the largest cosine, which is its score; a text without any letter is rejected,
+and so is one whose distance (1 - cosine) exceeds FAR or what texts of that language
+and length have.
+
+The latter comes from the training documents: they and their beginnings (HEADS code
+points) are held against centroids of the other half of their language's documents,
+the cosines are grouped by the power of two of the number of grams, and SLACK times the
+QUANTILE of a group is the least cosine that is accepted.  A group of fewer than
+LEAST_SEEN takes the bound of the next shorter one, no bound exceeds that of a longer
+group, and a language of too few documents for any has FAR alone.
 
 Training: at most about PER_LANG documents of each language (chosen by a hash of
 the text, from all documents that may be learnt from) give the idf and the
@@ -38,6 +46,13 @@ CENTROIDS = 4
 ROUNDS = 12
 #: Largest distance from the nearest centroid that is still accepted.
 FAR = 0.98
+#: Quantile of the training cosines of a length, the share of it that is still accepted,
+#: and how many cosines make a quantile.
+QUANTILE, SLACK, LEAST_SEEN = 0.01, 0.7, 5
+#: Code points of the beginnings that stand for shorter texts.
+HEADS = (8, 16, 32, 64, 128, 256, 512, 1024, 4096)
+#: Groups of lengths: powers of two of the number of grams.
+LENGTHS = 40
 UNKNOWN = "und"
 SLICE, SLICE_TEXTS = 1 << 19, 256
 
@@ -100,21 +115,55 @@ def spherical_means(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
+def length_group(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(counts.sum(1), 1)).astype(int), LENGTHS - 1)
+
+
+def least_cosines(group: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """The least cosine that is accepted, by group of lengths."""
+    found = np.full(LENGTHS, np.nan)
+    for g in np.unique(group):
+        if (group == g).sum() >= LEAST_SEEN:
+            found[g] = SLACK * np.quantile(near[group == g], QUANTILE)
+    out, longer = np.zeros(LENGTHS), np.inf
+    for g in range(LENGTHS)[::-1]:
+        longer = np.fmin(longer, found[g])
+        found[g] = np.nan if np.isnan(found[g]) else longer
+    for g in range(LENGTHS):
+        out[g] = (out[g - 1] if g else 0.0) if np.isnan(found[g]) else found[g]
+    return out
+
+
+def rows_of(group: pa.Table) -> np.ndarray:
+    """Dense counts of a table's sparse ones."""
+    out = np.zeros((group.num_rows, DIMS), np.int64)
+    at = group["at"].combine_chunks()
+    sizes = np.diff(at.offsets.to_numpy())
+    out[np.repeat(np.arange(len(sizes)), sizes), at.flatten().to_numpy()] = \
+        group["n"].combine_chunks().flatten().to_numpy()
+    return out
+
+
 @dataclass
 class Model:
     langs: list[str]
     centroids: np.ndarray
     idf: np.ndarray
+    #: By centroid and group of lengths, the least cosine that is accepted.
+    least: np.ndarray
 
-    def predict(self, values: list[str]) -> tuple[list[str], np.ndarray]:
+    def predict(self, values: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score, and whether the text is rejected."""
         counts = gram_counts(values)
         some = counts.any(1)
         if not self.langs:
-            return [UNKNOWN] * len(values), np.zeros(len(values))
+            return [UNKNOWN] * len(values), np.zeros(len(values)), np.ones(len(values), bool)
         near = weigh(counts, self.idf) @ self.centroids.T
         best = near.argmax(1)
         score = np.where(some, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0)
-        return [self.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)], score
+        least = np.maximum(1 - FAR, self.least[best, length_group(counts)])
+        return [self.langs[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)], \
+            score, ~some | (score < least)
 
 
 def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = CENTROIDS) -> Model:
@@ -123,7 +172,7 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = C
     rows = docs.filter(may_learn).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return Model([], np.zeros((0, DIMS), np.float32), np.ones(DIMS))
+        return Model([], np.zeros((0, DIMS), np.float32), np.ones(DIMS), np.zeros((0, LENGTHS)))
     share = F.create_map(*[x for lang, n in counts.items()
                            for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
@@ -131,50 +180,72 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = C
     def sparse(text: pa.Array) -> pa.Array:
         out = []
         for part in slices(text, SLICE, SLICE_TEXTS):
-            for row in gram_counts(texts(part)):
-                at = np.flatnonzero(row)
-                out.append({"at": at.tolist(), "n": row[at].tolist()})
-        return pa.array(out, pa.struct([("at", pa.list_(pa.int32())), ("n", pa.list_(pa.int32()))]))
-
-    grams = arrow_udf(sparse, "at array<int>, n array<int>")
-    sample = materialise(spark, rows.filter(drawn).select("lang", grams(F.col("text")).alias("g"))
-                         .filter(F.size("g.at") > 0), "lang-sample")
-    n = sample.count()
+            some = texts(part)
+            of = [[] for _ in some]
+            for head in (None, *HEADS):
+                own = [k for k, t in enumerate(some) if head is None or len(t) > head]
+                for k, row in zip(own, gram_counts([some[k][:head] for k in own]), strict=True):
+                    at = np.flatnonzero(row)
+                    of[k].append({"at": at.tolist(), "n": row[at].tolist()})
+            out += of
+        return pa.array(out, pa.list_(pa.struct([("at", pa.list_(pa.int32())),
+                                                 ("n", pa.list_(pa.int32()))])))
+
+    grams = arrow_udf(sparse, "array<struct<at: array<int>, n: array<int>>>")
+    # copies of a text are in one half
+    half = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(2)).cast("int")
+    sample = materialise(spark, rows.filter(drawn).select(
+        "lang", half.alias("half"), F.posexplode(grams(F.col("text"))).alias("head", "g"))
+        .select("lang", "half", "head", "g.*").filter(F.size("at") > 0), "lang-sample")
+    whole = sample.filter("head = 0")
+    n = whole.count()
     df = np.zeros(DIMS)
-    for r in sample.select(F.explode("g.at").alias("at")).groupBy("at").agg(
+    for r in whole.select(F.explode("at").alias("at")).groupBy("at").agg(
             F.count("*").alias("n")).collect():
         df[r["at"]] = r["n"]
     idf = np.log((1 + n) / (1 + df)) + 1
 
-    def cluster(group: pa.Table) -> pa.Table:
-        x = np.zeros((group.num_rows, DIMS), np.int64)
-        for i, g in enumerate(group["g"].to_pylist()):
-            x[i, g["at"]] = g["n"]
+    def means(x: np.ndarray) -> np.ndarray:
         # the order of a shuffle's rows is not fixed; the means' start must be
         x = x[np.lexsort(x.T[::-1][-64:])]
-        c = spherical_means(weigh(x, idf), k).astype(np.float32)
+        return spherical_means(weigh(x, idf), k).astype(np.float32)
+
+    def cluster(group: pa.Table) -> pa.Table:
+        head, side = group["head"].to_numpy(), group["half"].to_numpy()
+        x = rows_of(group.filter(pa.array(head == 0)))
+        c, own = means(x), side[head == 0]
+        others = [means(x[own != h]) if (own != h).any() else None for h in (0, 1)]
+        seen, near = [np.zeros(0, int)], [np.zeros(0)]
+        for h in (0, 1):
+            for part in np.unique(head[side == h]) if others[h] is not None else ():
+                x = rows_of(group.filter(pa.array((head == part) & (side == h))))
+                seen.append(length_group(x))
+                near.append((weigh(x, idf) @ others[h].T).max(1))
+        least = least_cosines(np.concatenate(seen), np.concatenate(near)).tobytes()
         lang = group["lang"][0].as_py()
-        return pa.table({"lang": [lang] * len(c), "c": [row.tobytes() for row in c]},
-                        schema=pa.schema([("lang", pa.string()), ("c", pa.binary())]))
+        return pa.table({"lang": [lang] * len(c), "c": [row.tobytes() for row in c],
+                         "least": [least] * len(c)}, schema=pa.schema(
+                             [("lang", pa.string()), ("c", pa.binary()), ("least", pa.binary())]))
 
-    found = sorted(((r["lang"], bytes(r["c"])) for r in sample.groupBy("lang").applyInArrow(
-        cluster, "lang string, c binary").collect()))
-    return Model([lang for lang, _ in found],
-                 np.array([np.frombuffer(c, np.float32) for _, c in found]).reshape(-1, DIMS), idf)
+    found = sorted(((r["lang"], bytes(r["c"]), bytes(r["least"])) for r in sample.groupBy("lang")
+                    .applyInArrow(cluster, "lang string, c binary, least binary").collect()))
+    return Model([lang for lang, _, _ in found],
+                 np.array([np.frombuffer(c, np.float32) for _, c, _ in found]).reshape(-1, DIMS), idf,
+                 np.array([np.frombuffer(b) for _, _, b in found]).reshape(-1, LENGTHS))
 
 
 def predict_column(model: Model):
     """Arrow UDF: text to lang_pred, score and rejected."""
     def run(text: pa.Array) -> pa.Array:
-        lang, score = [], []
+        lang, score, gone = [], [], [np.zeros(0, bool)]
         for part in slices(text, SLICE, SLICE_TEXTS):
-            found, near = model.predict(texts(part))
+            found, near, far = model.predict(texts(part))
             lang += found
             score.append(near.astype(np.float64))
+            gone.append(far)
         score = np.concatenate([*score, np.zeros(0)])
-        gone = (1 - score > FAR) | np.array([x == UNKNOWN for x in lang], bool)
         return pa.StructArray.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(score), pa.array(gone)],
+            [pa.array(lang, pa.string()), pa.array(score), pa.array(np.concatenate(gone))],
             ["lang_pred", "score", "rejected"])
     return arrow_udf(run, "lang_pred string, score double, rejected boolean")
 

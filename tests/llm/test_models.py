@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chanpulse.llm import langid, quality, toxicity
+from chanpulse.llm.common import held_out
 from chanpulse.llm.textarrays import spans
 from tests.llm.fixtures import SCHEMA, empty, messy, messy_rows, row
 
@@ -78,6 +79,25 @@ def test_language_stage_keeps_clean_documents(spark):
     assert {100, 101, 102}.isdisjoint({r["doc_id"] for r in odd.collect()})
 
 
+def test_unlearnt_scripts_and_noise_are_rejected(spark):
+    model, rng = langid.fit(docs(spark), ~held_out()), random.Random(6)
+    for first, last in ((0x430, 0x44f), (0x3b1, 0x3c9), (0x5d0, 0x5ea), (0x4e00, 0x9fa0), (97, 122)):
+        for n in (40, 200, 2000):
+            noise = [" ".join("".join(chr(rng.randint(first, last)) for _ in range(rng.randint(2, 9)))
+                              for _ in range(n)) for _ in range(20)]
+            assert np.mean(model.predict(noise)[2]) >= 0.95, (first, n)
+    held = [r["text"] for r in docs(spark).filter(held_out()).collect()]
+    for n in (3, 10, 40, 10 ** 6):
+        clean = [" ".join(t.split()[:n]) for t in held]
+        assert np.mean(model.predict(clean)[2]) <= 0.02, n
+
+
+def test_least_cosines_by_length():
+    group, near = np.repeat([3, 5, 7, 9], [50, 2, 50, 50]), np.repeat([0.2, 0.0, 0.6, 0.5], [50, 2, 50, 50])
+    least = langid.least_cosines(group, near) / langid.SLACK
+    assert np.allclose(least[:10], [0, 0, 0, 0.2, 0.2, 0.2, 0.2, 0.5, 0.5, 0.5]) and least[39] == least[9]
+
+
 # ---- quality
 
 def test_quality_against_labels(spark):
