@@ -33,6 +33,17 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a full URI, the way Spark takes it: where it names no scheme it is of the
+    default file system, not of the disk of whoever opens it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = fs.makeQualified(p).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") \
+        and not full.startswith("file://") else full
+
+
 #: Rows that go to a Python worker at once; texts are long, and so are their ids.
 BATCH_ROWS = 1_000
 _shipped: set[str] = set()
