@@ -76,7 +76,9 @@ BLOCK = 1_024
 FILE_BYTES, FILE_DOCUMENTS = 64 << 20, 1_000_000
 #: Text bytes of a part, and of what is encoded at once; words that are decoded at once.
 PART_BYTES, BATCH_BYTES, SLICE_WORDS = 32 << 20, 1 << 20, 1 << 17
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 300_000, 64
+#: New words that the library gets at once, as one text.
+WORDS_AT_ONCE = 1_000
 INDEX = "part long, number long, file string, documents long, ids long, bytes long"
 
 # fixed values: the normalizer and the pattern of the word-level tokenizer file
@@ -208,6 +210,9 @@ class Encoder:
                         and split.get("pattern") == {"Regex": SPLIT} and split.get("invert") is True
                         and split.get("behavior") == "Removed" and not spec.get("post_processor")
                         and not spec["model"].get("dropout"))
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.last = np.zeros(self.library.get_vocab_size(), bool)  # tokens that end a word
+        self.last[[i for t, i in spec["model"]["vocab"].items() if suffix and t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -218,6 +223,21 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.library.encode_batch_fast(values, add_special_tokens=False)]
 
+    def words(self, values: list[str]) -> list[bytes]:
+        """Ids of single words: they are given as texts of many, and cut after each token
+        that ends a word."""
+        out: list[bytes] = []
+        for k in range(0, len(values), WORDS_AT_ONCE):
+            some = values[k:k + WORDS_AT_ONCE]
+            raw, = self.whole([" ".join(some)])
+            ends = 4 * np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 4
+            if len(ends) == len(some) and ends[-1] == len(raw):
+                bounds = [0, *ends.tolist()]
+                out += [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            else:  # a vocabulary without ends of words
+                out += self.whole(some)
+        return out
+
     def _plain(self, text: str) -> bool:
         if not self.by_word or any(s in text for s in self.added):
             return False
@@ -237,7 +257,7 @@ class Encoder:
         new = set().union(*[w for w in split if w is not None]).difference(known)
         known.update((w, older[w]) for w in new if w in older)
         new = [w for w in new if w not in known]
-        here = dict(zip(new, self.whole(new), strict=True))
+        here = dict(zip(new, self.words(new), strict=True))
         known.update((w, ids) for w, ids in here.items() if len(w) <= LONGEST_REMEMBERED)
         long = {w: ids for w, ids in here.items() if len(w) > LONGEST_REMEMBERED}
         rest = iter(self.whole([v for v, w in zip(values, split, strict=True) if w is None]))
