@@ -4,7 +4,8 @@ The ingest loop walks search pages in order, looks every id up, keeps the
 found ones, and stops after the page on which the running count of found
 videos reaches the cap.  On landed pages that is: join ids to details, count
 found videos per page, and keep the pages whose *preceding* running count is
-below the cap.
+below the cap.  Counting needs the ids alone; which page is kept is settled before
+any reply is looked at, so only the kept pages' ids meet their details.
 
 The running count is a prefix sum over pages.  An unpartitioned window would
 put every page into one task, so the sum is taken in two levels: pages are cut
@@ -115,17 +116,22 @@ def running_before(counts: DataFrame, order: str, value: str,
             .drop("_block", "_run", "_btotal", "_offset"))
 
 
+def kept_pages(found: DataFrame, cap: int, page: str = "page",
+               block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Pages (of listings that were found) read before the cap was reached."""
+    per_page = found.groupBy(page).agg(F.count(F.lit(1)).alias("_found"))
+    kept = running_before(per_page, page, "_found", block).filter(F.col("before") < cap)
+    kept = kept.select(page)
+    # at most ``cap`` rows, see BROADCAST_PAGES
+    return F.broadcast(kept) if cap <= BROADCAST_PAGES else kept
+
+
 def capped_collection(found: DataFrame, cap: int, page: str = "page",
                       block: int = DEFAULT_BLOCK) -> DataFrame:
     """Found videos of the pages read before the cap was reached.  The last
     page read is kept whole, so the result may exceed ``cap`` by up to one
     page, as the loop does."""
-    per_page = found.groupBy(page).agg(F.count(F.lit(1)).alias("_found"))
-    kept = running_before(per_page, page, "_found", block).filter(F.col("before") < cap)
-    kept = kept.select(page)
-    if cap <= BROADCAST_PAGES:
-        kept = F.broadcast(kept)  # at most ``cap`` rows, see BROADCAST_PAGES
-    return found.join(kept, page, "left_semi")
+    return found.join(kept_pages(found, cap, page, block), page, "left_semi")
 
 
 def first_pages(search_items: DataFrame, details: DataFrame, cap: int, key: str = "video_id",
@@ -152,11 +158,18 @@ def collect_videos(search_items: DataFrame, details: DataFrame, key: str = "vide
                    page: str = "page", cap: int | None = None, newest: str = "landed_at",
                    **hot_args) -> DataFrame:
     """Search items (page, video_id) -> details of the collected videos: of all pages,
-    or of those read until ``cap`` videos were found."""
+    or of those read until ``cap`` videos were found.  With a cap, replies of other ids are
+    dropped by a semi-join before the newest one of an id is sought."""
     if cap is None:
         return lookup_details(search_items, details, key, newest=newest, **hot_args)
     stop = first_pages(search_items, details, cap, key, page)
     if stop is not None:
         search_items = search_items.filter(F.col(page) < stop)
-    return capped_collection(lookup_details(search_items, details, key, newest=newest, **hot_args),
-                             cap, page)
+    found = search_items.join(details.select(key), key, "left_semi")
+    kept = materialise(found.join(kept_pages(found, cap, page), page, "left_semi"), "kept-items")
+    wanted = kept.select(key).distinct()
+    # one listing a row, and all but the last page's count towards the cap
+    wanted = F.broadcast(wanted) if cap <= BROADCAST_PAGES and kept.count() <= BROADCAST_PAGES \
+        else wanted
+    return lookup_details(kept, details.join(wanted, key, "left_semi"), key, newest=newest,
+                          **hot_args)

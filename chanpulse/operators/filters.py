@@ -1,5 +1,7 @@
 """Time filters.  All are plain predicates, so Catalyst pushes them into the
-Parquet scan (row-group min/max skipping on the time column)."""
+Parquet scan (row-group min/max skipping on the time column).  Where the frame has the
+partition column of that time (the month it lies in), the bound is put on it as well, and the
+scan reads the folders of those months only."""
 
 from __future__ import annotations
 
@@ -7,12 +9,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import minus_days
-from ..schemas import FRESH_DAYS, TREND_DAYS
+from ..schemas import FRESH_DAYS, MONTHS, TREND_DAYS
 
 
 def recent(df: DataFrame, column: str, as_of: Column, days: int = FRESH_DAYS) -> DataFrame:
     """Rows whose ``column`` is at or after ``as_of - days``."""
-    return df.filter(F.col(column) >= minus_days(as_of, days))
+    return since(df, column, minus_days(as_of, days))
+
+
+def since(df: DataFrame, column: str, bound: Column) -> DataFrame:
+    """Rows whose ``column`` is at or after ``bound``."""
+    kept = F.col(column) >= bound
+    month = MONTHS.get(column)
+    if month in df.columns:
+        kept = kept & (F.col(month) >= F.trunc(bound, "month"))
+    return df.filter(kept)
 
 
 def recent_channels(channels: DataFrame, as_of: Column, days: int = FRESH_DAYS) -> DataFrame:
@@ -33,7 +44,7 @@ def published_since(videos: DataFrame, as_of: Column, days: int = TREND_DAYS) ->
 def time_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
     """Optional closed range on a time column; no bound given, no filter."""
     if start is not None:
-        df = df.filter(F.col(column) >= F.lit(start).cast("timestamp"))
+        df = since(df, column, F.lit(start).cast("timestamp"))
     if end is not None:
         df = df.filter(F.col(column) <= F.lit(end).cast("timestamp"))
     return df

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from .. import schemas as S
+from ..session import materialise
 from .filters import fresh_counts
+from .upsert import duplicate_keys
 
 
 @dataclass(frozen=True)
@@ -106,7 +108,7 @@ def profile(df: DataFrame, rules: list[Rule], partition: Column | None = None) -
     """Row count, violating rows per rule and the distinct values of
     ``partition`` in one global aggregate (partial per task, so one row per
     task is shuffled).  The set of partition values is bounded by the
-    table's partition count (months, hash buckets), not by the batch."""
+    table's partition count (months), not by the batch."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     aggs += [F.count_if(r.violated).alias(r.name) for r in rules]
     if partition is not None:
@@ -133,6 +135,21 @@ def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+REPEATED = "repeated_key"
+
+
+def set_aside_repeats(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key occurs once, rows of repeated keys with ``violations``).
+
+    Which of a key's rows is right can't be told, so all of them are set aside.  Keys are
+    counted by a partial aggregate; the repeated ones (keys alone, written once) are joined
+    back by a semi and an anti join, which adaptive execution splits where one key is hot."""
+    repeated = materialise(duplicate_keys(df, keys).select(*keys), "repeated-keys")
+    bad = df.join(repeated, keys, "left_semi").select(*df.columns)
+    good = df.join(repeated, keys, "left_anti").select(*df.columns)
+    return good, bad.withColumn("violations", F.lit(REPEATED))
+
+
 def check_freshness(channels: DataFrame, videos: DataFrame, as_of: Column,
                     days: int = S.FRESH_DAYS, video_column: str = "created_at") -> dict:
     """Raise when no channel snapshot (checked first) or no video row is

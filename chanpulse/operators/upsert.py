@@ -15,8 +15,14 @@ is under the broadcast bound the batch is broadcast: the target is joined
 map-side (no shuffle of the target), and the keys it matched (at most the
 batch's size) are broadcast again to find the inserts with an anti join.  Above
 the bound one full outer join merges both sides, each hash-partitioned on the
-keys once.  Keys are unique on both sides after the duplicate rule, so no key
-can skew the join.
+keys once.  Into a table that is bucketed by the keys (``buckets``) only the batch
+moves: it is dealt into as many partitions as the table has buckets, and the
+table's side of the join is its buckets as they lie.  Keys are unique on both sides
+after the duplicate rule, so no key can skew the join.
+
+Ids are given before the merge: the batch's keys that the target lacks (a join of the
+key columns alone) are numbered, and the numbers go along with the batch.  The merged
+rows are written by whoever asked for them, and nowhere before.
 """
 
 from __future__ import annotations
@@ -51,20 +57,16 @@ def keep_last(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` (ties broken by
     the remaining columns).
 
-    The maximum per key is a hash aggregate, partial before the shuffle, so a
-    key repeated in a third of all rows costs one row per task; only rows that
-    hold their key's maximum go on to the window that breaks ties.  Keys and
-    ``order_by`` may be NULL (a NULL ``order_by`` is the smallest)."""
+    One pass: a rank whose limit Spark applies within each task before the shuffle
+    (WindowGroupLimit), so a key repeated in a third of all rows costs one row per
+    task.  Keys and ``order_by`` may be NULL (a NULL ``order_by`` is the smallest)."""
     rest = [c for c in df.columns if c not in keys and c != order_by]
-    newest = df.groupBy(*keys).agg(F.max(order_by).alias("_newest"))
-    newest = newest.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_newest")
-    same = F.col(order_by).eqNullSafe(F.col("_newest"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    held = df.join(newest, same).select(*df.columns)
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(
-        *[F.col(c).desc_nulls_last() for c in rest or keys]))
-    return held.withColumn("_place", first).filter(F.col("_place") == 1).drop("_place")
+    order = [F.col(c).desc_nulls_last() for c in [order_by, *(rest or keys)]]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    place = "_place"
+    while place in df.columns:
+        place += "_"
+    return df.withColumn(place, first).filter(F.col(place) == 1).drop(place)
 
 
 @dataclass(frozen=True)
@@ -111,6 +113,49 @@ def broadcast_limit(spark) -> int:
     return int(raw)
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A batch with one row per key, written once, and its measures."""
+    rows: DataFrame
+    stats: BatchStats
+    small: bool  # under the session's broadcast bound
+
+
+def prepared(source: DataFrame, keys: list[str], columns: list[str], on_duplicate: str = "error",
+             order_by: str | None = None) -> Batch:
+    """``columns`` of the batch after the duplicate rule (``error``, or ``last`` by
+    ``order_by``)."""
+    missing = [k for k in keys if k not in columns]
+    if missing:
+        raise ValueError(f"source lacks key columns {missing}")
+    if on_duplicate == "last":
+        if not order_by:
+            raise ValueError("on_duplicate='last' needs order_by")
+        source = keep_last(source.select(*dict.fromkeys([*columns, order_by])), keys, order_by)
+    elif on_duplicate != "error":
+        raise ValueError("on_duplicate must be 'error' or 'last'")
+    # the batch feeds the size check, the search for its keys and the merge
+    rows = materialise(source.select(*columns), "batch")
+    stats = batch_stats(rows, keys)
+    if stats.max_repeat > 1:
+        raise DuplicateKeyError(f"batch holds a key {stats.max_repeat} times")
+    limit = broadcast_limit(rows.sparkSession)
+    return Batch(rows, stats, limit > 0 and stats.bytes <= limit)
+
+
+def matched_keys(target: DataFrame, batch: Batch, keys: list[str], also: list[str] | None = None,
+                 buckets: int | None = None) -> DataFrame:
+    """The keys of ``batch`` that ``target`` has (and ``also`` columns of those rows): a join
+    of narrow columns, at most a row per row of the batch.  Written once."""
+    there, mine = target.select(*keys, *(also or [])), batch.rows.select(*keys)
+    if batch.small:
+        found = there.join(F.broadcast(mine), keys, "left_semi")
+    else:
+        mine = mine.repartition(buckets, *keys) if buckets else mine
+        found = there.join(mine.hint("merge"), keys, "left_semi")
+    return materialise(found, "matched")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[str],
            as_of: Column, *, created: str | None = "created_at", refresh_created: bool = False,
            updated: str | None = None, id_col: str | None = None,
@@ -125,45 +170,45 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     ``target`` holds only part of the table (else it is computed).  ``info``
     (optional dict) receives ``rows``, ``bytes``, ``broadcast`` and, with ids,
     ``max_id``: the largest id after the merge."""
-    spark = target.sparkSession
-    tcols = target.columns
-    stamps = {c for c in (created, updated, id_col) if c}
-    carried = [c for c in tcols if c in source.columns and c not in stamps]
-    missing = [k for k in keys if k not in carried]
-    if missing:
-        raise ValueError(f"source lacks key columns {missing}")
     if strategy not in ("auto", "shuffle"):
         raise ValueError("strategy must be 'auto' or 'shuffle'")
-    if on_duplicate == "last":
-        if not order_by:
-            raise ValueError("on_duplicate='last' needs order_by")
-        src = keep_last(source.select(*dict.fromkeys([*carried, order_by])), keys, order_by)
-    elif on_duplicate == "error":
-        src = source
-    else:
-        raise ValueError("on_duplicate must be 'error' or 'last'")
-    # the batch feeds the size check, the merge and the insert search
-    src = materialise(src.select(*carried), "batch")
-
-    stats = batch_stats(src, keys)
-    if stats.max_repeat > 1:
-        raise DuplicateKeyError(f"batch holds a key {stats.max_repeat} times")
+    batch = prepared(source, keys, carried_columns(target, source, created, updated, id_col),
+                     on_duplicate, order_by)
+    if strategy == "shuffle":
+        batch = Batch(batch.rows, batch.stats, False)
+    return merge(target, batch, keys, update, as_of, created=created,
+                 refresh_created=refresh_created, updated=updated, id_col=id_col,
+                 id_start=id_start, info=info, defaults=defaults)
+
+
+def carried_columns(target: DataFrame, source: DataFrame, created: str | None,
+                    updated: str | None, id_col: str | None) -> list[str]:
+    """The target's columns that the batch brings; stamps and ids are given here."""
+    return [c for c in target.columns if c in source.columns and c not in (created, updated, id_col)]
+
+
+def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], as_of: Column, *,
+          created: str | None = "created_at", refresh_created: bool = False,
+          updated: str | None = None, id_col: str | None = None, id_start: int | None = None,
+          info: dict | None = None, defaults: dict | None = None,
+          matched: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """:func:`upsert` of a prepared batch.  ``matched``: the batch's keys in the table, if
+    they are known.  ``buckets``: ``target`` is bucketed by ``keys`` into so many, and isn't
+    moved."""
+    src, tcols = batch.rows, target.columns
+    carried = src.columns
     info = info if info is not None else {}
-    info.update(rows=stats.rows, bytes=stats.bytes)
-    if stats.rows == 0:
+    info.update(rows=batch.stats.rows, bytes=batch.stats.bytes)
+    if batch.stats.rows == 0:
         info.update(broadcast=False, max_id=id_start)
         return target
-    limit = broadcast_limit(spark)
-    use_bc = strategy == "auto" and 0 <= stats.bytes <= limit and limit > 0
+    use_bc = batch.small and not buckets
     info["broadcast"] = use_bc
 
     non_key = [c for c in carried if c not in keys]
     types = {f.name: f.dataType for f in target.schema.fields}
     defaults = defaults or {}
     hit, there = F.col(_HIT).isNotNull(), F.col(_THERE).isNotNull()
-    s = src.select(*[F.col(c).alias(_p(c)) for c in carried], F.lit(True).alias(_HIT))
-    t = target.withColumn(_THERE, F.lit(True))
-    on = [F.col(k) == F.col(_p(k)) for k in keys]
 
     def existing_col(c: str) -> Column:
         if c in update and c in non_key:
@@ -173,35 +218,43 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
         return F.col(c)
 
     def insert_col(c: str) -> Column:
-        if c in carried:
+        if c in carried or c == id_col:
             return F.col(_p(c)).cast(types[c])
         if c in (created, updated):
             return as_of.cast(types[c])
         return F.lit(defaults.get(c)).cast(types[c])
 
+    numbered = None
+    if id_col:
+        if matched is None:
+            matched = matched_keys(target, batch, keys, buckets=buckets)
+        if id_start is None:
+            id_start = target.agg(F.max(id_col)).first()[0] or 0
+        fresh = src.select(*keys).join(matched.select(*keys), keys, "left_anti")
+        numbered = assign_ids(fresh, id_col, int(id_start), info)
+
+    s = src.select(*[F.col(c).alias(_p(c)) for c in carried], F.lit(True).alias(_HIT))
+    t = target.withColumn(_THERE, F.lit(True))
+    on = [F.col(k) == F.col(_p(k)) for k in keys]
     if use_bc:
         existing = t.join(F.broadcast(s), on, "left").select(
             *[existing_col(c).alias(c) for c in tcols])
-        matched = (target.select(*keys)
-                   .join(F.broadcast(src.select(*keys)), keys, "left_semi"))
-        new = src.join(F.broadcast(matched), keys, "left_anti").select(
-            *[F.col(c).alias(_p(c)) for c in carried])
-        new_rows = new.select(*[insert_col(c).alias(c) for c in tcols])
-    else:
-        # one full outer join; the hint keeps Catalyst from guessing a broadcast
-        both = t.join(s.hint("merge"), on, "full_outer")
-        merged = both.select(*[F.when(there, existing_col(c)).otherwise(insert_col(c)).alias(c)
-                               for c in tcols], there.alias(_THERE))
-        if not id_col:
-            return merged.drop(_THERE)
-        # inserted rows are numbered after the merge, so it is written once
-        merged = materialise(merged, "merged")
-        existing = merged.filter(F.col(_THERE)).drop(_THERE)
-        new_rows = merged.filter(~F.col(_THERE)).drop(_THERE)
-    if id_col:
-        start = id_start if id_start is not None else (target.agg(F.max(id_col)).first()[0] or 0)
-        new_rows = assign_ids(new_rows, id_col, int(start), info).select(*tcols)
-    return existing.unionByName(new_rows)
+        if numbered is not None:
+            new = src.join(numbered, keys)
+        else:
+            found = target.select(*keys).join(F.broadcast(src.select(*keys)), keys, "left_semi")
+            new = src.join(F.broadcast(found), keys, "left_anti")
+        new = new.select(*[F.col(c).alias(_p(c)) for c in new.columns])
+        return existing.unionByName(new.select(*[insert_col(c).alias(c) for c in tcols]))
+    # one full outer join; the hint keeps Catalyst from guessing a broadcast
+    if numbered is not None:
+        s = s.join(numbered.select(*[F.col(c).alias(_p(c)) for c in numbered.columns]),
+                   [_p(k) for k in keys], "left")
+    if buckets:
+        s = s.repartition(buckets, *[_p(k) for k in keys])
+    both = t.join(s.hint("merge"), on, "full_outer")
+    return both.select(*[F.when(there, existing_col(c)).otherwise(insert_col(c)).alias(c)
+                         for c in tcols])
 
 
 def assign_ids(df: DataFrame, id_col: str = "id", start: int = 0,

@@ -1,11 +1,11 @@
-"""Load job: newest processed datasets -> versioned warehouse tables.
+"""Load job: newest processed datasets -> typed warehouse tables.
 
-Steps: create the tables if needed (typed, empty version 0), pick the newest
+Steps: create the tables if needed (Spark's catalog DDL), pick the newest
 ``channel_stats_*`` and ``videos_*`` datasets (anchored names, so the top list
 is never taken for the videos), skip a missing or empty entity with a
 warning, check the integrity rules of the batch (one job; ``fail`` or
-``quarantine``), upsert by key with new ids for inserted rows, and commit
-each table as a new version (all or nothing per table).
+``quarantine``), upsert by key with new ids for inserted rows, and replace the
+partitions that the merge touched (one write per table).
 """
 
 from __future__ import annotations
@@ -19,43 +19,41 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.derive import as_of_literal, narrow_to_table_types, with_defaults
 from ..operators import rollup, rules, topk
-from ..operators.upsert import upsert
-from ..sources import parquet, snapshots
-from ..sources.warehouse import VersionedTable, part_dir
+from ..operators.upsert import carried_columns, matched_keys, merge, prepared
+from ..sources import parquet, snapshots, tables
+from ..sources.tables import Table
 
 log = logging.getLogger(__name__)
 
 
 @dataclass
 class Warehouse:
-    channels: VersionedTable
-    videos: VersionedTable
-
-
-def warehouse(spark: SparkSession, root: str, video_buckets: int = 16) -> Warehouse:
-    """Idempotent table creation (the DDL step).
-
-    Channel snapshots are partitioned by capture month (a daily load touches
-    one partition); videos by ``pmod(xxhash64(video_id), buckets)``.  Both
-    partitions are functions of the key, so a key never moves.  The bucket
-    count is fixed when the table is created (stored in its manifest; an
-    existing table keeps its own, whatever ``video_buckets`` says): size it so
-    one bucket is around a gigabyte, 16 for tests, thousands for a large
-    table, since a load rewrites the buckets its batch touches."""
-    r = root.rstrip("/")
-    channels = VersionedTable(spark, f"{r}/channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS,
-                              partition=F.trunc(F.to_date("captured_at"), "month"),
-                              id_col="id").create_if_not_exists()
-    videos = VersionedTable(spark, f"{r}/videos", S.VIDEO_TABLE, S.VIDEO_KEYS, id_col="id")
-    videos.create_if_not_exists(props={"buckets": int(video_buckets)})
-    buckets = int(videos.manifest().props.get("buckets", video_buckets))
-    videos.partition = F.pmod(F.xxhash64("video_id"), F.lit(buckets))
-    return Warehouse(channels, videos)
+    channels: Table
+    videos: Table
+    database: str
+
+
+def warehouse(spark: SparkSession, root: str, video_buckets: int = 16, channel_buckets: int = 4,
+              database: str | None = None) -> Warehouse:
+    """Idempotent table creation (the DDL step): ``channel_stats`` and ``videos`` in
+    ``database`` (by default one named after ``root``), with their files below ``root``.
+
+    Channel snapshots are partitioned by the month of their capture, which is part of the
+    key, so a daily load touches one partition.  Videos are partitioned by the month they
+    were first loaded in, which no load changes.  Both are bucketed by their key; the bucket
+    counts are fixed when the tables are created: size a bucket of a month to around a
+    gigabyte (the defaults are for tests)."""
+    database = database or tables.database_of(spark, root)
+    make = lambda name, schema, keys, time, n: tables.create(
+        spark, root, database, name, schema, keys, time, S.MONTHS[time], n)
+    return Warehouse(
+        make("channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS, "captured_at", channel_buckets),
+        make("videos", S.VIDEO_TABLE, S.VIDEO_KEYS, "created_at", video_buckets), database)
 
 
 @dataclass
 class LoadResult:
-    versions: dict[str, int] = field(default_factory=dict)
+    merged: dict[str, int] = field(default_factory=dict)  # rows merged, by table
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
     summary: dict | None = None
 
@@ -67,35 +65,60 @@ def _narrowed(df: DataFrame, schema) -> DataFrame:
                        for c in df.columns])
 
 
-def merge_into(table: VersionedTable, batch: DataFrame, update: list[str], as_of,
-               touched: list[str] | None = None, **kw) -> int:
-    """Upsert ``batch`` into the partitions it touches and commit them as the
-    next version; untouched partitions are not read or written.  ``touched``
-    (partition folders) may be known already, else one job lists them."""
-    if touched is None:
-        touched = table.partition_values(batch)
-    base = table.manifest()
-    target = table.read_partitions(touched, base)
-    info: dict = {}
-    merged = upsert(target, batch, table.keys, update, as_of, id_col=table.id_col,
-                    id_start=base.max_id, info=info, **kw)
-    # fails if another load has committed since ``base``
-    return table.commit(merged, touched, max_id=info.get("max_id"), base=base)
-
-
-def _check(table: VersionedTable, batch: DataFrame, rule_list, mode: str, name: str,
+def _months(table: Table, df: DataFrame, time=None) -> list:
+    """Months of a narrow frame: at most one row per partition of the table."""
+    return [r[0] for r in df.select(table.month_of(time)).distinct().collect()]
+
+
+def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
+               on_duplicate: str = "error", order_by: str | None = None,
+               months: list | None = None, **stamps) -> int:
+    """Upsert ``batch`` and replace the partitions it touches; others are neither read nor
+    written.  Returns the rows merged.
+
+    The keys of the batch that the table has are found first, on the key columns alone, with
+    the partitions they lie in (``months`` where the batch's own keys tell them).  The merge
+    then reads those partitions, bucket by bucket, and the one that takes the inserted rows."""
+    keys, stored = list(table.keys), table.stored()
+    read = table.read()
+    b = prepared(batch, keys, carried_columns(read, batch, stamps.get("created"),
+                                              stamps.get("updated"), table.id_col),
+                 on_duplicate, order_by)
+    if b.stats.rows == 0:
+        return 0
+    month = F.col(table.month)
+    within = lambda months: stored.filter(month.isin(months)) if months else stored.limit(0)
+    if table.by_key():
+        touched = months if months is not None else _months(table, b.rows)
+        matched = matched_keys(within(touched), b, keys, buckets=table.buckets)
+    else:
+        matched = matched_keys(stored, b, keys, [table.month], table.buckets)
+        touched = [r[0] for r in matched.select(table.month).distinct().collect()]
+        if matched.count() < b.stats.rows:  # inserted rows take the run's month
+            touched = list({*touched, *_months(table, table.spark.range(1), as_of)})
+    target = within(touched).select(*read.columns)
+    last = stored.agg(F.max(table.id_col)).first()[0] or 0
+    table.overwrite(merge(target, b, keys, update, as_of, id_col=table.id_col, id_start=last,
+                          matched=matched, buckets=table.buckets, **stamps))
+    return b.stats.rows
+
+
+def _check(table: Table, batch: DataFrame, rule_list, mode: str, name: str, on_duplicate: str,
            result: LoadResult) -> tuple[DataFrame, rules.Profile]:
-    """The batch to merge and its profile.  One job gives the row count, the
-    violations per rule and the partitions the batch touches; ``fail``
-    raises on any violation, ``quarantine`` sets the breaking rows aside."""
+    """The batch to merge and its profile.  One job gives the row count, the violations per
+    rule and the months of a key that tells them; ``fail`` raises on any violation, ``quarantine`` sets the breaking rows aside,
+    and of the rest those whose key is repeated (unless ``on_duplicate`` picks one)."""
     rs = rules.applicable(batch, rule_list)
     if mode == "quarantine":
         batch, bad = rules.quarantine(batch, rs)
+        if on_duplicate == "error":
+            batch, repeated = rules.set_aside_repeats(batch, list(table.keys))
+            bad = bad.unionByName(repeated)
         result.quarantined[name] = bad
         rs = []
     elif mode != "fail":
         raise ValueError("mode must be 'fail' or 'quarantine'")
-    prof = rules.profile(batch, rs, table.partition)
+    prof = rules.profile(batch, rs, table.month_of() if table.by_key() else None)
     if any(prof.counts.values()):
         raise rules.RuleViolation(prof.counts)
     return batch, prof
@@ -104,15 +127,16 @@ def _check(table: VersionedTable, batch: DataFrame, rule_list, mode: str, name:
 def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
                   on_duplicate="error", order_by=None, result=None) -> int | None:
     result = result if result is not None else LoadResult()
-    b, prof = _check(wh.channels, batch, rules.channel_rules(), mode, "channel_stats", result)
+    b, prof = _check(wh.channels, batch, rules.channel_rules(), mode, "channel_stats",
+                     on_duplicate, result)
     if prof.rows == 0:
         log.warning("channel snapshots: the batch is empty, nothing to merge")
         return None
     # key repeats are detected by the upsert, in the same job as its size check
     n = merge_into(wh.channels, _narrowed(b, S.CHANNEL_TABLE), S.CHANNEL_UPDATE, as_of,
-                   touched=[part_dir(v) for v in prof.parts], created="created_at",
-                   refresh_created=True, on_duplicate=on_duplicate, order_by=order_by)
-    result.versions["channel_stats"] = n
+                   on_duplicate, order_by, prof.parts, created="created_at",
+                   refresh_created=True)
+    result.merged["channel_stats"] = n
     return n
 
 
@@ -127,15 +151,13 @@ def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mo
     result = result if result is not None else LoadResult()
     update = S.VIDEO_UPDATE_FULL if loader == "full" else S.VIDEO_UPDATE_NARROW
     b = with_defaults(batch, S.VIDEO_DEFAULTS)
-    b, prof = _check(wh.videos, b, rules.video_rules(), mode, "videos", result)
+    b, prof = _check(wh.videos, b, rules.video_rules(), mode, "videos", on_duplicate, result)
     if prof.rows == 0:
         log.warning("videos: the batch is empty, nothing to merge")
         return None
     n = merge_into(wh.videos, _narrowed(narrow_to_table_types(b), S.VIDEO_TABLE), update, as_of,
-                   touched=[part_dir(v) for v in prof.parts],
-                   created="created_at", updated="updated_at", on_duplicate=on_duplicate,
-                   order_by=order_by)
-    result.versions["videos"] = n
+                   on_duplicate, order_by, created="created_at", updated="updated_at")
+    result.merged["videos"] = n
     return n
 
 
@@ -149,11 +171,11 @@ def summary(wh: Warehouse) -> dict:
 def load(spark: SparkSession, processed_dir: str, warehouse_dir: str, as_of=None,
          loader: str = "full", policy: str = "name", mode: str = "fail",
          video_buckets: int = 16, on_duplicate: str = "error",
-         order_by: str | None = None) -> LoadResult:
+         order_by: str | None = None, database: str | None = None) -> LoadResult:
     """``video_buckets`` applies only when the videos table is created.
     ``on_duplicate="last"`` keeps, of rows with the same key, the one with the
     greatest ``order_by`` (by default the entity's first counter) instead of failing."""
-    wh = warehouse(spark, warehouse_dir, video_buckets)
+    wh = warehouse(spark, warehouse_dir, video_buckets, database=database)
     now = as_of_literal(as_of)
     ch_path = snapshots.latest_dataset(spark, processed_dir, "channel_stats", policy)
     v_path = snapshots.latest_dataset(spark, processed_dir, "videos", policy)
@@ -171,9 +193,8 @@ def load(spark: SparkSession, processed_dir: str, warehouse_dir: str, as_of=None
 
 
 def register_views(wh: Warehouse) -> dict[str, DataFrame]:
-    """Temp views over the current table versions: the two tables and the
-    four table views (top 100, daily performance, hourly heatmap, monthly
-    trends).  Views are plans, not copies; re-register after a commit."""
+    """Temp views over the tables: the two tables and the four table views (top 100, daily
+    performance, hourly heatmap, monthly trends).  Views are plans, not copies."""
     channels, videos = wh.channels.read(), wh.videos.read()
     views = {
         "channel_stats": channels,

@@ -13,6 +13,7 @@ def quality_check(wh: Warehouse, as_of=None, days: int = FRESH_DAYS,
     """Raises ``ValueError`` ("No recent channel data found" / "No recent
     video data found"); returns both counts otherwise.  ``created_at`` of a
     video is kept on update, so the check fails when no *new* video arrived
-    for ``days`` days (pass ``video_column="updated_at"`` to count updates)."""
-    return check_freshness(wh.channels.read(), wh.videos.read(), as_of_literal(as_of),
+    for ``days`` days (pass ``video_column="updated_at"`` to count updates).  Only the
+    folders of the months since then are read."""
+    return check_freshness(wh.channels.stored(), wh.videos.stored(), as_of_literal(as_of),
                            days, video_column)

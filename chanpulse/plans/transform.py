@@ -1,7 +1,8 @@
 """Transform job: newest raw snapshots -> processed entities + analytics.
 
-Plan for scale: each CSV snapshot is parsed exactly once, straight into its
-processed Parquet dataset.  Everything else reads that Parquet (columnar,
+Plan for scale: each CSV snapshot is parsed exactly once, into Parquet parted by whether
+a record can be used; the processed dataset and the rejects are read back from their own
+part.  Everything else reads the processed Parquet (columnar,
 pruned to the columns each output needs): the top list is one
 ``TakeOrderedAndProject`` scan, and all grouped analytics derive from one base
 roll-up (date x hour partials, days x 24 rows on clean input) built by one scan and
@@ -18,6 +19,7 @@ from pyspark.sql import SparkSession
 
 from ..functions.derive import as_of_literal
 from ..operators import rollup, topk
+from ..session import run_jobs
 from ..sources import csv, parquet, snapshots
 
 
@@ -45,8 +47,9 @@ def transform(spark: SparkSession, raw_dir: str, out_dir: str, as_of=None,
     now = as_of_literal(as_of)
     stamp = stamp or _stamp(as_of)
 
-    channels = csv.load_channels(spark, ch_path, multiline)
-    videos = csv.load_videos(spark, v_path, now, multiline)
+    channels, videos = run_jobs([
+        lambda: csv.load_channels(spark, ch_path, multiline).parted("channel-records"),
+        lambda: csv.load_videos(spark, v_path, now, multiline).parted("video-records")])
     paths = parquet.save_outputs({"channel_stats": channels.rows, "videos": videos.rows},
                                  out_dir, stamp, parallel=True)
     rejects = parquet.save_rejects({"channel_stats": channels.rejects, "videos": videos.rejects},

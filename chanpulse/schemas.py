@@ -85,6 +85,8 @@ CHANNEL_TABLE = StructType([
     StructField("video_count", IntegerType()),
     StructField("created_at", TimestampType()),
 ])
+# The partition column of each table: the month of a time that a stored row never changes.
+MONTHS = {"captured_at": "captured_month", "created_at": "created_month"}
 CHANNEL_KEYS = ["channel_id", "captured_at"]
 CHANNEL_UPDATE = ["channel_title", "subscribers", "total_views", "video_count"]
 

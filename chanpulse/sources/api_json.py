@@ -17,13 +17,12 @@ title, a time that doesn't parse.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.derive import bad_counter, counter, parse_iso_timestamp, with_ingest_fields
+from .judged import Judged
 
 _S = T.StringType()
 
@@ -83,12 +82,6 @@ def _first_item(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.explode_outer(F.slice("response.items", 1, 1)).alias("_item"))
 
 
-@dataclass(frozen=True)
-class Parsed:
-    rows: DataFrame
-    rejects: DataFrame
-
-
 def _reasons(record: Column | None, title: Column, time: Column, counters: list[str]) -> Column:
     """Why a reply can't be used, NULL if it can."""
     bad = bad_counter(counters[0])
@@ -110,7 +103,7 @@ def _opened(landed: DataFrame, schema: T.StructType, keep: list[str]) -> DataFra
 
 
 def channel_replies(landed: DataFrame, on_missing: str = "error",
-                    captured_at: Column | None = None) -> Parsed:
+                    captured_at: Column | None = None) -> Judged:
     """First item of each channel reply -> snapshot row.  The channel id comes from
     the request, and so does the capture time; a request that landed without one is
     stamped with ``captured_at`` (the run's time).  A reply without an item raises in
@@ -135,17 +128,20 @@ def channel_replies(landed: DataFrame, on_missing: str = "error",
     df = df.withColumn("_time", time)
     df = df.withColumn("reason", _reasons(record, F.col("_item.snippet.title"),
                                           F.col("_time"), counters))
-    rows = df.filter(F.col("reason").isNull()).select(
+    return _judged(df, "channel_id", record, [
         F.col("_time").alias("captured_at"), F.col("channel_id"),
         F.col("_item.snippet.title").alias("channel_title"),
         counter(counters[0]).alias("subscribers"), counter(counters[1]).alias("total_views"),
-        counter(counters[2]).alias("video_count"))
-    return Parsed(rows, _rejects(df, "channel_id", record))
+        counter(counters[2]).alias("video_count")])
 
 
-def _rejects(df: DataFrame, key: str, record: Column | None) -> DataFrame:
+def _judged(df: DataFrame, key: str, record: Column | None, rows: list[Column]) -> Judged:
+    """The columns of the rows, and reason and text of the rejects, of every reply."""
     text = F.col("_text") if record is None else F.coalesce(record, F.col("_text"))
-    return df.filter(F.col("reason").isNotNull()).select("reason", key, text.alias("record"))
+    frame = df.select(*rows, "reason",
+                      F.when(F.col("reason").isNotNull(), text).alias("record"))
+    names = [c for c in frame.columns if c not in ("reason", "record")]
+    return Judged(frame, lambda d: d.select(*names), lambda d: d.select("reason", key, "record"))
 
 
 def channel_rows(landed: DataFrame, on_missing: str = "error",
@@ -153,7 +149,7 @@ def channel_rows(landed: DataFrame, on_missing: str = "error",
     return channel_replies(landed, on_missing, captured_at).rows
 
 
-def video_rows(landed: DataFrame) -> Parsed:
+def video_rows(landed: DataFrame) -> Judged:
     """First item of each video reply -> raw video row with engagement rate,
     weekday name and hour, and the request's ``landed_at`` if there is one.  No
     item: dropped."""
@@ -168,13 +164,14 @@ def video_rows(landed: DataFrame) -> Parsed:
     df = df.filter(found).withColumn("_time", parse_iso_timestamp("_item.snippet.publishedAt"))
     df = df.withColumn("reason", _reasons(
         record, F.col("_item.snippet.title"), F.col("_time"), counters))
-    rows = with_ingest_fields(df.filter(F.col("reason").isNull()).select(
-        "video_id", F.col("_item.snippet.title").alias("title"), F.col("_time").alias("publish_time"),
-        counter(counters[0]).alias("views"), counter(counters[1]).alias("likes"),
-        counter(counters[2]).alias("comments"), *extra))
     cols = ["video_id", "title", "publish_time", "views", "likes", "comments",
             "engagement_rate", "publish_day", "publish_hour", *extra]
-    return Parsed(rows.select(*cols), _rejects(df, "video_id", record))
+    return _judged(df, "video_id", record, [
+        F.col("video_id"), F.col("_item.snippet.title").alias("title"),
+        F.col("_time").alias("publish_time"),
+        counter(counters[0]).alias("views"), counter(counters[1]).alias("likes"),
+        counter(counters[2]).alias("comments"), *map(F.col, extra)]) \
+        .then(lambda rows: with_ingest_fields(rows).select(*cols))
 
 
 def search_ids(landed: DataFrame) -> DataFrame:

@@ -11,8 +11,6 @@ reject, with the reason and its text.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +19,12 @@ from ..functions.derive import parse_iso_timestamp, with_video_metrics
 from ..schemas import RAW_CHANNEL, RAW_VIDEOS
 from ..session import run_jobs
 from . import fs
+from .judged import Judged
 
 # Written stamps keep microseconds and the offset (the default keeps ms only).
 CSV_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
-@dataclass(frozen=True)
-class Loaded:
-    rows: DataFrame
-    rejects: DataFrame
-
-
 _TEXT = "_record"
 
 
@@ -45,26 +38,25 @@ def judging(reader, schema: T.StructType, multiline: bool = False):
 
 
 def _load(spark: SparkSession, path: str, schema: T.StructType, time: str,
-          multiline: bool) -> Loaded:
+          multiline: bool) -> Judged:
     return judged(judging(spark.read, schema, multiline).csv(path), schema, time)
 
 
-def judged(df: DataFrame, schema: T.StructType, time: str, keep: tuple[str, ...] = ()) -> Loaded:
+def judged(df: DataFrame, schema: T.StructType, time: str, keep: tuple[str, ...] = ()) -> Judged:
     """Usable rows with ``time`` parsed, and the rejects; ``keep``: further columns of the rows."""
     raw = f"_{time}_text"
     df = df.withColumnRenamed(time, raw).withColumn(time, parse_iso_timestamp(raw))
     reason = F.when(F.col(_TEXT).isNotNull(), "malformed record") \
         .when(F.col(raw).isNotNull() & F.col(time).isNull(), "unreadable time")
     df = df.withColumn("reason", reason)
+    df = df.withColumn(raw, F.when(F.col("reason").isNotNull(), F.col(raw)))  # rejects' alone
     names = schema.fieldNames()
-    rows = df.filter(F.col("reason").isNull()).select(*names, *keep)
-    rejects = df.filter(F.col("reason").isNotNull()).select(
+    return Judged(df, lambda d: d.select(*names, *keep), lambda d: d.select(
         "reason", *[F.col(raw).alias(c) if c == time else F.col(c) for c in names],
-        F.col(_TEXT).alias("record"))
-    return Loaded(rows, rejects)
+        F.col(_TEXT).alias("record")))
 
 
-def load_channels(spark: SparkSession, path: str, multiline: bool = False) -> Loaded:
+def load_channels(spark: SparkSession, path: str, multiline: bool = False) -> Judged:
     """Channel snapshot CSV; ``captured_at`` text -> timestamp."""
     return _load(spark, path, RAW_CHANNEL, "captured_at", multiline)
 
@@ -73,10 +65,10 @@ def read_channel_csv(spark: SparkSession, path: str, multiline: bool = False) ->
     return load_channels(spark, path, multiline).rows
 
 
-def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool = False) -> Loaded:
+def load_videos(spark: SparkSession, path: str, as_of: Column, multiline: bool = False) -> Judged:
     """Video snapshot CSV -> processed frame (date parts, rates, pace)."""
-    loaded = _load(spark, path, RAW_VIDEOS, "publish_time", multiline)
-    return Loaded(with_video_metrics(loaded.rows, as_of), loaded.rejects)
+    return _load(spark, path, RAW_VIDEOS, "publish_time", multiline).then(
+        lambda rows: with_video_metrics(rows, as_of))
 
 
 def read_videos_csv(spark: SparkSession, path: str, as_of: Column,

@@ -4,7 +4,6 @@ Only names, sizes and times travel to the driver, never file contents."""
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -47,30 +46,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small text file (fails if it exists).  It is written aside and
-    renamed without overwriting, so a reader sees all of it or nothing."""
-    jvm = spark.sparkContext._jvm
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder and those above it, where they are missing."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark takes it."""
     fs, p = _fs(spark, path)
-    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
-    out = fs.create(aside, False)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.NONE  # an existing file makes the rename fail
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(aside), fs.makeQualified(p), options)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    fs_, p = _fs(spark, path)
-    stream = fs_.open(p)
-    try:
-        jvm = spark.sparkContext._jvm
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    return str(fs.makeQualified(p).toString())

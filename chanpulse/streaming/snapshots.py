@@ -1,7 +1,7 @@
 """Incremental load of landed snapshot files (Structured Streaming).
 
 The reference runs its load once a day on the newest snapshot.  This module
-is the same load (rules, keyed upsert, versioned commit) driven by Spark's
+is the same load (rules, keyed upsert, partition overwrite) driven by Spark's
 file source instead of a directory scan: every new ``videos_<stamp>.csv`` /
 ``channel_stats_<stamp>.csv`` is read exactly once, tracked in the query's
 checkpoint.  ``trigger(availableNow=True)`` processes what has landed and
@@ -11,7 +11,7 @@ Files that arrive in one micro-batch are merged by name stamp: a key seen
 in several files keeps the row of the newest file (``on_duplicate="last"``),
 which is what loading the files one after the other in name order gives for
 the data columns.  A batch replayed after a failure re-applies the same
-upsert (idempotent for the data; a new table version is written).  No
+upsert, which is idempotent for the data.  No
 per-trigger file cap is set on purpose: the file source orders new files by
 modification time, not by name stamp, so with a cap an older snapshot could
 be merged after a newer one and win.  For the same reason a snapshot that
@@ -49,7 +49,8 @@ def _batch_loader(wh: Warehouse, entity: str, loader: str, now, rejects_dir: str
         as_of = as_of_literal(now() if callable(now) else now)
         videos = entity == "videos"
         loaded = csv.judged(batch, RAW_VIDEOS if videos else RAW_CHANNEL,
-                            "publish_time" if videos else "captured_at", keep=("_stamp",))
+                            "publish_time" if videos else "captured_at", keep=("_stamp",)) \
+            .parted("stream-records")
         # overwritten when a failed batch is replayed
         loaded.rejects.write.mode("overwrite").parquet(f"{rejects_dir}/{entity}/batch={batch_id}")
         if videos:

@@ -56,9 +56,15 @@ def test_series_use_global_range_sort(spark):
     assert "rangepartitioning" in p  # grows with the data: distributed sort
 
 
-def test_latest_per_channel_is_partial_aggregate_not_window(spark):
+def test_newest_row_per_key_is_one_pass(spark):
+    """One scan; the rank's limit is applied within each task, before the exchange."""
     p = plan(QUERIES["latest_snapshot_per_channel"](spark, SF))
-    assert "partial_max" in p and "SortAggregate" not in p
+    assert p.count("Scan parquet") == 1 and "Join" not in p
+    limits = re.findall(r"WindowGroupLimit .*(Partial|Final)", p)
+    assert limits == ["Final", "Partial"] * 2  # repeated snapshots, then the newest
+    # a lookup of ids reads each reply once
+    p = plan(QUERIES["search_details_join"](spark, SF))
+    assert p.count("Scan parquet") == 2 and "Partial" in p
 
 
 def test_shared_rollup_is_cached(spark):
@@ -123,10 +129,23 @@ def test_top_k_plan(spark):
     assert "TakeOrderedAndProject" in plan(topk.top_videos(df, 5).select(F.col("video_id")))
 
 
-def test_capped_collection_runs_the_lookup_once(spark):
-    # the per-page counts are checkpointed, so the final plan joins ids to
-    # details once (for the kept pages only), not once per prefix-sum branch
-    p = plan(QUERIES["capped_collection"](spark, SF))
-    joins = len(re.findall(r"(?:BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[video_id", p))
-    assert joins == 1
-    assert "LeftSemi" in p
+def test_capped_collection_reads_details_of_kept_pages_only(spark):
+    """Replies of other ids are dropped before the newest one of an id is sought."""
+    df = QUERIES["capped_collection"](spark, SF)
+    rows = df.count()
+    p = plan(df)
+    ranks = p.index("WindowGroupLimit")
+    assert "LeftSemi" in p[ranks:]  # below the rank
+    from chanpulse.operators import collect
+    seen = []
+    whole = collect.lookup_details
+
+    def spy(ids, details, *a, **kw):
+        seen.append((ids.count(), details.count()))
+        return whole(ids, details, *a, **kw)
+    collect.lookup_details = spy
+    try:
+        QUERIES["capped_collection"](spark, SF)
+    finally:
+        collect.lookup_details = whole
+    assert seen == [(rows, rows)]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from chanpulse.functions.derive import as_of_literal
 from chanpulse.session import local_fs_path
 from chanpulse.sources import api_json, csv, fs, parquet, snapshots
-from chanpulse.sources.warehouse import ConcurrentCommit, VersionedTable
 
 NOW = dt.datetime(2025, 11, 6)
 
@@ -27,7 +26,7 @@ VIDEO_HEADER = "video_id,title,publish_time,views,likes,comments,engagement_rate
 def test_videos_csv_quotes_bigint_and_rejects(spark, tmp_dir):
     p = f"{tmp_dir}/videos_20251105_195805.csv"
     write_text(p, VIDEO_HEADER
-               + 'v1,"A, quoted ""x""",2022-09-24T00:40:12+00:00,3000000000,7000,500,'
+               + 'v1,"A, quoted ""x""",2021-03-14T04:30:15+00:00,3000000000,7000,500,'
                  '0.0000025,Saturday,0\n'
                + "bad1,B,not-a-time,1,0,0,0.0,Monday,1\n"
                + "bad2,B,2022-09-25T00:00:00Z,abc,0,0,0.0,Monday,1\n"
@@ -37,7 +36,7 @@ def test_videos_csv_quotes_bigint_and_rejects(spark, tmp_dir):
     assert set(rows) == {"v1"}
     a = rows["v1"]
     assert a.title == 'A, quoted "x"' and a.views == 3000000000 and a.likes == 7000
-    assert a.publish_day_of_week == 7 and a.publish_month == "2022-09"
+    assert a.publish_day_of_week == 1 and a.publish_month == "2021-03"
     rej = {r.video_id: r for r in loaded.rejects.collect()}
     assert {k: r.reason for k, r in rej.items()} == {
         "bad1": "unreadable time", "bad2": "malformed record", "short1": "malformed record"}
@@ -118,16 +117,16 @@ def test_channel_reply(spark, tmp_dir):
 def test_video_reply_drop_and_reject(spark, tmp_dir):
     lines = [
         {"video_id": "v1", "response": {"items": [{"id": "v1", "snippet": {
-            "title": "T", "publishedAt": "2022-09-24T00:56:06Z"},
+            "title": "T", "publishedAt": "2021-03-14T05:07:09Z"},
             "statistics": {"viewCount": "100", "likeCount": "5"}}]}},
         {"video_id": "v2", "response": {"items": []}},
         {"video_id": "v3", "response": {"items": [{"id": "v3", "snippet": {
             "title": "U", "publishedAt": "yesterday"}, "statistics": {}}]}},
         {"video_id": "v4", "response": {"items": [{"id": "v4", "snippet": {
-            "title": "U", "publishedAt": "2022-09-24T00:56:06Z"},
+            "title": "U", "publishedAt": "2021-03-14T05:07:09Z"},
             "statistics": {"viewCount": "12x"}}]}},
         {"video_id": "v5", "response": {"items": [{"id": "v5", "snippet": {
-            "publishedAt": "2022-09-24T00:56:06Z"}}]}},
+            "publishedAt": "2021-03-14T05:07:09Z"}}]}},
         "{not json",
     ]
     parsed = api_json.video_rows(landed(spark, tmp_dir, "videos", lines))
@@ -135,7 +134,7 @@ def test_video_reply_drop_and_reject(spark, tmp_dir):
     assert len(rows) == 1
     r = rows[0]
     assert (r.views, r.likes, r.comments, r.engagement_rate) == (100, 5, 0, 0.05)
-    assert (r.publish_day, r.publish_hour) == ("Saturday", 0)
+    assert (r.publish_day, r.publish_hour) == ("Sunday", 5)
     assert sorted((r.video_id or "", r.reason) for r in parsed.rejects.collect()) == [
         ("", "broken reply"), ("v3", "unreadable time"), ("v4", "bad counter"), ("v5", "no title")]
     text = spark.createDataFrame([("v1", '{"items": [{"id"'), ("v2", '{"items": []}')],
@@ -151,36 +150,3 @@ def test_search_ids(spark, tmp_dir):
              {"page": 1, "response": {"items": [{"id": {"videoId": "a"}}]}}]
     got = sorted(tuple(r) for r in api_json.search_ids(landed(spark, tmp_dir, "search", lines)).collect())
     assert got == [(0, 0, "a"), (0, 1, "b"), (1, 0, "a")]
-
-
-def test_versioned_table(spark, tmp_dir):
-    from chanpulse.schemas import CHANNEL_TABLE
-    t = VersionedTable(spark, f"{tmp_dir}/channel_stats", CHANNEL_TABLE, ["channel_id", "captured_at"],
-                       partition=F.to_date("captured_at"), id_col="id").create_if_not_exists()
-    t.create_if_not_exists()  # idempotent
-    assert t.versions() == [0] and t.read().count() == 0
-    day = lambda d: dt.datetime(2024, 1, d)
-    rows = [(i, day(d), f"c{i}", "T", 1, 2, 3, day(d)) for i, d in ((1, 1), (2, 1), (3, 2))]
-    assert t.commit(spark.createDataFrame(rows, CHANNEL_TABLE)) == 1
-    assert t.read().count() == 3 and t.manifest().max_id == 3
-    assert sorted(t.manifest().partitions) == ["_part=2024-01-01", "_part=2024-01-02"]
-    # rewrite one partition only; the other is carried over by reference
-    new = spark.createDataFrame([(4, day(2), "c4", "T", 1, 2, 3, day(2))], CHANNEL_TABLE)
-    touched = t.partition_values(new)
-    assert touched == ["_part=2024-01-02"]
-    assert t.commit(t.read_partitions(touched).unionByName(new), touched) == 2
-    m = t.manifest()
-    assert {d: f[:10] for d, f in m.partitions.items()} == {
-        "_part=2024-01-01": "v=00000001", "_part=2024-01-02": "v=00000002"} and m.max_id == 4
-    assert t.read().count() == 4
-    # data written without a manifest (killed writer) is invisible
-    os.makedirs(local_fs_path(f"{t.root}/v=00000003-dead"), exist_ok=True)
-    assert t.current_version() == 2
-    assert t.commit(t.read_partitions(["_part=2024-01-01"]), ["_part=2024-01-01"]) == 3
-    # a commit on a version that is not the newest any more
-    with pytest.raises(ConcurrentCommit):
-        t.commit(t.read(), base=m)
-    assert t.versions() == [0, 1, 2, 3] and t.read().count() == 4
-    # a manifest is never overwritten
-    with pytest.raises(Exception, match="exist"):
-        fs.write_text(spark, f"{t.root}/_manifests/00000003.json", "x")
