@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import materialise, parts_for, text_or_empty
+from chanpulse.llm.common import fresh, materialise, parts_for, text_or_empty
 
 BITS = 7
 SHARDS = 40
@@ -140,12 +140,14 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, bits: int = BITS,
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """One folder per shard below ``path``, each sorted along the curve."""
-    keep = [c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "place",
-                                                  "rank", "shard", "slot")]
-    sharded = shard_rows(docs, keep=keep, **options)
-    sharded.repartitionByRange(F.col("shard"), F.col("rank")) \
-        .sortWithinPartitions("shard", "rank").write.partitionBy("shard").parquet(path)
+    """One folder per shard below ``path`` (``shard=0``, ...), each sorted along the curve, with
+    all columns of ``docs``; where ``docs`` has a column ``shard``, folders are named ``shard_``."""
+    row, folder = fresh(docs, "_row"), fresh(docs, "shard")
+    # a table may have columns of its own by any name: they travel as one
+    packed = docs.withColumn(row, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    sharded = shard_rows(packed, keep=[row], **options)
+    sharded.repartitionByRange(F.col("shard"), F.col("rank")).sortWithinPartitions("shard", "rank") \
+        .select(f"{row}.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)
 
 
 def op8(docs: DataFrame) -> DataFrame:

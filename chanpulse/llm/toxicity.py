@@ -68,6 +68,7 @@ INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 #: A sign within a word, or at its beginning
 _BETWEEN = re.compile(r"(?:(?<=\w)|(?<!\S))[@$!|+](?=[^\W\d_])")
 _ODD = re.compile(r"[^\x00-\x7f\w]+")
+_WORD = re.compile(r"[^ ]+")
 
 
 @lru_cache(maxsize=1)
@@ -157,6 +158,15 @@ class Lexicon:
         return 1 / (1 + np.exp(-np.clip(x @ c[:3] + c[3], -50, 50)))
 
 
+def phrases_around(folded: str, lexicon: Lexicon) -> set[str]:
+    """Matched words with the word before and the word after, however long these are."""
+    hits = lexicon.hits(folded)
+    words = [(m.start(), m[0]) for m in _WORD.finditer(folded)] if hits else []
+    # a match begins at the space before its word
+    return {" ".join(w for _, w in words[i - 1:i + 2])
+            for i, (start, _) in enumerate(words[:-1]) if i and start - 1 in hits}
+
+
 def _signed_root(a, n_a, b, n_b):
     """Signed root of the likelihood ratio of two shares, a of n_a and b of n_b."""
     def part(x, n):
@@ -191,15 +201,15 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAM
     spark = docs.sparkSession
     known = {f" {w} ": x for k, x in (GIVEN if given is None else given).items()
              for w in [fold(k).strip()]}
-    marked = labels.filter(may_learn & F.col("doc_id").isNotNull()).select(
-        "doc_id", (F.col("toxic") == 1).cast("int").alias("y")).filter(F.col("y").isNotNull())
+    # of contradicting labels of a document the toxic one counts
+    marked = labels.filter(may_learn & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max((F.col("toxic") == 1).cast("int")).alias("y")).filter(F.col("y").isNotNull())
     n = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return Lexicon(known)
     share = {y: min(1.0, sample / k) for y, k in n.items()}
     u = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = marked.filter(u < F.when(F.col("y") == 1, share[1]).otherwise(share[0])) \
-        .dropDuplicates(["doc_id"])
+    drawn = marked.filter(u < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
     fold_of = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(5))
     # about 2 * sample narrow rows, whatever the input
     rows = materialise(spark, docs.select("doc_id", "text").filter(F.col("text").isNotNull())
@@ -225,12 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = SAM
     lexicon = Lexicon({found[k]["key"]: float(weight[k]) for k in best} | known)
 
     def around(text: str) -> set[str]:
-        folded, out = fold(text), set()
-        for k in lexicon.hits(folded):
-            before, after = folded[:k].split()[-1:], folded[k:k + 200].split()[:2]
-            if before and len(after) == 2:
-                out.add(" ".join(before + after))
-        return out
+        return phrases_around(fold(text), lexicon)
 
     phrases = _counts(first, around, 3).filter(F.col("toxic") * size[0] < F.col("clean") * size[1]) \
         .orderBy(F.desc("clean"), "key").limit(PHRASES).collect()
