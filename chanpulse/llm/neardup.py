@@ -15,9 +15,13 @@
    member, its links among the members not yet reached are found by counting common
    elements, and these go on.  A cluster larger than MOST (or ELEMENTS) is dealt into parts, which
    are searched like that; then ties over a border of parts are verified, then ties of a
-   bucket's components to its largest one, and then all pairs of a bucket that still lie
-   in different components.  A tight cluster of any size is one component after the
-   ties, so pairs remain only around strays.
+   bucket's components to its largest one.  A tight cluster of any size is one component
+   after these.  Members of buckets that still hold several components are joined by a
+   prefix filter: a set's elements are ordered from the rarest, and two sets that are alike
+   share one of the first n - ceil(0.8 n) + 1 of either.  Sizes and the places of the
+   shared element rule out most of these pairs, too, and the rest are verified.  A family
+   of texts that share a template, but not enough of it, thus makes no pairs: what a member
+   has in common with others stands behind what it has alone.
 5. Components.  The confirmed links' components give every document the smallest
    doc_id it reaches.
 
@@ -242,6 +246,39 @@ def confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
         .filter(arrow_udf(run, "boolean")("a_set", "b_set")).select("a", "b")
 
 
+def alike_prefixes(spark, apart: DataFrame, whole: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``apart`` (cid, root) with different roots that may be alike.
+
+    Exact: no pair at or above the threshold is missed.  Elements that one set alone has take
+    their places at the front of its order without being looked at."""
+    def numbers(sets: pa.Array) -> pa.Array:
+        found = [np.frombuffer(x, np.int64) for x in sets.to_pylist()]
+        at = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(
+            np.concatenate([np.zeros(0, np.int64), *found])))
+
+    own = whole.dropDuplicates(["cid"]).join(apart, "cid")
+    entries = own.select("cid", "root", (F.length("set") / 8).cast("long").alias("n"),
+                         F.explode(arrow_udf(numbers, "array<long>")(F.col("set"))).alias("e"))
+    entries = materialise(spark, entries, "near-elements")
+    rare = entries.groupBy("e").agg(F.count("*").alias("often")).filter(F.col("often") > 1)
+    shared = entries.join(rare, "e")
+    mine = Window.partitionBy("cid")
+    place = F.col("n") - F.count("*").over(mine) \
+        + F.row_number().over(mine.orderBy("often", "e"))
+    first = F.col("n") - F.ceil(F.col("n") * ALIKE / 100) + 1
+    kept = materialise(spark, shared.withColumn("place", place).filter(F.col("place") <= first)
+                       .select("e", "cid", "root", "n", "place"), "near-prefixes")
+    x, y = (kept.select("e", *[F.col(c).alias(f"{c}_{side}") for c in ("cid", "root", "n", "place")])
+            for side in "ab")
+    most = F.least("place_a", "place_b") + F.least(F.col("n_a") - F.col("place_a"),
+                                                   F.col("n_b") - F.col("place_b"))
+    return x.join(y, "e").filter(
+        (F.col("cid_a") > F.col("cid_b")) & (F.col("root_a") != F.col("root_b"))
+        & linked(most, F.col("n_a"), F.col("n_b"))) \
+        .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
+
+
 def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
     """doc_id, th, n_shingles, component_id and first (the row that stays, with its copies)."""
     spark = docs.sparkSession
@@ -343,13 +380,12 @@ def across(spark, members: DataFrame, dealt: DataFrame, whole: DataFrame,
         F.greatest("head", "main.head").alias("a"), F.least("head", "main.head").alias("b")).distinct()
     sure = materialise(spark, sure.union(confirmed(heads, whole)), "near-links")
     roots = joined(sure)
-    # strays of a bucket: members outside its largest component; all their pairs are tested
-    each, _, main = placed()
-    strays = each.join(main, "key").filter(F.col("root") != F.col("main.root")).select(
-        "key", F.col("cid").alias("a"), F.col("root").alias("ra"))
-    pairs = strays.join(each.select("key", F.col("cid").alias("b"), F.col("root").alias("rb")),
-                        "key").filter(F.col("ra") != F.col("rb")) \
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # what still lies apart: members of buckets with several components
+    each, groups, _ = placed()
+    split = groups.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("key")
+    apart = materialise(spark, each.join(split, "key", "left_semi").select("cid", "root").distinct(),
+                        "near-apart")
+    pairs = alike_prefixes(spark, apart, whole)
     more = materialise(spark, confirmed(pairs, whole), "near-links")
     return joined(sure.union(more))
 

@@ -95,6 +95,34 @@ def test_chains_and_large_clusters(spark, most):
     assert got(neardup.components(docs, 2, most)) == brute(rows, 2)
 
 
+def family(n, seed=3):
+    """Texts of one template: about 0.64 alike, none of them linked."""
+    rng = random.Random(seed)
+    common = [f"c{k}" for k in range(160)]
+    return [(k, " ".join([*common, *[f"u{k}x{rng.randrange(10 ** 9)}" for _ in range(45)]]))
+            for k in range(n)]
+
+
+def test_a_template_family_makes_no_quadratic_pairs(spark, monkeypatch):
+    """Twice the documents give at most about twice the pairs, and the same answer."""
+    tested = []
+    whole = neardup.confirmed
+
+    def counted(pairs, sets):
+        tested.append(pairs.count())
+        return whole(pairs, sets)
+    monkeypatch.setattr(neardup, "confirmed", counted)
+    made = []
+    for n in (200, 400):
+        rows = family(n)
+        rows += [(n + k, rows[k][1] + f" y{k}") for k in range(5)]  # linked to one of them
+        docs = spark.createDataFrame([row(i, t) for i, t in rows], SCHEMA)
+        del tested[:]
+        assert got(neardup.components(docs, 2, 40)) == brute(rows, 2)
+        made.append(sum(tested))
+    assert 0 < made[0] and made[1] <= 2.5 * made[0], made
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 1 << 62, 400).astype(np.uint64)
