@@ -15,9 +15,9 @@ QUANTILE of a group is the least cosine that is accepted.  A group of fewer than
 LEAST_SEEN takes the bound of the next shorter one, no bound exceeds that of a longer
 group, and a language of too few documents for any has FAR alone.
 
-Training: at most about PER_LANG documents of each language (chosen by a hash of
-the text, from all documents that may be learnt from) give the idf and the
-centroids: a group of that size per language is what meets in one task, and
+Training: at most PER_LANG distinct texts of each language (those of the smallest hashes,
+from all documents that may be learnt from; a text counts once, however often it is copied)
+give the idf and the centroids: a group of that size per language is what meets in one task, and
 langs * CENTROIDS * DIMS floats are what reaches the driver and the workers.
 Scoring is one pass over whole texts without a shuffle.
 
@@ -34,7 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanpulse.llm.common import arrow_udf, fresh, held_out, materialise
@@ -170,12 +170,21 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = C
     """Centroids from the rows of ``docs`` (text, lang) that ``may_learn`` allows."""
     spark = docs.sparkSession
     rows = docs.filter(may_learn).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # copies are one text: about how many distinct ones a language has
+    own = rows.select("lang", "text", F.xxhash64("text").alias("_h"))
+    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(
+        F.approx_count_distinct("_h").alias("n")).collect()}
     if not counts:
         return Model([], np.zeros((0, DIMS), np.float32), np.ones(DIMS), np.zeros((0, LENGTHS)))
+    # the texts of the smallest hashes, per_lang of a language: from about twice as many,
+    # each of which is one row before the rank is taken
     share = F.create_map(*[x for lang, n in counts.items()
-                           for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30)
+                           for x in (F.lit(lang), F.lit(min(1.0, (2 * per_lang + 50) / n)))])
+    u = F.pmod(F.col("_h"), F.lit(1 << 30))
+    near = own.filter(u < F.element_at(share, F.col("lang")) * (1 << 30)) \
+        .groupBy("lang", "_h").agg(F.min("text").alias("text")).withColumn("_u", u)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("_u", "_h"))
+    drawn = near.withColumn("_nth", first).filter(F.col("_nth") <= per_lang)
 
     def sparse(text: pa.Array) -> pa.Array:
         out = []
@@ -194,7 +203,7 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = PER_LANG, k: int = C
     grams = arrow_udf(sparse, "array<struct<at: array<int>, n: array<int>>>")
     # copies of a text are in one half
     half = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(2)).cast("int")
-    sample = materialise(spark, rows.filter(drawn).select(
+    sample = materialise(spark, drawn.select(
         "lang", half.alias("half"), F.posexplode(grams(F.col("text"))).alias("head", "g"))
         .select("lang", "half", "head", "g.*").filter(F.size("at") > 0), "lang-sample")
     whole = sample.filter("head = 0")

@@ -6,9 +6,9 @@ counts of their vote patterns (every document counts; there are at most
 3 ** labellers patterns) estimates how each votes on good and on bad texts (its
 accuracies), and the share of good ones.  The posterior of a document's votes is its
 soft label.  A linear scorer over hashed character-class trigrams (and repetition) learns these
-labels by logistic regression, on at most about SAMPLE documents drawn by a hash
-of the text, evenly from likely good and likely bad ones and weighted back to the
-corpus.  It has no access to the votes, so it carries over to texts on which
+labels by logistic regression, on at most SAMPLE distinct texts (those of the smallest
+hashes), evenly from likely good and likely bad ones and weighted back to the corpus; a
+text counts once, however often it is copied.  It has no access to the votes, so it carries over to texts on which
 they abstain.
 
 Scale: two passes over whole texts, a shuffle of at most 3 ** labellers counts a
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanpulse.llm.common import arrow_udf, fresh, map_in_arrow
@@ -38,8 +38,8 @@ ROUNDS = 100
 KEEP = 0.5
 LABELLERS = ("symbols", "capitals", "bars", "shouting", "plain", "clean_words", "word_length",
              "sentences", "repeats", "stutter")
-#: How often a labeller may vote bad on good texts, at most.
-FALSE_ALARM = 0.002
+#: How often labellers are taken to vote bad on good texts, and of how many votes that is worth.
+FALSE_ALARM, WORTH = 0.002, 100.0
 #: Prior counts of right and wrong votes on bad texts, and of good and bad texts.
 ON_BAD, PRIOR = (2.0, 3.0), (8.0, 2.0)
 
@@ -180,10 +180,10 @@ class Labels:
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> Labels:
     """EM over distinct vote patterns and their counts; abstaining says nothing.
 
-    A labeller knows one kind of fault, so on bad texts it may often be wrong; but it
-    votes bad on grounds that good texts hardly give: its rate of doing so on them is
-    at most FALSE_ALARM.  That bound names the sides and keeps a rare kind of fault from
-    being taken for a habit of good texts.
+    A labeller knows one kind of fault, so on bad texts it may often be wrong; it is meant
+    to vote bad on grounds that good texts hardly give.  That is a prior (FALSE_ALARM, worth
+    WORTH votes) which names the sides, and which counts outweigh: a labeller that often
+    votes bad on texts that the others find good is found to do so.
     """
     k = patterns.shape[1]
     found = Labels(PRIOR[0] / sum(PRIOR), np.full(k, 1 - FALSE_ALARM),
@@ -192,11 +192,11 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     for _ in range(rounds if len(counts) else 0):
         p = found.posterior(patterns)
         g, b = p * counts, (1 - p) * counts
-        wrong = (g @ no + FALSE_ALARM) / (g @ (yes + no) + 1)
+        wrong = (g @ no + WORTH * FALSE_ALARM) / (g @ (yes + no) + WORTH)
         on_bad = (b @ no + ON_BAD[0]) / (b @ (yes + no) + sum(ON_BAD))
         good = (g.sum() + PRIOR[0]) / (counts.sum() + sum(PRIOR))
-        found = Labels(float(good), 1 - np.clip(wrong, FALSE_ALARM / 10, FALSE_ALARM),
-                       np.clip(on_bad, 2 * FALSE_ALARM, 0.99))
+        # only what a logarithm can't take is kept away
+        found = Labels(float(good), 1 - np.clip(wrong, 1e-6, 0.5), np.clip(on_bad, 1e-6, 1 - 1e-6))
     return found
 
 
@@ -238,45 +238,60 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         return pa.array(np.concatenate([*out, np.zeros(0, np.int64)]).astype(np.int32))
 
     voted = arrow_udf(pattern, "int")(F.col("text"))
-    seen = [(r["p"], r["n"]) for r in docs.select(voted.alias("p")).groupBy("p")
-            .agg(F.count("*").alias("n")).collect() if r["p"] >= 0]
-    codes = np.array([p for p, _ in seen], np.int64).reshape(-1)
-    counts = np.array([n for _, n in seen], float)
+    own = F.xxhash64("text").alias("h")
+    seen = [(r["p"], r["n"], r["d"]) for r in docs.select(voted.alias("p"), own).groupBy("p")
+            .agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("d")).collect()
+            if r["p"] >= 0]
+    codes = np.array([p for p, _, _ in seen], np.int64).reshape(-1)
+    counts, texts = (np.array([r[k] for r in seen], float) for k in (1, 2))
     patterns = codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1
     labels = estimate(patterns, counts)
     if not seen:
         return Model(labels, np.zeros(DIMS + 1))
     side = labels.posterior(patterns) >= 0.5
     total = {True: counts[side].sum(), False: counts[~side].sum()}
-    share = {k: min(1.0, sample / 2 / max(n, 1)) for k, n in total.items()}
+    # about twice as many distinct texts of each side as are wanted, and then the first
+    share = {k: min(1.0, (sample + 50) / max(n, 1))
+             for k, n in ((True, texts[side].sum()), (False, texts[~side].sum()))}
 
     def draw(batches):
+        taken: set = set()
         for batch in batches:
-            rows = []
+            rows, done = [], 0
             for part in slices(batch.column(0)):
                 body, at = spans(part)
                 m = measures(body, at)
                 p = labels.posterior(votes(m))
-                u = batch.column(1).to_numpy()[len(rows):len(rows) + len(part)]
+                h = batch.column(1).slice(done, len(part)).to_pylist()
+                u = batch.column(2).slice(done, len(part)).to_numpy()
+                done += len(part)
                 take = (u < np.where(p >= 0.5, share[True], share[False])) & (m["words"] > 0)
-                x = np.zeros((len(part), DIMS), np.float32)
-                if take.any():
-                    x = features(body, at, m)
-                rows += [(p[k], x[k].tobytes()) if take[k] else None for k in range(len(part))]
-            rows = [r for r in rows if r]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.float64()),
-                                              pa.array([r[1] for r in rows], pa.binary())], ["p", "x"])
+                # a copy is told by its hash; there are about SAMPLE of them
+                new = [k for k in np.flatnonzero(take).tolist()
+                       if h[k] not in taken and not taken.add(h[k])]
+                x = features(body, at, m) if new else None
+                rows += [(bool(p[k] >= 0.5), h[k], u[k], p[k], x[k].tobytes()) for k in new]
+            kinds = (pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                ["good", "h", "u", "p", "x"])
 
     u = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    may = docs.select("text", u.alias("u")).filter(F.col("u") < max(share.values())) \
+    may = docs.select("text", own, u.alias("u")).filter(F.col("u") < max(share.values())) \
         .filter(F.col("text").isNotNull())
-    drawn = map_in_arrow(may, draw, "p double, x binary").collect()
+    near = map_in_arrow(may, draw, "good boolean, h long, u double, p double, x binary")
+    nth = F.row_number().over(Window.partitionBy("good").orderBy("u", "h"))
+    drawn = near.dropDuplicates(["h"]).withColumn("nth", nth) \
+        .filter(F.col("nth") <= sample // 2).select("p", "x").collect()
     drawn.sort(key=lambda r: (r["p"], r["x"]))
     y = np.array([r["p"] for r in drawn])
     x = np.array([np.frombuffer(r["x"], np.float32) for r in drawn]).reshape(-1, DIMS)
     if not len(y):
         return Model(labels, np.zeros(DIMS + 1))
-    weight = np.where(y >= 0.5, 1 / share[True], 1 / share[False])
+    # each side weighs what its documents are
+    weight = np.where(y >= 0.5, total[True] / max(1, (y >= 0.5).sum()),
+                      total[False] / max(1, (y < 0.5).sum()))
     return Model(labels, logistic(x, y, weight))
 
 
