@@ -124,6 +124,46 @@ def shingles(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
+def rows_at_a_time(monkeypatch):
+    """The largest group of each window over blocks that a run makes."""
+    from pyspark.sql.classic.dataframe import DataFrame
+    seen = []
+    whole = DataFrame.repartition
+
+    def spy(self, n, *cols):
+        if cols == ("_at",):
+            seen.append(max((r["count"] for r in self.groupBy("_at").count().collect()), default=0))
+        return whole(self, n, *cols)
+    monkeypatch.setattr(DataFrame, "repartition", spy)
+    return seen
+
+
+@pytest.mark.parametrize("ids", ["gap", "nulls", "one id", "one row"])
+def test_blocks_hold_few_rows_whatever_the_ids(spark, monkeypatch, ids):
+    """An outlying id, missing ids, one id for a third of the rows, one row for a third."""
+    n, per_block = 1_200, 30
+    make = {"gap": lambda k: (k if k < n - 1 else 10 ** 18, f"text {k * 7 % n}"),
+            "nulls": lambda k: (None if k % 3 else k, f"text {k * 7 % n}"),
+            "one id": lambda k: (5 if k % 3 == 0 else k, f"text {k * 7 % n}"),
+            "one row": lambda k: (5, "always the same") if k % 3 == 0 else (k, f"text {k}")}[ids]
+    rows = [make(k) for k in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = rows_at_a_time(monkeypatch)
+    got = fingerprint.with_next(docs, [], rows_per_block=per_block).collect()
+    assert max(seen) < 5 * per_block
+    assert sorted(map(str, rows)) == sorted(str((r["doc_id"], r["text"])) for r in got)
+    if ids == "one id":  # of equal ids the order is that of the texts
+        rows = sorted(rows)
+    else:
+        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    follow = {}
+    for a, b in zip(rows, [*rows[1:], rows[0]]):
+        follow.setdefault(a, []).append(b[1])
+    for r in got:
+        follow[r["doc_id"], r["text"]].remove(r["next_text"])
+    assert not any(follow.values())
+
+
 def test_fingerprints_estimate_resemblance(spark):
     rows = fingerprint.op7(messy(spark)).collect()
     assert len(rows) == len(messy_rows())
