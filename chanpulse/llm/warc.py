@@ -1,7 +1,7 @@
 """Web archives (WARC 1.1): writing, index, and reading back.
 
 ``archive`` writes a record per page, one gzip member each, into archives of at
-most FILE_BYTES of payload; a task writes its own.  Of the pages with equal payloads
+most FILE_BYTES or FILE_ROWS records; a task writes its own.  Of the pages with equal payloads
 of at least REVISIT bytes, that with the largest page_id becomes the response; the
 others revisit it and store no payload.
 
@@ -12,17 +12,26 @@ loser tree.  The result is the capture history: rows of a range lie in order, an
 ranges follow each other.  The merge doesn't rely on the order in which a shuffle
 delivers: what arrives is cut into ascending runs before it is merged.
 
-``read`` opens the archives at the index's offsets and parses the records.
+The payloads that occur more than once are found on their digests alone.  While these are
+at most REPEATED, they are broadcast, and no page moves; beyond that, pages large enough to be
+revisits are joined by digest, where adaptive execution splits a digest that many share.
+
+``read`` opens the archives at the index's offsets and parses the records.  A response's
+payload is checked against its digest.  Revisits are followed: each kind of reference (record
+id, digest, size) is looked up once among the responses, a reference that leads nowhere or to
+another payload is an error, and so a revisit's size and digest are those of a payload that
+was read.
 
 Lost executors: an attempt writes to files with names of its own, and a file counts
 only through index rows, which Spark commits once.  What an attempt that failed has
 left is never read.  Archives go to the shared checkpoint folder unless a path is
-given; any file system that pyarrow.fs can open by URI will do.
+given (a path without a scheme is of Spark's default file system); any file system that
+pyarrow.fs can open by URI will do.
 
 Edge cases: a null html is an empty payload; a null url gives the empty URL key; a null
 page_id is smaller than any other, and comes back as null; rows that repeat the
 response's page_id are responses, too; URLs are stored with spaces and controls
-percent-encoded; a page longer than FILE_BYTES has an archive of its own; empty tables
+percent-encoded; a page longer than FILE_BYTES ends its archive; empty tables
 give no record.  Other columns are ignored.
 """
 
@@ -40,12 +49,15 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chanpulse.llm.common import map_in_arrow, materialise, parts_for
+from chanpulse.llm.common import map_in_arrow, materialise, parts_for, qualified
 from chanpulse.session import scratch_path
 
 REVISIT = 1_000
-FILE_BYTES = 128 << 20
+#: Bytes and records of an archive: what a task writes, and what it holds of the index.
+FILE_BYTES, FILE_ROWS = 128 << 20, 100_000
 ROWS_PER_RANGE = 100_000
+#: Repeated payloads (about 100 bytes each) that are broadcast, at most.
+REPEATED = 200_000
 #: Archive bytes that are read in a row, and by a task, about.
 SPOT_BYTES, TASK_BYTES = 1 << 20, 8 << 20
 #: Where no capture time is given: this moment (2024-01-01) plus page_id seconds, within a year.
@@ -82,10 +94,11 @@ def stamp(ts: int) -> str:
     return datetime.datetime.fromtimestamp(ts, datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def record(page_id, url, ts: int, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC record; ``refers_to``: the response's page, as (page_id,), for a revisit."""
+def record(page_id, url, ts: int, payload: bytes, size: int, digest: str, refers_to) -> bytes:
+    """One WARC record; ``refers_to``: the response's page, as (page_id,), for a revisit
+    (whose payload of ``size`` bytes isn't stored)."""
     http = [f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-            f"Content-Length: {len(payload)}\r\n\r\n".encode()]
+            f"Content-Length: {size}\r\n\r\n".encode()]
     if refers_to is None:
         http.append(payload)
     block = b"".join(http)
@@ -97,7 +110,7 @@ def record(page_id, url, ts: int, payload: bytes, digest: str, refers_to) -> byt
     head = {"WARC-Type": "response" if refers_to is None else "revisit", "WARC-Record-ID": own,
             "WARC-Date": stamp(ts), "WARC-Target-URI": target,
             "Content-Type": "application/http;msgtype=response",
-            "WARC-Payload-Digest": f"sha1:{sha1}", "Page-Payload-Length": str(len(payload))}
+            "WARC-Payload-Digest": f"sha1:{sha1}", "Page-Payload-Length": str(size)}
     if page_id is not None:
         head["Page-Id"] = str(page_id)
     if refers_to is not None:
@@ -122,8 +135,11 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
-def write_runs(rows: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_runs(rows: DataFrame, path: str, file_bytes: int = FILE_BYTES,
+               file_rows: int = FILE_ROWS) -> DataFrame:
     """Archives below ``path``; an index row per record, each archive's in order."""
+    path = qualified(rows.sparkSession, path)
+
     def run(batches):
         fs, folder = pafs.FileSystem.from_uri(path)
         fs.create_dir(folder, recursive=True)
@@ -141,28 +157,27 @@ def write_runs(rows: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> Data
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 [c.split()[0] for c in INDEX.split(", ")])
 
-        written = 0
         for batch in batches:
             for i in range(batch.num_rows):
-                page_id, url, ts, html, digest, latest, again = (
-                    batch.column(k)[i].as_py() for k in range(7))
+                page_id, url, ts, html, digest, latest, again, *size = (
+                    batch.column(k)[i].as_py() for k in range(batch.num_columns))
                 payload = (html or "").encode("utf-8")
-                if out is not None and written + len(payload) > file_bytes:
+                size = size[0] if size else len(payload)  # a revisit's html may be left out
+                if out is not None and (at >= file_bytes or len(index) >= file_rows):
                     yield close()
                     out = None
                 if out is None:
                     leaf = f"{uuid.uuid4().hex}.warc.gz"
                     name = f"{path.rstrip('/')}/{leaf}"  # the URI goes into the index
                     out = fs.open_output_stream(f"{folder}/{leaf}", compression=None)
-                    index, at, written = [], 0, 0
+                    index, at = [], 0
                 packed = gzip.compress(
-                    record(page_id, url, ts, payload, digest, (latest,) if again else None),
+                    record(page_id, url, ts, payload, size, digest, (latest,) if again else None),
                     4, mtime=0)
                 out.write(packed)
                 index.append((url_key(url), ts, page_id, name, at, len(packed),
                               "revisit" if again else "response"))
                 at += len(packed)
-                written += len(payload)
         if out is not None:
             yield close()
 
@@ -245,7 +260,8 @@ def merged(index: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
 
 
 def archive(pages: DataFrame, path: str | None = None, captured: Column | None = None,
-            file_bytes: int = FILE_BYTES) -> DataFrame:
+            file_bytes: int = FILE_BYTES, file_rows: int = FILE_ROWS,
+            repeated: int = REPEATED) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) and returns the capture histories."""
     spark = pages.sparkSession
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
@@ -254,19 +270,33 @@ def archive(pages: DataFrame, path: str | None = None, captured: Column | None =
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         ts.cast("long").alias("ts"), "html", F.sha1(body).alias("digest"),
                         F.octet_length(body).alias("size"))
-    same = rows.filter(F.col("size") >= REVISIT).groupBy("digest").agg(
+    large = F.col("size") >= REVISIT
+    same = rows.filter(large).groupBy("digest").agg(
         F.max("page_id").alias("latest"), F.count("*").alias("n")) \
-        .filter(F.col("n") > 1).drop("n")
+        .filter(F.col("n") > 1).select("digest", "latest")
+    same = materialise(spark, same, "warc-repeated")
+    if same.count() <= repeated:
+        rows = rows.join(F.broadcast(same), "digest", "left")
+    else:
+        none = rows.filter(~large).withColumn("latest", F.lit(None).cast("long"))
+        rows = rows.filter(large).join(same.hint("merge"), "digest", "left").unionByName(none)
     again = F.col("latest").isNotNull() & ~F.col("latest").eqNullSafe(F.col("page_id"))
-    rows = rows.join(same, "digest", "left").select(
-        "page_id", "url", "ts", "html", "digest", "latest", again.alias("again"))
-    index = write_runs(rows, path or scratch_path(spark, "warc"), file_bytes)
+    rows = rows.select("page_id", "url", "ts", F.when(~again, F.col("html")).alias("html"),
+                       "digest", "latest", again.alias("again"), "size")
+    index = write_runs(rows, path or scratch_path(spark, "warc"), file_bytes, file_rows)
     return materialise(spark, merged(materialise(spark, index, "warc-runs")), "warc-index")
 
 
-def read(index: DataFrame, payloads: bool = False) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record,
-    checked against its payload; with its html (null for revisits) if asked."""
+FOUND = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
+         "refers_to long, own string, target string, payload binary")
+
+
+def records(index: DataFrame, payloads: bool) -> DataFrame:
+    """What stands in the archives at the index's places: FOUND, an own record id and the
+    record that a revisit names; the payload of responses, if asked."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in FOUND.split(", ")])
+
     def run(batches):
         opened = name = None
         for batch in batches:
@@ -281,21 +311,18 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
                 head, payload = parse(gzip.decompress(opened.read_at(length, offset)))
                 digest = base64.b32decode(head["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                 size, kind = int(head["Page-Payload-Length"]), head["WARC-Type"]
+                own, target = head["WARC-Record-ID"], head.get("WARC-Refers-To")
                 if kind == "response" and (len(payload) != size
                                            or hashlib.sha1(payload).hexdigest() != digest):
-                    raise ValueError(f"payload of {head['WARC-Record-ID']} differs from its digest")
+                    raise ValueError(f"payload of {own} differs from its digest")
                 page, ref = head.get("Page-Id"), head.get("Page-Refers-To")
-                out.append((page and int(page), size, digest, kind, ref and int(ref),
+                if target is not None and target != record_id(ref, digest):
+                    raise ValueError(f"{own} names a record and a page that differ")
+                out.append((page and int(page), size, digest, kind, ref and int(ref), own, target,
                             payload if payloads and kind == "response" else None))
+            columns = list(zip(*out, strict=True)) or [()] * len(schema)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (
-                    pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()),
-                    strict=True)],
-                ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]) \
-                if out else pa.RecordBatch.from_pylist([], schema=pa.schema(
-                    [("page_id", pa.int64()), ("payload_bytes", pa.int64()),
-                     ("payload_digest", pa.string()), ("record_type", pa.string()),
-                     ("refers_to", pa.int64()), ("payload", pa.binary())]))
+                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     # spots of an archive, dealt to as many tasks as the archives' bytes ask for (the
     # index rows themselves are small, and would all be read by one)
@@ -304,10 +331,30 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
     rows = index.select("file", "offset", "length", spot.alias("spot")) \
         .repartition(parts_for(size, TASK_BYTES), "file", "spot") \
         .sortWithinPartitions("file", "offset")
-    found = map_in_arrow(
-        rows.select("file", "offset", "length"), run, "page_id long, payload_bytes long, payload_digest string, record_type string, "
-             "refers_to long, payload binary")
-    return found if payloads else found.drop("payload")
+    return map_in_arrow(rows.select("file", "offset", "length"), run, FOUND)
+
+
+def read(index: DataFrame, payloads: bool = False) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of each record; with its
+    html, if asked, which a revisit has from the response that it names."""
+    spark = index.sparkSession
+    found = materialise(spark, records(index, payloads), "warc-records")
+    reference = ["target", "payload_digest", "payload_bytes"]
+    revisit = F.col("record_type") == "revisit"
+    wanted = found.filter(revisit).select(*reference).distinct()
+    there = found.filter(~revisit).select(
+        F.col("own").alias("target"), *reference[1:], "payload").dropDuplicates(["target"])
+    lost = wanted.join(there.drop("payload"), reference, "left_anti").limit(1).collect()
+    if lost:
+        raise ValueError(f"a revisit refers to {lost[0]['target']}, which isn't a response "
+                         "of its payload")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    if not payloads:
+        return found.select(*names)
+    shown = there.join(wanted, reference, "left_semi").select(
+        "target", F.col("payload").alias("_shown"))
+    return found.join(shown, "target", "left").select(
+        *names, F.coalesce("payload", "_shown").alias("payload"))
 
 
 def op4(pages: DataFrame) -> DataFrame:

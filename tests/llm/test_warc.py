@@ -54,6 +54,60 @@ def test_payloads_round_trip_and_small_files(spark, tmp_dir):
         assert r["record_type"] == "revisit" or bytes(r["payload"]) == want[r["page_id"]]
 
 
+def test_payloads_of_revisits_come_from_the_response(spark):
+    want = {i: (h or "").encode() for i, _, h in ROWS}
+    got = warc.read(warc.archive(frame(spark, ROWS)), payloads=True).collect()
+    assert len(got) == len(ROWS) and any(r["record_type"] == "revisit" for r in got)
+    assert all(bytes(r["payload"]) == want[r["page_id"]] for r in got)
+
+
+def test_joined_beyond_the_broadcast_bound(spark):
+    got = warc.read(warc.archive(frame(spark, ROWS), repeated=0)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(ROWS)
+
+
+def test_pages_are_not_moved_to_find_copies(spark):
+    """A third of the pages are copies: their html stays where it is."""
+    rows = [(k, f"http://a.example/{k}", HTML if k % 3 == 0 else f"{k}" * 600) for k in range(90)]
+    seen = []
+    whole = warc.write_runs
+
+    def spy(df, *a, **kw):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df, *a, **kw)
+    warc.write_runs = spy
+    try:
+        got = warc.op4(frame(spark, rows)).collect()
+    finally:
+        warc.write_runs = whole
+    assert "Exchange hashpartitioning" not in seen[0] and "BroadcastHashJoin" in seen[0]
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_empty_pages_close_archives(spark):
+    rows = [(k, f"http://a.example/{k}", None) for k in range(100)]
+    index = warc.archive(frame(spark, rows).coalesce(1), file_rows=30)
+    counts = [r["count"] for r in index.groupBy("file").count().collect()]
+    assert sorted(counts) == [10, 30, 30, 30]
+    few = warc.archive(frame(spark, rows).coalesce(1), file_bytes=2_000)
+    assert few.select("file").distinct().count() > 5
+
+
+def test_revisits_are_followed(spark):
+    """A reference to a record that isn't there is an error."""
+    index = warc.archive(frame(spark, ROWS))
+    assert warc.read(index).count() == len(ROWS)
+    with pytest.raises(ValueError, match="isn't a response"):
+        warc.read(index.filter("page_id is null or page_id <> 9"))
+
+
+def test_a_path_without_a_scheme(spark, tmp_dir):
+    from chanpulse.session import local_fs_path
+    index = warc.archive(frame(spark, ROWS), local_fs_path(tmp_dir))
+    assert all(r["file"].startswith("file:///") for r in index.collect())
+    assert warc.read(index).count() == len(ROWS)
+
+
 def test_archives_are_plain_gzip_members(spark, tmp_dir):
     index = warc.archive(frame(spark, ROWS), tmp_dir).collect()
     for name in {r["file"] for r in index}:
