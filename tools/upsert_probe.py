@@ -1,4 +1,5 @@
-"""Upsert of 1 % and of 50 % of a table's keys (lineitem x k rows), both plans.
+"""Upsert of 1 % and of 50 % of a table's keys (lineitem x k rows): into a plain frame by both
+plans, and into a table that is bucketed by the key, with and without ids and the write.
 
     python tools/upsert_probe.py [sf_dir] [k]
 """
@@ -40,6 +41,29 @@ def main():
                 .write.format("noop").mode("overwrite").save()
             print(f"{share:.0%} of {n} keys, {strategy}: {time.perf_counter() - t0:.2f} s "
                   f"(batch {info['bytes'] / 1e6:.1f} MB, broadcast {info['broadcast']})")
+    from chanpulse import schemas as S
+    from chanpulse.operators.upsert import matched_keys, merge, prepared
+    from chanpulse.plans.load import merge_into, warehouse
+    from chanpulse.session import scratch_path
+    wh = warehouse(spark, scratch_path(spark, "probe-warehouse"), video_buckets=16)
+    rows = table.withColumn("id", F.monotonically_increasing_id())
+    types = {f.name: f.dataType for f in S.VIDEO_TABLE.fields}
+    wh.videos.overwrite(rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
+                        .repartition(16, "video_id"))
+    update, keys = ["views", "likes", "title"], S.VIDEO_KEYS
+    for share in (0.01, 0.5):
+        picked = F.pmod(F.xxhash64("video_id"), F.lit(1000)) < int(1000 * share)
+        batch = materialise(wh.videos.read().filter(picked).drop("created_at", "updated_at", "id")
+                            .withColumn("views", F.col("views") + 1), "probe-batch")
+        t0 = time.perf_counter()
+        b = prepared(batch, keys, batch.columns)
+        found = matched_keys(wh.videos.stored(), b, keys, [wh.videos.month], wh.videos.buckets)
+        merge(wh.videos.read(), b, keys, update, now, updated="updated_at", matched=found,
+              buckets=wh.videos.buckets).write.format("noop").mode("overwrite").save()
+        t1 = time.perf_counter()
+        merge_into(wh.videos, batch, update, now, created="created_at", updated="updated_at")
+        print(f"{share:.0%} of {n} keys, buckets in place: {t1 - t0:.2f} s merged, "
+              f"{time.perf_counter() - t1:.2f} s loaded with ids and written")
     spark.stop()
 
 
