@@ -21,7 +21,7 @@ from ..functions.derive import as_of_literal, narrow_to_table_types, with_defaul
 from ..operators import rollup, rules, topk
 from ..operators.upsert import carried_columns, matched_keys, merge, prepared
 from ..sources import parquet, snapshots, tables
-from ..sources.tables import Table
+from ..sources.tables import Partials, Table
 
 log = logging.getLogger(__name__)
 
@@ -30,8 +30,14 @@ log = logging.getLogger(__name__)
 class Warehouse:
     channels: Table
     videos: Table
+    video_rollup: Partials
     database: str
 
+    def rollup(self) -> rollup.BaseRollup:
+        """The videos' partial measures as they were stored by the loads: every grouped
+        analytic can be derived from them without reading the videos."""
+        return rollup.BaseRollup(self.video_rollup.read())
+
 
 def warehouse(spark: SparkSession, root: str, video_buckets: int = 16, channel_buckets: int = 4,
               database: str | None = None) -> Warehouse:
@@ -42,13 +48,24 @@ def warehouse(spark: SparkSession, root: str, video_buckets: int = 16, channel_b
     key, so a daily load touches one partition.  Videos are partitioned by the month they
     were first loaded in, which no load changes.  Both are bucketed by their key; the bucket
     counts are fixed when the tables are created: size a bucket of a month to around a
-    gigabyte (the defaults are for tests)."""
+    gigabyte (the defaults are for tests).  ``video_rollup`` keeps the videos' partial measures
+    by date and hour for each of their partitions; a load renews those it touched."""
     database = database or tables.database_of(spark, root)
     make = lambda name, schema, keys, time, n: tables.create(
         spark, root, database, name, schema, keys, time, S.MONTHS[time], n)
-    return Warehouse(
-        make("channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS, "captured_at", channel_buckets),
-        make("videos", S.VIDEO_TABLE, S.VIDEO_KEYS, "created_at", video_buckets), database)
+    channels = make("channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS, "captured_at", channel_buckets)
+    videos = make("videos", S.VIDEO_TABLE, S.VIDEO_KEYS, "created_at", video_buckets)
+    measures = rollup.partials(videos.read(), rollup.GRAIN).schema
+    return Warehouse(channels, videos, tables.create_partials(
+        spark, root, database, "video_rollup", measures, videos.month), database)
+
+
+def renew_rollup(wh: Warehouse, months: list) -> None:
+    """Partial measures of the named partitions of the videos, from their rows as they are
+    now (so a maximum that a load has lowered is right, too); others stay.  All partitions:
+    ``renew_rollup(wh, months=...)`` with every month, to mend what a killed load left."""
+    rows = wh.videos.of_months(months)
+    wh.video_rollup.overwrite(rollup.partials(rows, [wh.videos.month, *rollup.GRAIN]))
 
 
 @dataclass
@@ -72,9 +89,9 @@ def _months(table: Table, df: DataFrame, time=None) -> list:
 
 def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
                on_duplicate: str = "error", order_by: str | None = None,
-               months: list | None = None, **stamps) -> int:
+               months: list | None = None, **stamps) -> tuple[int, list]:
     """Upsert ``batch`` and replace the partitions it touches; others are neither read nor
-    written.  Returns the rows merged.
+    written.  Returns the rows merged and the partitions touched.
 
     The keys of the batch that the table has are found first, on the key columns alone, with
     the partitions they lie in (``months`` where the batch's own keys tell them).  The merge
@@ -85,22 +102,20 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
                                               stamps.get("updated"), table.id_col),
                  on_duplicate, order_by)
     if b.stats.rows == 0:
-        return 0
-    month = F.col(table.month)
-    within = lambda months: stored.filter(month.isin(months)) if months else stored.limit(0)
+        return 0, []
     if table.by_key():
         touched = months if months is not None else _months(table, b.rows)
-        matched = matched_keys(within(touched), b, keys, buckets=table.buckets)
+        matched = matched_keys(table.of_months(touched), b, keys, buckets=table.buckets)
     else:
         matched = matched_keys(stored, b, keys, [table.month], table.buckets)
         touched = [r[0] for r in matched.select(table.month).distinct().collect()]
         if matched.count() < b.stats.rows:  # inserted rows take the run's month
             touched = list({*touched, *_months(table, table.spark.range(1), as_of)})
-    target = within(touched).select(*read.columns)
+    target = table.of_months(touched).select(*read.columns)
     last = stored.agg(F.max(table.id_col)).first()[0] or 0
     table.overwrite(merge(target, b, keys, update, as_of, id_col=table.id_col, id_start=last,
                           matched=matched, buckets=table.buckets, **stamps))
-    return b.stats.rows
+    return b.stats.rows, touched
 
 
 def _check(table: Table, batch: DataFrame, rule_list, mode: str, name: str, on_duplicate: str,
@@ -133,9 +148,9 @@ def load_channels(wh: Warehouse, batch: DataFrame, as_of, mode="fail",
         log.warning("channel snapshots: the batch is empty, nothing to merge")
         return None
     # key repeats are detected by the upsert, in the same job as its size check
-    n = merge_into(wh.channels, _narrowed(b, S.CHANNEL_TABLE), S.CHANNEL_UPDATE, as_of,
-                   on_duplicate, order_by, prof.parts, created="created_at",
-                   refresh_created=True)
+    n, _ = merge_into(wh.channels, _narrowed(b, S.CHANNEL_TABLE), S.CHANNEL_UPDATE, as_of,
+                      on_duplicate, order_by, prof.parts, created="created_at",
+                      refresh_created=True)
     result.merged["channel_stats"] = n
     return n
 
@@ -155,8 +170,10 @@ def load_videos(wh: Warehouse, batch: DataFrame, as_of, loader: str = "full", mo
     if prof.rows == 0:
         log.warning("videos: the batch is empty, nothing to merge")
         return None
-    n = merge_into(wh.videos, _narrowed(narrow_to_table_types(b), S.VIDEO_TABLE), update, as_of,
-                   on_duplicate, order_by, created="created_at", updated="updated_at")
+    n, months = merge_into(
+        wh.videos, _narrowed(narrow_to_table_types(b), S.VIDEO_TABLE), update, as_of,
+        on_duplicate, order_by, created="created_at", updated="updated_at")
+    renew_rollup(wh, months)
     result.merged["videos"] = n
     return n
 

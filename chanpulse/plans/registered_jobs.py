@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import as_of_literal
-from ..operators import rules
+from ..operators import rollup, rules
 from ..operators.upsert import keep_last
 from ..schemas import CHANNEL_KEYS
 from ..session import scratch_path
@@ -189,6 +189,37 @@ def load_job_second_run(spark, sf_dir):
     return present(out)
 
 
+@query("stored_rollup", f"""WITH {video_cte()},
+f AS (SELECT *, CASE WHEN video_id % 3 = 1 THEN views + 1 ELSE views END AS seen FROM v)
+SELECT 'day' AS kind, CAST(publish_date AS VARCHAR) AS key, count(*) AS video_count,
+       CAST(sum(seen) AS BIGINT) AS total_views, round(avg(seen), 6) AS avg_views FROM f GROUP BY publish_date
+UNION ALL SELECT 'hour', concat(publish_day_of_week, '-', publish_hour), count(*),
+       CAST(sum(seen) AS BIGINT), round(avg(seen), 6) FROM f GROUP BY publish_day_of_week, publish_hour
+UNION ALL SELECT 'month', publish_month, count(*), CAST(sum(seen) AS BIGINT), round(avg(seen), 6)
+FROM f GROUP BY publish_month
+UNION ALL SELECT 'all', CAST(max(seen) AS VARCHAR), count(*), CAST(sum(seen) AS BIGINT), round(avg(seen), 6)
+FROM f""")
+def stored_rollup(spark, sf_dir):
+    """A6-A9 from the partial measures that two loads have stored: the second, a month later,
+    changes videos of the first and adds others."""
+    wh, v = _warehouse(spark), _videos(spark, sf_dir)
+    n = F.col("video_id").cast("bigint") % 3
+    load_videos(wh, v.filter(n != 0).withColumn("views", F.col("views") + 1), as_of_literal(AS_OF))
+    load_videos(wh, v.filter(n != 1), as_of_literal(dt.datetime(2024, 2, 29)))
+    src, cols = wh.rollup(), ["video_count", "total_views", "avg_views"]
+    day, hour = rollup.daily_performance(src), rollup.hourly_heatmap(src)
+    month, whole = rollup.monthly_trends_view(src), rollup.video_summary(src)
+    parts = [
+        day.select(F.lit("day").alias("kind"), F.col("publish_date").cast("string").alias("key"), *cols),
+        hour.select(F.lit("hour"), F.concat_ws("-", "publish_day_of_week", "publish_hour"), *cols),
+        month.select(F.lit("month"), "publish_month", *cols),
+        whole.select(F.lit("all"), F.col("max_views").cast("string"), "total_videos", *cols[1:])]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return present(out)
+
+
 @query("table_views", with_videos("""
 SELECT 'top_videos' AS view, count(*) AS n, CAST(sum(views) AS BIGINT) AS total
   FROM (SELECT views FROM v ORDER BY views DESC, video_id LIMIT 100)

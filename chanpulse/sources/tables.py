@@ -53,6 +53,11 @@ class Table:
     def month_of(self, time: Column | None = None) -> Column:
         return F.trunc(F.col(self.time) if time is None else time, "month")
 
+    def of_months(self, months: list) -> DataFrame:
+        """``stored`` rows of some partitions."""
+        return self.stored().filter(F.col(self.month).isin(months)) if months \
+            else self.stored().limit(0)
+
     def overwrite(self, df: DataFrame) -> None:
         """Replace the partitions that ``df`` (the columns of ``read``) has rows of."""
         df.select(*self.schema.fieldNames(), self.month_of().alias(self.month)) \
@@ -64,6 +69,23 @@ def database_of(spark: SparkSession, root: str) -> str:
     return "chanpulse_" + hashlib.sha1(fs.qualified(spark, root).encode()).hexdigest()[:12]
 
 
+@dataclass(frozen=True)
+class Partials:
+    """A table of partial measures, partitioned like the table that they are of."""
+    spark: SparkSession
+    name: str
+    schema: StructType
+    month: str
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name).select(*self.schema.fieldNames())
+
+    def overwrite(self, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` (with the partition column) has rows of."""
+        df.select(*self.schema.fieldNames(), self.month).write.mode("overwrite") \
+            .insertInto(self.name)
+
+
 def _buckets(spark: SparkSession, name: str) -> int:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Num Buckets'").collect()
     return int(rows[0]["data_type"])
@@ -73,17 +95,30 @@ def create(spark: SparkSession, root: str, database: str, table: str, schema: St
            keys: list[str], time: str, month: str, buckets: int) -> Table:
     """Idempotent: the table is made, or found as it was made."""
     name, root = f"{database}.{table}", root.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
     if not spark.catalog.tableExists(name):
         for e in fs.list_dir(spark, root):
             if m := re.fullmatch(rf"{table}_(\d+)_buckets", e.name):
                 buckets = int(m[1])
-        path = f"{root}/{table}_{buckets}_buckets"
-        fs.make_dir(spark, path)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         key = ", ".join(keys)
-        spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} ({columns}, {month} DATE) USING parquet
-            OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({month})
-            CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS LOCATION '{path}'""")
-        spark.catalog.recoverPartitions(name)
+        _register(spark, root, database, table, f"{table}_{buckets}_buckets", schema, month,
+                  f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS")
     return Table(spark, name, schema, tuple(keys), time, month, _buckets(spark, name))
+
+
+def create_partials(spark: SparkSession, root: str, database: str, table: str,
+                    schema: StructType, month: str) -> Partials:
+    """Idempotent, like :func:`create`."""
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        _register(spark, root.rstrip("/"), database, table, table, schema, month, "")
+    return Partials(spark, f"{database}.{table}", schema, month)
+
+
+def _register(spark: SparkSession, root: str, database: str, table: str, folder: str,
+              schema: StructType, month: str, layout: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    fs.make_dir(spark, f"{root}/{folder}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}, {month} DATE)
+        USING parquet OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({month})
+        {layout} LOCATION '{root}/{folder}'""")
+    spark.catalog.recoverPartitions(f"{database}.{table}")
