@@ -25,6 +25,12 @@
 5. Components.  The confirmed links' components give every document the smallest
    doc_id it reaches.
 
+Hot keys: what an aggregate says of a bucket, a cluster or a component (a row each) is
+written before its rows are joined with it, so that both sides of the join are plain
+exchanges, and adaptive execution can split a bucket, cluster or component that holds a
+third of all rows.  Texts are read a second time for the sets of clusters' members; most
+others are dropped by a bitmap of the members' hashed keys before any text is moved.
+
 At similarity 0.8 two sets share a bucket with probability 1 - (1 - 0.8 ** ROWS) **
 BANDS, that is all but five in a million; the bands' keys are the only thing that is
 random, all counts are exact.
@@ -52,6 +58,11 @@ SHINGLE = 5
 ALIKE = 80
 #: Members and elements of a cluster, or of a part of one, that are searched in one piece.
 MOST, ELEMENTS = 4_000, 2_000_000
+#: Bits of the bitmap of wanted keys: so many a key, and at most so many in all (32 MB).
+#: Beyond that more texts pass it; the join after it is exact.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 28
+#: Bits of one row of the bitmap, as Spark's ``bitmap_construct_agg`` makes it.
+BITMAP_ROW = 1 << 15
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
@@ -129,6 +140,23 @@ def text_key() -> Column:
     return F.xxhash64(F.col("doc_id").isNull(), F.col("text"))
 
 
+def maybe_among(rows: DataFrame, wanted: DataFrame, keys: list[str],
+                most_bits: int = MOST_BITS) -> DataFrame:
+    """``rows`` but for most of those whose ``keys`` ``wanted`` doesn't have: every key hashes
+    to one bit of a bitmap, which is broadcast (at most ``most_bits``), so no row is moved."""
+    need = max(BITMAP_ROW, BITS_PER_KEY * wanted.count())
+    bits = min(most_bits, 1 << (need - 1).bit_length())
+    bit = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    line, at = F.floor(bit / BITMAP_ROW), F.pmod(bit, F.lit(BITMAP_ROW))
+    bitmap = wanted.select(line.alias("_line"), at.alias("_at")).groupBy("_line").agg(
+        F.bitmap_construct_agg("_at").alias("_bitmap"))
+    byte = F.substring("_bitmap", (F.floor(F.col("_at") / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", value, (F.col("_at") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.withColumns({"_line": line, "_at": at}).join(F.broadcast(bitmap), "_line") \
+        .filter(is_set).select(*rows.columns)
+
+
 def features(docs: DataFrame, shingle: int) -> DataFrame:
     """doc_id, th, n, k1, k2 (key of the set) and the bands of every row."""
     def run(batches):
@@ -292,13 +320,15 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
     held = classes.select("cid", F.explode("bands").alias("key"))
     shared = held.groupBy("key").agg(F.min("cid").alias("hub"), F.count("*").alias("members")) \
         .filter(F.col("members") > 1).drop("members")
+    shared = materialise(spark, shared, "near-hubs")
     members = materialise(spark, held.join(shared, "key"), "near-buckets")
     ties = members.filter(F.col("cid") != F.col("hub")).select(
         F.col("cid").alias("a"), F.col("hub").alias("b")).distinct()
     clusters = stars(ties).select(F.col("node").alias("cid"), F.col("root").alias("label"))
     clusters = clusters.join(classes.select("cid", "n", "rep"), "cid")
-    many = clusters.groupBy("label").agg(F.ceil(F.greatest(
-        F.count("*") / most, F.sum("n") / ELEMENTS)).alias("parts"))
+    clusters = materialise(spark, clusters, "near-clusters")
+    many = materialise(spark, clusters.groupBy("label").agg(F.ceil(F.greatest(
+        F.count("*") / most, F.sum("n") / ELEMENTS)).alias("parts")), "near-parts")
     dealt = materialise(spark, clusters.join(many, "label").withColumn(
         "part", F.pmod(F.xxhash64("cid"), F.col("parts"))), "near-clusters")
     wanted = dealt.select(
@@ -315,6 +345,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
             out += [element[a:b].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)]
         return pa.array(out, pa.binary())
 
+    text = maybe_among(text, wanted, ["none", "id", "th"])
     # merged at every size: the plan of a small input is that of a large one
     whole = text.hint("merge").join(wanted, ["none", "id", "th"]).select(
         "label", "part", "parts", "cid", arrow_udf(whole_set, "binary")(F.col("text")).alias("set"))
@@ -323,10 +354,11 @@ def components(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> Dat
     if not dealt.filter(F.col("parts") > 1).isEmpty():
         found = across(spark, members, dealt, whole, found)
     # the smallest id of each component; classes without links are their own
+    reps = found.join(classes.select("cid", "rep"), "cid")
+    least = materialise(spark, reps.groupBy("root").agg(F.min("rep").alias("least")), "near-least")
     own = classes.join(found, "cid", "left").select(
         "k1", "k2", "rep", F.coalesce("root", "cid").alias("root"))
-    least = own.groupBy("root").agg(F.min("rep").alias("least"))
-    own = own.join(least, "root").select("k1", "k2", "least")
+    own = own.join(least, "root", "left").select("k1", "k2", F.coalesce("least", "rep").alias("least"))
     narrow = rows.select("doc_id", "th", "n", "k1", "k2")
     some = narrow.filter(F.col("n") > 0).join(own, ["k1", "k2"])
     some = some.select("doc_id", "th", "n", F.col("least.doc_id").alias("component_id"),
@@ -366,12 +398,14 @@ def across(spark, members: DataFrame, dealt: DataFrame, whole: DataFrame,
     roots = joined(sure)
 
     def placed() -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Members with their roots; each bucket's roots, and the one with most members."""
+        """Members with their roots; each bucket's roots; their number, and the one with most
+        members."""
         each = buckets.join(named("cid", "root"), "cid").select("key", "cid", "root")
         groups = each.groupBy("key", "root").agg(F.min("cid").alias("head"),
                                                  F.count("*").alias("n"))
-        main = groups.groupBy("key").agg(F.max(F.struct("n", "root", "head")).alias("main"))
-        return each, groups, main
+        main = groups.groupBy("key").agg(F.max(F.struct("n", "root", "head")).alias("main"),
+                                         F.count("*").alias("roots"))
+        return each, groups, materialise(spark, main, "near-main")
 
     # the components of a bucket are tied to its largest one by their first members, so
     # that a smallest member that is linked to nothing leaves no component behind
@@ -381,8 +415,8 @@ def across(spark, members: DataFrame, dealt: DataFrame, whole: DataFrame,
     sure = materialise(spark, sure.union(confirmed(heads, whole)), "near-links")
     roots = joined(sure)
     # what still lies apart: members of buckets with several components
-    each, groups, _ = placed()
-    split = groups.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("key")
+    each, _, main = placed()
+    split = main.filter(F.col("roots") > 1).select("key")
     apart = materialise(spark, each.join(split, "key", "left_semi").select("cid", "root").distinct(),
                         "near-apart")
     pairs = alike_prefixes(spark, apart, whole)

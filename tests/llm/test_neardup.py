@@ -169,3 +169,33 @@ def test_stage_keeps_one_document_of_each_group(spark):
     # documents without words are no copies of each other, unless row equals row
     assert {r["doc_id"] for r in out.collect()} >= {100, 101, 102, None}
     assert out.filter(F.col("doc_id") == 108).count() == 1
+
+
+KEYS = ["none", "id", "th"]
+
+
+def keyed(spark, ids):
+    return spark.createDataFrame([(i is None, i or 0, (i or 0) % 1_000) for i in ids],
+                                 "none boolean, id long, th long")
+
+
+def test_the_bitmap_loses_no_wanted_row(spark):
+    rows = keyed(spark, [None, None, *range(20_000), 5, -3, 1 << 62])
+    wanted = keyed(spark, [None, *range(0, 20_000, 40), -3, 1 << 62])
+    left = neardup.maybe_among(rows, wanted, KEYS)
+    there = left.join(wanted, KEYS).count()
+    assert there == rows.join(wanted, KEYS).count() == 504
+    assert left.count() - there < 20_000 / 8  # 16 bits a key, one hash: about 6 %
+
+
+def test_a_full_bitmap_keeps_all(spark):
+    rows, wanted = keyed(spark, range(5_000)), keyed(spark, range(0, 200_000, 2))
+    kept = neardup.maybe_among(rows, wanted, KEYS, most_bits=neardup.BITMAP_ROW)
+    assert kept.join(wanted, KEYS).count() == 2_500
+    assert neardup.maybe_among(rows, wanted.limit(0), KEYS).count() == 0
+
+
+def test_the_bitmap_moves_no_row(spark):
+    rows, wanted = keyed(spark, range(5_000)), keyed(spark, range(100))
+    plan = neardup.maybe_among(rows, wanted, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
