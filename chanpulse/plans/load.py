@@ -93,6 +93,11 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
     """Upsert ``batch`` and replace the partitions it touches; others are neither read nor
     written.  Returns the rows merged and the partitions touched.
 
+    Where a row's key tells its month, a batch of several months is a backfill: a join by
+    bucket would have as many tasks as buckets, each with files in every month, so the merged
+    rows are dealt by month and bucket before they are written.  A batch of one month, and a
+    table whose rows keep the month they first came in, are written as they are joined.
+
     The keys of the batch that the table has are found first, on the key columns alone, with
     the partitions they lie in (``months`` where the batch's own keys tell them).  The merge
     then reads those partitions, bucket by bucket, and the one that takes the inserted rows."""
@@ -105,16 +110,20 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
         return 0, []
     if table.by_key():
         touched = months if months is not None else _months(table, b.rows)
-        matched = matched_keys(table.of_months(touched), b, keys, buckets=table.buckets)
+        backfill = len(touched) > 1
+        matched = matched_keys(table.of_months(touched), b, keys,
+                               buckets=None if backfill else table.buckets)
     else:
+        backfill = False
         matched = matched_keys(stored, b, keys, [table.month], table.buckets)
         touched = [r[0] for r in matched.select(table.month).distinct().collect()]
         if matched.count() < b.stats.rows:  # inserted rows take the run's month
             touched = list({*touched, *_months(table, table.spark.range(1), as_of)})
     target = table.of_months(touched).select(*read.columns)
     last = stored.agg(F.max(table.id_col)).first()[0] or 0
-    table.overwrite(merge(target, b, keys, update, as_of, id_col=table.id_col, id_start=last,
-                          matched=matched, buckets=table.buckets, **stamps))
+    merged = merge(target, b, keys, update, as_of, id_col=table.id_col, id_start=last,
+                   matched=matched, buckets=None if backfill else table.buckets, **stamps)
+    table.overwrite(table.dealt(merged) if backfill else merged)
     return b.stats.rows, touched
 
 

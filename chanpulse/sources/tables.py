@@ -58,8 +58,14 @@ class Table:
         return self.stored().filter(F.col(self.month).isin(months)) if months \
             else self.stored().limit(0)
 
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """``df`` shuffled by month and bucket, so each bucket of a month is one task's."""
+        return df.repartition(self.month_of(), F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
+
     def overwrite(self, df: DataFrame) -> None:
-        """Replace the partitions that ``df`` (the columns of ``read``) has rows of."""
+        """Replace the partitions that ``df`` (the columns of ``read``) has rows of.  A task
+        writes a file for each month and bucket that it holds rows of: ``df`` should be
+        partitioned by the buckets, or :meth:`dealt`."""
         df.select(*self.schema.fieldNames(), self.month_of().alias(self.month)) \
             .write.mode("overwrite").insertInto(self.name)
 

@@ -89,6 +89,24 @@ def test_a_load_replaces_the_months_it_touches(spark, wh):
     assert sorted(r.id for r in rows) == list(range(1, 19))
 
 
+def test_a_backfill_writes_one_file_a_month_and_bucket(spark, wh):
+    """However many partitions the merge has, and again when the rows are merged anew."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 23)
+    try:
+        for k in range(2):
+            batch = channels(spark, 60).withColumn("total_views", F.lit(k).cast("long"))
+            load_channels(wh, batch.repartition(17), as_of_literal(NOW))
+            files = wh.channels.stored().inputFiles()
+            months = wh.channels.stored().select(wh.channels.month).distinct().count()
+            assert months > 3 and len(files) <= months * wh.channels.buckets
+            rows = wh.channels.read()
+            assert rows.count() == batch.count() and rows.filter(F.col("total_views") != k).isEmpty()
+            assert rows.select("id").distinct().count() == rows.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_videos_stay_in_the_month_they_came(spark, wh):
     for k, (first, last) in enumerate(((0, 30), (20, 50), (10, 25))):
         load_videos(wh, videos(spark, first, last, views=k), as_of_literal(dt.datetime(2024, 1 + k, 9)))
