@@ -191,10 +191,12 @@ def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], a
           created: str | None = "created_at", refresh_created: bool = False,
           updated: str | None = None, id_col: str | None = None, id_start: int | None = None,
           info: dict | None = None, defaults: dict | None = None,
-          matched: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+          matched: DataFrame | None = None, buckets: int | None = None,
+          newer_by: str | None = None) -> DataFrame:
     """:func:`upsert` of a prepared batch.  ``matched``: the batch's keys in the table, if
     they are known.  ``buckets``: ``target`` is bucketed by ``keys`` into so many, and isn't
-    moved."""
+    moved.  ``newer_by``: a column of both; a target row whose value is greater than the
+    batch's stays unchanged (either may be NULL: then the batch wins)."""
     src, tcols = batch.rows, target.columns
     carried = src.columns
     info = info if info is not None else {}
@@ -209,6 +211,8 @@ def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], a
     types = {f.name: f.dataType for f in target.schema.fields}
     defaults = defaults or {}
     hit, there = F.col(_HIT).isNotNull(), F.col(_THERE).isNotNull()
+    if newer_by:
+        hit = hit & ~F.coalesce(F.col(newer_by) > F.col(_p(newer_by)), F.lit(False))
 
     def existing_col(c: str) -> Column:
         if c in update and c in non_key:

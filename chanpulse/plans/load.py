@@ -52,7 +52,8 @@ def warehouse(spark: SparkSession, root: str, video_buckets: int = 16, channel_b
     by date and hour for each of their partitions; a load renews those it touched."""
     database = database or tables.database_of(spark, root)
     make = lambda name, schema, keys, time, n: tables.create(
-        spark, root, database, name, schema, keys, time, S.MONTHS[time], n)
+        spark, root, database, name, schema, keys, time, S.MONTHS[time], n,
+        S.SOURCE_STAMP)
     channels = make("channel_stats", S.CHANNEL_TABLE, S.CHANNEL_KEYS, "captured_at", channel_buckets)
     videos = make("videos", S.VIDEO_TABLE, S.VIDEO_KEYS, "created_at", video_buckets)
     measures = rollup.partials(videos.read(), rollup.GRAIN).schema
@@ -100,10 +101,13 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
 
     The keys of the batch that the table has are found first, on the key columns alone, with
     the partitions they lie in (``months`` where the batch's own keys tell them).  The merge
-    then reads those partitions, bucket by bucket, and the one that takes the inserted rows."""
+    then reads those partitions, bucket by bucket, and the one that takes the inserted rows.
+
+    A batch with the table's stamp column leaves a stored row of a later stamp as it is."""
     keys, stored = list(table.keys), table.stored()
-    read = table.read()
-    b = prepared(batch, keys, carried_columns(read, batch, stamps.get("created"),
+    whole = stored.select(*table.columns)
+    stamped = table.stamp if table.stamp in batch.columns else None
+    b = prepared(batch, keys, carried_columns(whole, batch, stamps.get("created"),
                                               stamps.get("updated"), table.id_col),
                  on_duplicate, order_by)
     if b.stats.rows == 0:
@@ -119,9 +123,10 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
         touched = [r[0] for r in matched.select(table.month).distinct().collect()]
         if matched.count() < b.stats.rows:  # inserted rows take the run's month
             touched = list({*touched, *_months(table, table.spark.range(1), as_of)})
-    target = table.of_months(touched).select(*read.columns)
+    target = table.of_months(touched).select(*table.columns)
     last = stored.agg(F.max(table.id_col)).first()[0] or 0
-    merged = merge(target, b, keys, update, as_of, id_col=table.id_col, id_start=last,
+    update = [*update, stamped] if stamped else update
+    merged = merge(target, b, keys, update, as_of, newer_by=stamped, id_col=table.id_col, id_start=last,
                    matched=matched, buckets=None if backfill else table.buckets, **stamps)
     table.overwrite(table.dealt(merged) if backfill else merged)
     return b.stats.rows, touched

@@ -131,3 +131,6 @@ VIDEO_NOT_NULL = ["video_id", "title", "publish_time", "views", "likes",
                   "comments", "engagement_rate", "publish_day", "publish_hour",
                   "likes_per_view", "comments_per_view", "views_per_day",
                   "publish_date", "publish_day_of_week", "publish_month"]
+
+# name stamp of the snapshot file that a stored row's values are of (streamed loads)
+SOURCE_STAMP = "source_stamp"

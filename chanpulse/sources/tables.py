@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from . import fs
@@ -38,6 +39,12 @@ class Table:
     month: str            # the partition column
     buckets: int
     id_col: str = "id"
+    stamp: str | None = None  # the snapshot a row's values are of; not part of ``read``
+
+    @property
+    def columns(self) -> list[str]:
+        """What a merge reads and writes: the columns of ``read``, and the stamp."""
+        return [*self.schema.fieldNames(), *([self.stamp] if self.stamp else [])]
 
     def stored(self) -> DataFrame:
         """All columns, the partition column included."""
@@ -63,10 +70,10 @@ class Table:
         return df.repartition(self.month_of(), F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
 
     def overwrite(self, df: DataFrame) -> None:
-        """Replace the partitions that ``df`` (the columns of ``read``) has rows of.  A task
+        """Replace the partitions that ``df`` (of ``columns``) has rows of.  A task
         writes a file for each month and bucket that it holds rows of: ``df`` should be
         partitioned by the buckets, or :meth:`dealt`."""
-        df.select(*self.schema.fieldNames(), self.month_of().alias(self.month)) \
+        df.select(*self.columns, self.month_of().alias(self.month)) \
             .write.mode("overwrite").insertInto(self.name)
 
 
@@ -98,17 +105,19 @@ def _buckets(spark: SparkSession, name: str) -> int:
 
 
 def create(spark: SparkSession, root: str, database: str, table: str, schema: StructType,
-           keys: list[str], time: str, month: str, buckets: int) -> Table:
-    """Idempotent: the table is made, or found as it was made."""
+           keys: list[str], time: str, month: str, buckets: int, stamp: str) -> Table:
+    """Idempotent: the table is made, or found as it was made (without ``stamp``, if so)."""
     name, root = f"{database}.{table}", root.rstrip("/")
     if not spark.catalog.tableExists(name):
         for e in fs.list_dir(spark, root):
             if m := re.fullmatch(rf"{table}_(\d+)_buckets", e.name):
                 buckets = int(m[1])
         key = ", ".join(keys)
-        _register(spark, root, database, table, f"{table}_{buckets}_buckets", schema, month,
+        _register(spark, root, database, table, f"{table}_{buckets}_buckets",
+                  T.StructType([*schema.fields, T.StructField(stamp, T.StringType())]), month,
                   f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS")
-    return Table(spark, name, schema, tuple(keys), time, month, _buckets(spark, name))
+    return Table(spark, name, schema, tuple(keys), time, month, _buckets(spark, name),
+                 stamp=stamp if stamp in spark.table(name).columns else None)
 
 
 def create_partials(spark: SparkSession, root: str, database: str, table: str,

@@ -11,12 +11,14 @@ Files that arrive in one micro-batch are merged by name stamp: a key seen
 in several files keeps the row of the newest file (``on_duplicate="last"``),
 which is what loading the files one after the other in name order gives for
 the data columns.  A batch replayed after a failure re-applies the same
-upsert, which is idempotent for the data.  No
-per-trigger file cap is set on purpose: the file source orders new files by
-modification time, not by name stamp, so with a cap an older snapshot could
-be merged after a newer one and win.  For the same reason a snapshot that
-lands after a newer one was loaded wins over it; land snapshots in the order
-of their stamps.  Records that can't be used are written to
+upsert, which is idempotent for the data.
+
+Every stored row keeps the stamp of the file its values are of, and a row of an
+older file leaves it alone: a snapshot that lands late inserts the keys that are
+new and changes nothing else.  So the order in which files land doesn't matter, nor
+does the file source's order (by modification time).  The daily load has no stamp:
+it always wins, and leaves the stored one.
+Records that can't be used are written to
 ``<warehouse>/rejects/<entity>``, as the transform job does with its own.
 """
 
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.derive import as_of_literal, with_video_metrics
-from ..schemas import RAW_CHANNEL, RAW_VIDEOS
+from ..schemas import RAW_CHANNEL, RAW_VIDEOS, SOURCE_STAMP
 from ..sources import csv
 from ..plans.load import Warehouse, load_channels, load_videos, warehouse
 
@@ -37,11 +39,11 @@ _STAMP = r"_(\d{8}_\d{6})\.csv"
 
 def snapshot_stream(spark: SparkSession, raw_dir: str, entity: str) -> DataFrame:
     """Streaming frame of every row of every ``<entity>_<stamp>.csv`` file,
-    with the file's name stamp in ``_stamp``."""
+    with the file's name stamp in ``source_stamp``."""
     schema = RAW_VIDEOS if entity == "videos" else RAW_CHANNEL
     df = (csv.judging(spark.readStream, schema)
           .option("pathGlobFilter", f"{entity}_*.csv").csv(raw_dir))
-    return df.withColumn("_stamp", F.regexp_extract(F.input_file_name(), _STAMP, 1))
+    return df.withColumn(SOURCE_STAMP, F.regexp_extract(F.input_file_name(), _STAMP, 1))
 
 
 def _batch_loader(wh: Warehouse, entity: str, loader: str, now, rejects_dir: str):
@@ -49,15 +51,15 @@ def _batch_loader(wh: Warehouse, entity: str, loader: str, now, rejects_dir: str
         as_of = as_of_literal(now() if callable(now) else now)
         videos = entity == "videos"
         loaded = csv.judged(batch, RAW_VIDEOS if videos else RAW_CHANNEL,
-                            "publish_time" if videos else "captured_at", keep=("_stamp",)) \
+                            "publish_time" if videos else "captured_at", keep=(SOURCE_STAMP,)) \
             .parted("stream-records")
         # overwritten when a failed batch is replayed
         loaded.rejects.write.mode("overwrite").parquet(f"{rejects_dir}/{entity}/batch={batch_id}")
         if videos:
             load_videos(wh, with_video_metrics(loaded.rows, as_of), as_of, loader,
-                        on_duplicate="last", order_by="_stamp")
+                        on_duplicate="last", order_by=SOURCE_STAMP)
         else:
-            load_channels(wh, loaded.rows, as_of, on_duplicate="last", order_by="_stamp")
+            load_channels(wh, loaded.rows, as_of, on_duplicate="last", order_by=SOURCE_STAMP)
     return apply
 
 

@@ -28,3 +28,29 @@ def test_incremental_load_matches_name_order(spark, tmp_dir):
     assert spark.sql("SELECT sum(video_count) FROM hourly_heatmap").first()[0] == 2
     assert set(views) == {"channel_stats", "videos", "top_videos", "daily_performance",
                           "hourly_heatmap", "monthly_trends"}
+
+
+def test_a_snapshot_that_lands_late_changes_no_newer_row(spark, tmp_dir):
+    """The newer row stays as it is, new keys of the late file come in, and a newer
+    file than both is taken."""
+    raw = f"{tmp_dir}/raw"
+    row = "{},{},2025-11-01T00:30:00+00:00,{},1,0,0.2,Saturday,0\n"
+
+    def land(stamp, as_of, *rows):
+        write(f"{raw}/videos_{stamp}.csv", V_HEADER + "".join(row.format(*r) for r in rows))
+        start_incremental_load(spark, raw, f"{tmp_dir}/wh", f"{tmp_dir}/ckpt", entity="videos",
+                               as_of=as_of).awaitTermination(300)
+
+    day = lambda n: dt.datetime(2025, 11, n)
+    land("20251105_010000", day(6), ("SAME", "new", 50), ("ONLYNEW", "n", 5))
+    land("20251103_010000", day(7), ("SAME", "old", 30), ("ONLYOLD", "o", 3))
+    wh = warehouse(spark, f"{tmp_dir}/wh")
+    got = {r.video_id: (r.title, r.views, r.updated_at) for r in wh.videos.read().collect()}
+    assert got == {"SAME": ("new", 50, day(6)), "ONLYNEW": ("n", 5, day(6)),
+                   "ONLYOLD": ("o", 3, day(7))}
+    assert "source_stamp" not in wh.videos.read().columns
+    land("20251104_010000", day(8), ("ONLYOLD", "later", 4), ("SAME", "between", 40))
+    land("20251106_010000", day(9), ("SAME", "newest", 60))
+    got = {r.video_id: (r.title, r.views, r.updated_at) for r in wh.videos.read().collect()}
+    assert got == {"SAME": ("newest", 60, day(9)), "ONLYNEW": ("n", 5, day(6)),
+                   "ONLYOLD": ("later", 4, day(8))}
