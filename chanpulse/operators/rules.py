@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, NullType
 
 from .. import schemas as S
 from ..session import materialise
@@ -128,8 +128,16 @@ def flag(df: DataFrame, rules: list[Rule], column: str = "violations") -> DataFr
 
 
 def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, bad rows with their ``violations``)."""
+    """(good rows, bad rows with their ``violations``).
+
+    The flagged rows are written once: both halves are read several times (repeats, profile,
+    merge, whoever looks at the rows set aside), and a filter on ``violations`` that reaches
+    the source would work out every rule on every derived column again, each time.  Columns
+    without a type, which no file holds, are added anew."""
     flagged = flag(df, rules)
+    void = [f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]
+    flagged = materialise(flagged.drop(*void), "flagged").withColumns(
+        {c: F.lit(None) for c in void}).select(*flagged.columns)
     good = flagged.filter(F.col("violations") == "").drop("violations")
     bad = flagged.filter(F.col("violations") != "")
     return good, bad

@@ -66,3 +66,18 @@ def test_profile_counts_rules_and_partitions_in_one_pass(spark):
     assert sorted(p.parts, key=lambda v: (v is None, v)) == [5, 7, None]
     empty = rules.profile(df.filter(F.lit(False)), rs, F.col("bucket"))
     assert empty.rows == 0 and empty.parts == [] and not any(empty.counts.values())
+
+
+def test_quarantine_reads_its_source_once(spark, tmp_dir):
+    """Both halves come from the flagged rows as they were written, not from the source again;
+    a column without a type is kept."""
+    spark.range(20).selectExpr("id AS n", "id % 24 AS publish_hour").write.parquet(f"{tmp_dir}/src")
+    df = spark.read.parquet(f"{tmp_dir}/src").withColumns(
+        {"nothing": F.lit(None), "publish_hour": F.col("publish_hour") * 2})
+    good, bad = rules.quarantine(df, [rules.in_range("publish_hour", 0, 23)])
+    for half in (good, bad):
+        assert half.inputFiles() and not any("/src/" in f for f in half.inputFiles())
+    assert good.columns == df.columns and bad.columns == [*df.columns, "violations"]
+    assert sorted(r.n for r in good.collect()) == list(range(12))
+    assert {(r.n, r.nothing, r.violations) for r in bad.collect()} == {
+        (n, None, "range_publish_hour") for n in range(12, 20)}
