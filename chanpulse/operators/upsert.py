@@ -17,7 +17,10 @@ batch's size) are broadcast again to find the inserts with an anti join.  Above
 the bound one full outer join merges both sides, each hash-partitioned on the
 keys once.  Into a table that is bucketed by the keys (``buckets``) only the batch
 moves: it is dealt into as many partitions as the table has buckets, and the
-table's side of the join is its buckets as they lie.  Keys are unique on both sides
+table's side of the join is its buckets as they lie.  Where that would be more than
+``TASK_BYTES`` for a task, both sides are dealt into a multiple of the buckets
+(``merge_parts``): a task's share stays bounded however much the table has outgrown its
+buckets, and still holds rows of one bucket alone.  Keys are unique on both sides
 after the duplicate rule, so no key can skew the join.
 
 Ids are given before the merge: the batch's keys that the target lacks (a join of the
@@ -27,6 +30,7 @@ rows are written by whoever asked for them, and nowhere before.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +40,7 @@ from pyspark.sql import types as T
 from ..session import checkpoint_root, materialise
 
 _HIT, _THERE = "_s_hit", "_t_there"
+TASK_BYTES = 128 << 20  # rows of both sides that a task of a bucketed merge takes, about
 
 
 class DuplicateKeyError(ValueError):
@@ -74,6 +79,7 @@ class BatchStats:
     rows: int
     max_repeat: int
     bytes: int
+    key_bytes: int = 0
 
 
 def _width(dt: T.DataType) -> int:
@@ -89,17 +95,31 @@ def _width(dt: T.DataType) -> int:
 
 
 def batch_stats(df: DataFrame, keys: list[str]) -> BatchStats:
-    """Rows, largest key repeat and exact size in bytes, in one job."""
-    size = F.lit(0).cast("long")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(f.name), F.lit(0)) + F.lit(8)
-        else:
-            size = size + F.lit(_width(f.dataType))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b"))
-    r = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("rep"),
-                    F.sum("b").alias("bytes")).first()
-    return BatchStats(int(r["rows"] or 0), int(r["rep"] or 0), int(r["bytes"] or 0))
+    """Rows, largest key repeat and exact size in bytes (all columns, keys), in one job."""
+    def size(columns: list[str]) -> Column:
+        total = F.lit(0).cast("long")
+        for f in df.select(*columns).schema.fields:
+            if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+                total = total + F.coalesce(F.octet_length(f.name), F.lit(0)) + F.lit(8)
+            else:
+                total = total + F.lit(_width(f.dataType))
+        return total
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(size(df.columns)).alias("b"))
+    r = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("rep"), F.sum("b").alias("bytes"),
+                    F.sum(F.col("n") * size(keys)).alias("keys")).first()
+    return BatchStats(*[int(r[c] or 0) for c in ("rows", "rep", "bytes", "keys")])
+
+
+def merge_parts(spark, buckets: int, rows: int, width: float) -> int:
+    """Partitions in which ``rows`` of both sides (of ``width`` bytes) meet in a table of
+    ``buckets``: as many, or a multiple that keeps a task to ``TASK_BYTES``.  A partition of
+    a multiple holds rows of one bucket, since both are remainders of the keys' hash.  It is
+    no less than ``spark.sql.shuffle.partitions``, to which Spark would raise a join whose
+    sides are both dealt, whether that is a multiple or not."""
+    need = math.ceil(rows * width / TASK_BYTES)
+    if need <= buckets:
+        return buckets
+    return buckets * math.ceil(max(need, int(spark.conf.get("spark.sql.shuffle.partitions"))) / buckets)
 
 
 def broadcast_limit(spark) -> int:
@@ -144,14 +164,18 @@ def prepared(source: DataFrame, keys: list[str], columns: list[str], on_duplicat
 
 
 def matched_keys(target: DataFrame, batch: Batch, keys: list[str], also: list[str] | None = None,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, parts: int | None = None) -> DataFrame:
     """The keys of ``batch`` that ``target`` has (and ``also`` columns of those rows): a join
-    of narrow columns, at most a row per row of the batch.  Written once."""
+    of narrow columns, at most a row per row of the batch.  Written once.  ``buckets`` and
+    ``parts`` as in :func:`merge`."""
     there, mine = target.select(*keys, *(also or [])), batch.rows.select(*keys)
     if batch.small:
         found = there.join(F.broadcast(mine), keys, "left_semi")
     else:
-        mine = mine.repartition(buckets, *keys) if buckets else mine
+        if buckets:
+            parts = parts or buckets
+            mine = mine.repartition(parts, *keys)
+            there = there if parts == buckets else there.repartition(parts, *keys)
         found = there.join(mine.hint("merge"), keys, "left_semi")
     return materialise(found, "matched")
 
@@ -192,10 +216,10 @@ def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], a
           updated: str | None = None, id_col: str | None = None, id_start: int | None = None,
           info: dict | None = None, defaults: dict | None = None,
           matched: DataFrame | None = None, buckets: int | None = None,
-          newer_by: str | None = None) -> DataFrame:
+          newer_by: str | None = None, parts: int | None = None) -> DataFrame:
     """:func:`upsert` of a prepared batch.  ``matched``: the batch's keys in the table, if
     they are known.  ``buckets``: ``target`` is bucketed by ``keys`` into so many, and isn't
-    moved.  ``newer_by``: a column of both; a target row whose value is greater than the
+    moved, unless ``parts`` is a multiple of them that both sides are dealt into.  ``newer_by``: a column of both; a target row whose value is greater than the
     batch's stays unchanged (either may be NULL: then the batch wins)."""
     src, tcols = batch.rows, target.columns
     carried = src.columns
@@ -231,7 +255,7 @@ def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], a
     numbered = None
     if id_col:
         if matched is None:
-            matched = matched_keys(target, batch, keys, buckets=buckets)
+            matched = matched_keys(target, batch, keys, buckets=buckets, parts=parts)
         if id_start is None:
             id_start = target.agg(F.max(id_col)).first()[0] or 0
         fresh = src.select(*keys).join(matched.select(*keys), keys, "left_anti")
@@ -251,11 +275,15 @@ def merge(target: DataFrame, batch: Batch, keys: list[str], update: list[str], a
         new = new.select(*[F.col(c).alias(_p(c)) for c in new.columns])
         return existing.unionByName(new.select(*[insert_col(c).alias(c) for c in tcols]))
     # one full outer join; the hint keeps Catalyst from guessing a broadcast
+    by = [_p(k) for k in keys]
+    split = bool(buckets) and (parts or buckets) != buckets
+    if split:  # ids are joined where the batch's rows meet the table's
+        s, t = s.repartition(parts, *by), t.repartition(parts, *keys)
     if numbered is not None:
-        s = s.join(numbered.select(*[F.col(c).alias(_p(c)) for c in numbered.columns]),
-                   [_p(k) for k in keys], "left")
-    if buckets:
-        s = s.repartition(buckets, *[_p(k) for k in keys])
+        numbered = numbered.select(*[F.col(c).alias(_p(c)) for c in numbered.columns])
+        s = s.join(numbered.repartition(parts, *by) if split else numbered, by, "left")
+    if buckets and not split:
+        s = s.repartition(buckets, *by)
     both = t.join(s.hint("merge"), on, "full_outer")
     return both.select(*[F.when(there, existing_col(c)).otherwise(insert_col(c)).alias(c)
                          for c in tcols])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.derive import as_of_literal, narrow_to_table_types, with_defaults
 from ..operators import rollup, rules, topk
-from ..operators.upsert import carried_columns, matched_keys, merge, prepared
+from ..operators.upsert import carried_columns, matched_keys, merge, merge_parts, prepared
 from ..sources import parquet, snapshots, tables
 from ..sources.tables import Partials, Table
 
@@ -102,6 +102,8 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
     The keys of the batch that the table has are found first, on the key columns alone, with
     the partitions they lie in (``months`` where the batch's own keys tell them).  The merge
     then reads those partitions, bucket by bucket, and the one that takes the inserted rows.
+    Rows that are too many for a task per bucket meet in several parts of each bucket, which
+    are files of their own.
 
     A batch with the table's stamp column leaves a stored row of a later stamp as it is."""
     keys, stored = list(table.keys), table.stored()
@@ -112,14 +114,23 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
                  on_duplicate, order_by)
     if b.stats.rows == 0:
         return 0, []
+    given = len(whole.columns) - len(b.rows.columns)  # stamps and ids
+
+    def parts(rows: DataFrame, width: float) -> int:
+        return merge_parts(table.spark, table.buckets, b.stats.rows + rows.count(), width)
+
+    def matched_in(rows: DataFrame, also: list[str], in_place: bool = True) -> DataFrame:
+        if b.small or not in_place:
+            return matched_keys(rows, b, keys, also)
+        return matched_keys(rows, b, keys, also, table.buckets,
+                            parts(rows, b.stats.key_bytes / b.stats.rows + 8 * len(also)))
     if table.by_key():
         touched = months if months is not None else _months(table, b.rows)
         backfill = len(touched) > 1
-        matched = matched_keys(table.of_months(touched), b, keys,
-                               buckets=None if backfill else table.buckets)
+        matched = matched_in(table.of_months(touched), [], not backfill)
     else:
         backfill = False
-        matched = matched_keys(stored, b, keys, [table.month], table.buckets)
+        matched = matched_in(stored, [table.month])
         touched = [r[0] for r in matched.select(table.month).distinct().collect()]
         if matched.count() < b.stats.rows:  # inserted rows take the run's month
             touched = list({*touched, *_months(table, table.spark.range(1), as_of)})
@@ -127,7 +138,9 @@ def merge_into(table: Table, batch: DataFrame, update: list[str], as_of,
     last = stored.agg(F.max(table.id_col)).first()[0] or 0
     update = [*update, stamped] if stamped else update
     merged = merge(target, b, keys, update, as_of, newer_by=stamped, id_col=table.id_col, id_start=last,
-                   matched=matched, buckets=None if backfill else table.buckets, **stamps)
+                   matched=matched, buckets=None if backfill else table.buckets,
+                   parts=None if backfill else parts(target, b.stats.bytes / b.stats.rows + 8 * given),
+                   **stamps)
     table.overwrite(table.dealt(merged) if backfill else merged)
     return b.stats.rows, touched
 

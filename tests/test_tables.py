@@ -183,3 +183,30 @@ def test_stored_partials_follow_the_loads(spark, wh):
     assert rollup.video_summary(wh.rollup()).first()["max_views"] == 9
     load_videos(wh, videos(spark, 0, 30, views=1), as_of_literal(dt.datetime(2024, 3, 1)))
     assert rollup.video_summary(wh.rollup()).first()["max_views"] == 2
+
+
+def test_a_table_that_outgrew_its_buckets(spark, wh, monkeypatch):
+    """A bucket that is too much for a task is merged in parts, files of one bucket each; a
+    later load that fits reads them as the bucket that they are."""
+    from pyspark.sql.types import IntegerType
+
+    from chanpulse.operators import upsert
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for k, (first, last, task) in enumerate(((0, 300, 300), (200, 500, 300), (100, 250, 1 << 30))):
+            monkeypatch.setattr(upsert, "TASK_BYTES", task, raising=False)
+            load_videos(wh, videos(spark, first, last, views=k), as_of_literal(NOW))
+            path = F.regexp_extract(F.input_file_name(), r"_(\d{5})\.c", 1).cast(IntegerType())
+            rows = wh.videos.stored().select(
+                path.alias("file"), F.input_file_name().alias("name"),
+                F.pmod(F.hash("video_id"), F.lit(wh.videos.buckets)).alias("bucket"))
+            assert rows.filter("file <> bucket").isEmpty()
+            largest = rows.groupBy("name").count().agg(F.max("count")).first()[0]
+            assert largest < 20 if task == 300 else largest > 100
+            got = wh.videos.read().select("video_id", "views", "id").collect()
+            assert sorted(r.id for r in got) == list(range(1, len(got) + 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.video_id: r.views for r in got} == {
+        f"v{i:05d}": 2 if 100 <= i < 250 else int(i >= 200) for i in range(500)}
